@@ -88,9 +88,9 @@ def instant_samples(samples: DataFrame) -> DataFrame:
     return ticks.select(
         "metric",
         F.map_from_entries("series").alias("labels"),
-        F.timestamp_micros(F.explode(F.sequence("from", "to", F.lit(TICK_US)))).alias("tick"),
+        F.explode(F.sequence("from", "to", F.lit(TICK_US))).alias("tick"),
         "value",
-    )
+    ).withColumn("tick", F.timestamp_micros("tick"))
 
 
 def without_label(df: DataFrame, name: str, value: str) -> DataFrame:

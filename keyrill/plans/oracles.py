@@ -69,20 +69,20 @@ users AS (
   FROM events WHERE event_type = 'signup')"""
 
 TICKS = """
-SELECT *, (at + 59999999) // 60000000 * 60000000 AS first_tick,
-       (at + 300000000 + 59999999) // 60000000 * 60000000 - 60000000 AS last_tick
+SELECT *, (at_us + 59999999) // 60000000 * 60000000 AS first_tick,
+       (at_us + 300000000 + 59999999) // 60000000 * 60000000 - 60000000 AS last_tick
 FROM samples"""
 
 SAMPLES = """
 samples AS (
   SELECT event_type AS metric, CAST(user_id AS VARCHAR) AS "user", CAST(k % 5 AS VARCHAR) AS kind,
          CASE WHEN k % 2 = 1 THEN 't' || (k % 3) ELSE '' END AS topic,
-         epoch_us(ts) AS at, CAST(floor(value * 100) AS DOUBLE) AS value
+         epoch_us(ts) AS at_us, CAST(floor(value * 100) AS DOUBLE) AS value
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events))"""
 
 INSTANTS = f"""{SAMPLES},
 instants AS (
-  SELECT metric, "user", kind, topic, tick_us, arg_max(value, at) AS value
+  SELECT metric, "user", kind, topic, tick_us, arg_max(value, at_us) AS value
   FROM (SELECT *, unnest(generate_series(first_tick, last_tick, 60000000)) AS tick_us FROM ({TICKS}))
   GROUP BY ALL)"""
 
@@ -93,11 +93,11 @@ samples AS (
   SELECT ([{", ".join(f"'{m}'" for m in _METRICS)}])[event_id % {len(_METRICS)} + 1] AS metric,
          'c' || (user_id % 2) AS {CLUSTER}, 'b' || (user_id % 3) AS {BROKER},
          CASE WHEN k % 10 = 0 THEN '__cluster_metadata' ELSE event_type END AS {TOPIC},
-         CAST(k % 4 AS VARCHAR) AS {PARTITION}, epoch_us(ts) AS at,
+         CAST(k % 4 AS VARCHAR) AS {PARTITION}, epoch_us(ts) AS at_us,
          CASE WHEN value < 10 THEN 0.0::DOUBLE ELSE floor(value)::DOUBLE END AS value
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)),
 instants AS (
-  SELECT metric, {CLUSTER}, {BROKER}, {TOPIC}, {PARTITION}, tick_us, arg_max(value, at) AS value
+  SELECT metric, {CLUSTER}, {BROKER}, {TOPIC}, {PARTITION}, tick_us, arg_max(value, at_us) AS value
   FROM (SELECT *, unnest(generate_series(first_tick, last_tick, 60000000)) AS tick_us FROM ({TICKS}))
   GROUP BY ALL)"""
 
@@ -156,7 +156,7 @@ WHERE contains(value, 'purchase-') AND TRY_CAST(substr(value, instr(value, '-')
     "route_by_prefix_keys": f"""WITH {RECORDS}
 SELECT CASE WHEN starts_with(value, 'purchase') THEN 'orderNumberKey' WHEN starts_with(value, 'error') THEN 'bogusKey'
             ELSE 'transactionKey' END AS key, value,
-       CAST(CASE WHEN starts_with(value, 'purchase') THEN 0 WHEN starts_with(value, 'error') THEN 1 END AS INTEGER)
+       CAST(CASE WHEN starts_with(value, 'purchase') THEN 0 WHEN starts_with(value, 'error') THEN 1 ELSE 2 END AS INTEGER)
          AS "partition", "offset"
 FROM records""",
     "decode_defaults": f"""WITH {ORDERS}
@@ -227,7 +227,7 @@ SELECT event_id, 'h' || (user_id % 4) AS host_hostname, CAST(user_id % 3 AS VARC
        json_extract_string(props, '$.k') AS k, CAST(4 AS INTEGER) AS label_count
 FROM events""",
     "rollup_stream": f"""WITH {SAMPLES}
-SELECT at // 60000000 * 60000000 + 60000000 AS tick_us, kind, topic, sum(value) AS value FROM samples GROUP BY ALL""",
+SELECT at_us // 60000000 * 60000000 + 60000000 AS tick_us, kind, topic, sum(value) AS value FROM samples GROUP BY ALL""",
     "event_time": """
 SELECT CAST(user_id AS VARCHAR) AS key, event_id AS "offset",
        CASE WHEN k >= 10 THEN (epoch_us(ts) // 1000 + k * 1000) * 1000 ELSE epoch_us(ts) END AS ts_us
@@ -237,7 +237,7 @@ SELECT key, ts_us // 3600000000 * 3600000000 AS start_us, ts_us // 3600000000 *
        count(*) AS records, CAST(sum(price) AS DOUBLE) AS total
 FROM orders_in GROUP BY ALL""",
     "hopping_sum": f"""WITH {ORDERS}, opened AS (
-  SELECT *, ts_us // 900000000 * 900000000 - unnest([0, 1, 2, 3]) * 900000000 AS start_us FROM orders_in)
+  SELECT *, ts_us // 900000000 * 900000000 - unnest([0, 1, 2, 3]::BIGINT[]) * 900000000 AS start_us FROM orders_in)
 SELECT key, start_us, start_us + 3600000000 AS end_us, count(*) AS records, CAST(sum(price) AS DOUBLE) AS total
 FROM opened GROUP BY ALL""",
     "session_sum": f"""WITH {SESSIONS}

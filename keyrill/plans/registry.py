@@ -154,7 +154,7 @@ def route_by_prefix_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     routed = route_by_prefix(
         ev.records(table(spark, sf_dir, "events")),
         [("purchase", "orderNumberKey", 0), ("error", "bogusKey", 1)],
-        ("transactionKey", None),
+        ("transactionKey", 2),
     )
     return routed.select("key", "value", "partition", "offset")
 

@@ -40,7 +40,7 @@ class Topic:
                 .load()
             )
             return decode_text(records).select(*schema.names)
-        stored = schema.add("load", "string") if "load" not in schema.names else schema
+        stored = T.StructType([*schema.fields, T.StructField("load", T.StringType())])
         return reader.schema(stored).options(**self.options).parquet(self.path).select(*schema.names)
 
     def load(self, df: DataFrame, load: str, partitions: int = PARTITIONS, replace: bool = False) -> None:

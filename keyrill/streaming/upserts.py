@@ -44,7 +44,7 @@ class UpsertTable:
         if not paths:
             return spark.createDataFrame([], schema)
         # one schema with the batch number written into the rows: the folders come from two places
-        stored = schema.add("_batch", "bigint") if "_batch" not in schema.names else schema
+        stored = T.StructType([*schema.fields, T.StructField("_batch", T.LongType())])
         return newest(spark.read.schema(stored).parquet(*paths), self.keys, by="_batch")
 
     def write_numbered(self, spark: SparkSession, rows: DataFrame, batch: int) -> None:
