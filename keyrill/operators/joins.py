@@ -62,11 +62,13 @@ def enrich_asof(
     fields: dict[str, object],
     deleted_when_null: str | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
+    measure: DataFrame | None = None,
 ) -> DataFrame:
     """As `enrich_left`, but from the table as it was at each record's time.
 
     `updates` is the table's history. An update at the very time of a record counts as before it; later updates do not
-    reach back. One shuffle of both inputs together, no pairing of records with updates.
+    reach back. One shuffle of both inputs together, no pairing of records with updates. `measure` stands in for both
+    when looking for hot keys, where `stream` is expensive to compute.
     """
     kept = [c for c in stream.columns if c not in ("key", "timestamp", "offset")]
     record = F.struct(*kept) if kept else F.struct(F.lit(True).alias("present"))
@@ -78,7 +80,9 @@ def enrich_asof(
     events = keyed(stream).select("key", "timestamp", F.lit(1).alias("side"), "offset", record.alias("record"))
     changes = keyed(updates).select("key", "timestamp", F.lit(0).alias("side"), "offset", row.alias("row"))
     both = events.unionByName(changes, allowMissingColumns=True)
-    cut = sliced(both, order=("timestamp", "side", "offset"), rows_per_slice=rows_per_slice)
+    if measure is not None:
+        measure = keyed(measure).withColumn("side", F.lit(0))
+    cut = sliced(both, ("timestamp", "side", "offset"), rows_per_slice, measure)
     found = cut.running_last(F.col("row"), "found").result().where("side = 1")
     return found.select(
         "key",

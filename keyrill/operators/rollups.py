@@ -64,7 +64,7 @@ def instant_samples(samples: DataFrame) -> DataFrame:
         .select(
             "metric",
             # maps can be neither compared nor sorted; sorted entries can
-            F.array_sort(F.map_entries("labels")).alias("series"),
+            F.sort_array(F.map_entries("labels")).alias("series"),
             ceil_to(at, TICK_US).alias("first_tick"),
             at.alias("at"),
             "value",

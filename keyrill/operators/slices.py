@@ -10,7 +10,7 @@ keys the plan is the plain one.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -30,35 +30,38 @@ class Sliced:
 
     rows: DataFrame
     order: tuple[str, ...]
-    hot_keys: DataFrame | None  # null: no key was cut, and `rows` has no slice column
+    slices: DataFrame | None  # (key, slice) of the keys that were cut; None: no key was, and `rows` has no slice column
 
     @property
     def group(self) -> list[str]:
-        return ["key"] if self.hot_keys is None else ["key", "slice"]
+        return ["key"] if self.slices is None else ["key", "slice"]
 
     def window(self):
         """All rows of the group up to and including the current one."""
         return Window.partitionBy(*self.group).orderBy(*self.order).rowsBetween(Window.unboundedPreceding, 0)
 
     def _replace(self, rows: DataFrame) -> Sliced:
-        return Sliced(rows, self.order, self.hot_keys)
+        return Sliced(rows, self.order, self.slices)
 
-    def _hot_slices(self, *aggregates: Column) -> DataFrame:
-        """One row per slice of the hot keys, at most MAX_SLICES + MAX_HOT_KEYS rows."""
-        hot_rows = self.rows.join(F.broadcast(self.hot_keys), "key", "left_semi")
-        return hot_rows.groupBy("key", "slice").agg(*aggregates)
+    def _carried(self, rows: DataFrame, of_slice: Column, over_slices: Callable[[str], Column]) -> DataFrame:
+        """What the slices before each slice of a cut key carry into it, as (key, slice, _carry).
+
+        One row per slice, so at most MAX_SLICES + MAX_HOT_KEYS rows.
+        """
+        cut_rows = rows.join(F.broadcast(self.slices), ["key", "slice"], "left_semi")
+        parts = cut_rows.groupBy("key", "slice").agg(of_slice.alias("_part"))
+        before = Window.partitionBy("key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+        # from the list of slices, not the parts: a slice without a part of its own still gets a carried value
+        every = self.slices.join(parts, ["key", "slice"], "left")
+        return every.select("key", "slice", over_slices("_part").over(before).alias("_carry"))
 
     def running_sum(self, value: Column, name: str) -> Sliced:
         """Add the sum of `value` over the key's rows so far."""
-        inside = F.sum(value).over(self.window())
-        if self.hot_keys is None:
-            return self._replace(self.rows.withColumn(name, inside))
-        before = Window.partitionBy("key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-        carry = self._hot_slices(F.sum(value).alias("_sum")).select(
-            "key", "slice", F.sum("_sum").over(before).alias("_carry")
-        )
-        rows = self.rows.withColumn(name, inside)
+        rows = self.rows.withColumn(name, F.sum(value).over(self.window()))
+        if self.slices is None:
+            return self._replace(rows)
         kind = rows.schema[name].dataType
+        carry = self._carried(self.rows, F.sum(value), F.sum)
         rows = rows.join(F.broadcast(carry), ["key", "slice"], "left")
         total = F.coalesce(F.col(name) + F.col("_carry"), name, "_carry").cast(kind)
         return self._replace(rows.withColumn(name, total).drop("_carry"))
@@ -70,12 +73,12 @@ class Sliced:
         if before_current:
             window = window.rowsBetween(Window.unboundedPreceding, -1)
         inside = F.last(value, ignorenulls=True).over(window)
-        if self.hot_keys is None:
+        if self.slices is None:
             return self._replace(self.rows.withColumn(name, inside))
-        before = Window.partitionBy("key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-        newest = F.max_by(value, F.when(value.isNotNull(), F.struct(*self.order)))
-        carry = self._hot_slices(newest.alias("_last")).select(
-            "key", "slice", F.last("_last", ignorenulls=True).over(before).alias("_carry")
+        carry = self._carried(
+            self.rows.where(value.isNotNull()),
+            F.max_by(value, F.struct(*self.order)),
+            lambda part: F.last(part, ignorenulls=True),
         )
         # No broadcast hint: the values may be wide. Both sides are hashed on (key, slice), which the window
         # needs in any case.
@@ -83,23 +86,27 @@ class Sliced:
         return self._replace(rows.drop("_carry"))
 
     def result(self) -> DataFrame:
-        return self.rows if self.hot_keys is None else self.rows.drop("slice")
+        return self.rows if self.slices is None else self.rows.drop("slice")
 
 
 def sliced(
     df: DataFrame,
     order: Sequence[str] = ("timestamp", "offset"),
     rows_per_slice: int = ROWS_PER_SLICE,
+    measure: DataFrame | None = None,
 ) -> Sliced:
     """Prepare `df` (with a non-null `key`) for ordered computations, cutting keys of more than `rows_per_slice` rows.
 
-    Costs one aggregation over the key column. The order columns must be integers or timestamps, and together
-    unique within a key: equal positions cannot be told apart, here as in any ordered window.
+    Costs one aggregation over the key column of `measure`, which is `df` unless given: pass the inputs of an expensive
+    `df` instead, with the same key and order columns, so that it is not computed twice. The order columns must be
+    integers or timestamps, and together unique within a key: equal positions cannot be told apart, here as in
+    any ordered window.
     """
     order = tuple(order)
+    measure = df if measure is None else measure
     spark = df.sparkSession
     hot = (
-        df.groupBy("key")
+        measure.groupBy("key")
         .count()
         .where(F.col("count") > rows_per_slice)
         .orderBy(F.desc("count"))
@@ -111,12 +118,15 @@ def sliced(
 
     hot_rows = sum(r["count"] for r in hot)
     target = max(rows_per_slice, -(-hot_rows // MAX_SLICES))
-    counts = [(r["key"], -(-r["count"] // target)) for r in hot]
-    key_type = df.schema["key"].dataType.simpleString()
-    hot_keys = spark.createDataFrame(counts, f"key {key_type}, n int")
-    cuts = _cuts(df, hot_keys, order, SAMPLES_PER_SLICE * sum(n for _, n in counts) / hot_rows)
+    parts = [(r["key"], -(-r["count"] // target)) for r in hot]
+    hot_keys = spark.createDataFrame(parts, "key string, n int")
+    cuts = _cuts(measure, hot_keys, order, SAMPLES_PER_SLICE * sum(n for _, n in parts) / hot_rows)
+    # a slice number counts the cuts before it, so a key's slices start at the number of cuts of the keys before it
+    slices = sorted({(cut["k"], number + step) for number, cut in enumerate(cuts) for step in (0, 1)})
+    if not slices:
+        return Sliced(df, order, None)
     rows = df.withColumn("slice", _slice_number(cuts, order, df))
-    return Sliced(rows, order, hot_keys.select("key"))
+    return Sliced(rows, order, spark.createDataFrame(slices, "key string, slice int"))
 
 
 def _position(df: DataFrame, order: Sequence[str]) -> list[Column]:
@@ -137,7 +147,7 @@ def _cuts(df: DataFrame, hot_keys: DataFrame, order: Sequence[str], fraction: fl
         sample = sample.sample(fraction, seed=17)
     per_key = sample.groupBy("key", "n").agg(F.array_sort(F.collect_list(F.struct(*_position(df, order)))).alias("s"))
     picked = per_key.where("n > 1").select(
-        F.col("key").cast("string").alias("k"),
+        F.col("key").alias("k"),
         F.explode(F.expr("transform(sequence(1, n - 1), i -> s[cast(i * size(s) div n as int)])")).alias("at"),
     )
     rows = picked.select("k", "at.*").distinct().orderBy("k", *[f"o{i}" for i in range(len(order))]).collect()
@@ -152,7 +162,7 @@ def _slice_number(cuts: list[dict], order: Sequence[str], df: DataFrame) -> Colu
     fields = ", ".join(f"o{i}: bigint" for i in range(len(order)))
     array = F.from_json(F.lit(json.dumps(cuts)), f"array<struct<k: string, {fields}>>")
     strides = F.array(*[F.lit(1 << bit) for bit in reversed(range(max(1, len(cuts).bit_length())))])
-    point = F.struct(F.col("key").cast("string").alias("k"), *_position(df, order))
+    point = F.struct(F.col("key").alias("k"), *_position(df, order))
 
     def search(at: Column) -> Column:
         return F.aggregate(

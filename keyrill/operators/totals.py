@@ -54,7 +54,7 @@ def ordered_fold(
     for combine in (step, merge, merge):
         level = _fold_runs(level, [*group, F.floor(F.col("at") / block).alias("at")], "at", init, combine)
     level = _fold_runs(level, group, "at", init, merge)
-    if cut.hot_keys is not None:
+    if cut.slices is not None:
         level = _fold_runs(level, ["key"], "slice", init, merge)
     return level.select("key", F.col("acc").alias(name))
 

@@ -15,38 +15,28 @@ def with_event_time(df: DataFrame, time_ms: str = "time") -> DataFrame:
     return df.withColumn("timestamp", payload_time(F.col(time_ms), F.col("timestamp")))
 
 
-def tumbling_sum(df: DataFrame, value: Column, width: str, name: str = "total") -> DataFrame:
-    """Count and sum per key and window `[start, start + width)`."""
-    window = F.window("timestamp", width)
-    return (
-        keyed(df)
-        .groupBy("key", window.alias("w"))
-        .agg(F.count(F.lit(1)).alias("records"), F.sum(value).alias(name))
-        .select("key", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "records", name)
-    )
+def _window_sum(df: DataFrame, window: Column, records: Column, total: Column, name: str) -> DataFrame:
+    grouped = df.groupBy("key", window.alias("w")).agg(records.alias("records"), total.alias(name))
+    return grouped.select("key", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "records", name)
+
 
+def tumbling_sum(df: DataFrame, value: Column, minutes: int, name: str = "total") -> DataFrame:
+    """Count and sum per key and window `[start, start + minutes)`."""
+    window = F.window("timestamp", f"{minutes} minutes")
+    return _window_sum(keyed(df), window, F.count(F.lit(1)), F.sum(value), name)
 
-def hopping_sum(df: DataFrame, value: Column, width: str, slide: str, name: str = "total") -> DataFrame:
-    """Count and sum per key and overlapping window of `width`, one starting every `slide`.
+
+def hopping_sum(df: DataFrame, value: Column, minutes: int, slide: int, name: str = "total") -> DataFrame:
+    """Count and sum per key and overlapping window, one starting every `slide` minutes.
 
     In batch, rows are first summed into panes one slide wide, and only the panes are copied into the windows that cover
-    them. That needs a width that is a multiple of the slide; streams take the direct form.
+    them. Streams, and windows that are no multiple of their slide, take the direct form.
     """
-    if df.isStreaming:
-        window = F.window("timestamp", width, slide)
-        return (
-            keyed(df)
-            .groupBy("key", window.alias("w"))
-            .agg(F.count(F.lit(1)).alias("records"), F.sum(value).alias(name))
-            .select("key", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "records", name)
-        )
+    window = F.window("timestamp", f"{minutes} minutes", f"{slide} minutes")
+    if df.isStreaming or minutes % slide:
+        return _window_sum(keyed(df), window, F.count(F.lit(1)), F.sum(value), name)
     panes = tumbling_sum(df, value, slide, name).withColumnRenamed("start", "timestamp")
-    window = F.window("timestamp", width, slide)
-    return (
-        panes.groupBy("key", window.alias("w"))
-        .agg(F.sum("records").alias("records"), F.sum(name).alias(name))
-        .select("key", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "records", name)
-    )
+    return _window_sum(panes, window, F.sum("records"), F.sum(name), name)
 
 
 def session_sum(
@@ -77,9 +67,4 @@ def session_sum(
 def session_sum_stream(df: DataFrame, value: Column, gap_minutes: int, name: str = "total") -> DataFrame:
     """Sessions of a stream with a watermark."""
     window = F.session_window("timestamp", f"{gap_minutes} minutes")
-    return (
-        keyed(df)
-        .groupBy("key", window.alias("w"))
-        .agg(F.count(F.lit(1)).alias("records"), F.sum(value).alias(name))
-        .select("key", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "records", name)
-    )
+    return _window_sum(keyed(df), window, F.count(F.lit(1)), F.sum(value), name)

@@ -136,7 +136,7 @@ SELECT key, substr(value, instr(value, '-') + 1) AS value, ts_us, "offset" FROM
 WHERE contains(value, 'purchase-') AND TRY_CAST(substr(value, instr(value, '-') + 1) AS BIGINT) > 1000""",
     "filter_contains": f"""WITH {RECORDS}
 SELECT key, value, ts_us, "offset" FROM records WHERE contains(value, 'purchase-')""",
-    "map_after_dash_text": f"""WITH {RECORDS}
+    "map_after_dash": f"""WITH {RECORDS}
 SELECT key, substr(value, instr(value, '-') + 1) AS value, ts_us, "offset" FROM records""",
     "filter_number_gt": f"""WITH {FLAWED}
 SELECT key, txt AS value, ts_us, "offset" FROM parsed WHERE number > 1000""",
@@ -153,7 +153,7 @@ SELECT 'in' AS tap, count(*) AS records, min(ts_us) AS first_us, max(ts_us) AS l
 UNION ALL
 SELECT 'out', count(*), min(ts_us), max(ts_us) FROM records
 WHERE contains(value, 'purchase-') AND TRY_CAST(substr(value, instr(value, '-') + 1) AS BIGINT) > 1000""",
-    "route_by_prefix_keys": f"""WITH {RECORDS}
+    "route_by_prefix": f"""WITH {RECORDS}
 SELECT CASE WHEN starts_with(value, 'purchase') THEN 'orderNumberKey' WHEN starts_with(value, 'error') THEN 'bogusKey'
             ELSE 'transactionKey' END AS key, value,
        CAST(CASE WHEN starts_with(value, 'purchase') THEN 0 WHEN starts_with(value, 'error') THEN 1 ELSE 2 END AS INTEGER)
@@ -265,7 +265,9 @@ _SAME = {
     "interval_join_stream": "interval_join",
     "enrich_asof_split": "enrich_asof",
     "enrich_asof_stream": "enrich_asof",
+    "combined_orders_split": "combined_orders",
     "combined_orders_stream": "combined_orders",
+    "dead_letters_stream": "dead_letters",
     "tumbling_sum_stream": "tumbling_sum",
     "hopping_sum_stream": "hopping_sum",
     "session_sum_split": "session_sum",

@@ -57,7 +57,9 @@ def join_orders(
         F.col("l.appliance_id").alias("appliance_id"),
         F.unix_millis(time).alias("time"),
     ]
-    return interval_join(appliances, electronics, select, minutes, salts)
+    # a record without a value has no order
+    left, right = (df.where(F.col("order_id").isNotNull()) for df in (appliances, electronics))
+    return interval_join(left, right, select, minutes, salts)
 
 
 def combined_orders(
@@ -70,7 +72,9 @@ def combined_orders(
 ) -> DataFrame:
     """Joined orders with the name the user had at the time; empty where the user was not known."""
     joined = join_orders(appliances, electronics, minutes, wall_clock)
-    named = enrich_asof(joined, users, {"name": ""}, deleted_when_null="name", rows_per_slice=rows_per_slice)
+    inputs = [df.select("key", "timestamp", "offset") for df in (appliances, electronics, users)]
+    measure = inputs[0].unionByName(inputs[1]).unionByName(inputs[2])
+    named = enrich_asof(joined, users, {"name": ""}, "name", rows_per_slice, measure)
     return named.select(
         "key",
         "timestamp",

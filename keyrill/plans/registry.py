@@ -36,11 +36,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 MARK = "purchase-"
 SMALL_SLICE = 25  # cuts keys of the small test tables, to run the path meant for hot keys
-HOUR, QUARTER, SESSION_GAP = "1 hour", "15 minutes", 240
+HOUR, QUARTER, SESSION_GAP = 60, 15, 240  # minutes
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -105,7 +105,7 @@ def filter_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def map_after_dash_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def map_after_dash_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_records(map_after_dash(ev.records(table(spark, sf_dir, "events"))))
 
 
@@ -150,7 +150,7 @@ def tap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def route_by_prefix_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+def route_by_prefix_(spark: SparkSession, sf_dir: str) -> DataFrame:
     routed = route_by_prefix(
         ev.records(table(spark, sf_dir, "events")),
         [("purchase", "orderNumberKey", 0), ("error", "bogusKey", 1)],
@@ -357,6 +357,13 @@ def combined_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def combined_orders_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    clicks, purchases = ev.orders(events, "click"), ev.orders(events, "purchase")
+    return _combined(pipelines.combined_orders(clicks, purchases, ev.users(events), rows_per_slice=SMALL_SLICE))
+
+
 @query
 def combined_orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = event_stream(job_session(spark), sf_dir)
@@ -530,6 +537,13 @@ def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.select("key", "value", "offset", "reason")
 
 
+@query
+def dead_letters_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = flawed_records(event_stream(job_session(spark), sf_dir))
+    _, bad = streaming.run_split(spark, Job.fresh(spark, "dead_letters"), stream)
+    return bad.select("key", "value", "offset", "reason")
+
+
 @query
 def good_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = quality.good_records(quality.with_parse_result(flawed_records(table(spark, sf_dir, "events"))))

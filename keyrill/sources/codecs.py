@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyrill.operators.records import with_defaults
 from keyrill.schemas import avro_schema
 
 REGISTRY_HEADER_BYTES = 5  # one marker byte and a four-byte schema id
@@ -24,9 +23,17 @@ def encode_text(df: DataFrame) -> DataFrame:
 
 
 def _spread(df: DataFrame, record: Column, defaults: dict | None) -> DataFrame:
+    """The record's fields as columns. A record without a value has only nulls, and no defaults."""
     others = [c for c in df.columns if c != "value"]
-    decoded = df.select(*others, record.alias("_record")).select(*others, "_record.*")
-    return with_defaults(decoded, defaults) if defaults else decoded
+    decoded = df.select(*others, record.alias("_record"))
+    defaults = defaults or {}
+    fields = []
+    for name in decoded.schema["_record"].dataType.names:
+        field = F.col(f"_record.{name}")
+        if name in defaults:
+            field = F.when(F.col("_record").isNotNull(), F.coalesce(field, F.lit(defaults[name])))
+        fields.append(field.alias(name))
+    return decoded.select(*others, *fields)
 
 
 def decode_json(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyrill.operators.joins import JOIN_MINUTES
+from keyrill.operators.quality import dead_letters, good_records, with_parse_result
 from keyrill.operators.rollups import LATENESS, windowed_rollup
 from keyrill.operators.tables import latest_by_key
 from keyrill.operators.totals import total_by_key
@@ -87,14 +88,14 @@ def run_combined_orders(
     return named.withColumnRenamed("name", "user_name")
 
 
-def run_tumbling(spark: SparkSession, job: Job, stream: DataFrame, value: Column, width: str) -> DataFrame:
+def run_tumbling(spark: SparkSession, job: Job, stream: DataFrame, value: Column, minutes: int) -> DataFrame:
     """Window sums, updated until the watermark closes a window."""
-    sums = tumbling_sum(stream.withWatermark("timestamp", LATENESS), value, width)
+    sums = tumbling_sum(stream.withWatermark("timestamp", LATENESS), value, minutes)
     return _upserts(spark, job, sums, ("key", "start", "end"))
 
 
-def run_hopping(spark: SparkSession, job: Job, stream: DataFrame, value: Column, width: str, slide: str) -> DataFrame:
-    sums = hopping_sum(stream.withWatermark("timestamp", LATENESS), value, width, slide)
+def run_hopping(spark: SparkSession, job: Job, stream: DataFrame, value: Column, minutes: int, slide: int) -> DataFrame:
+    sums = hopping_sum(stream.withWatermark("timestamp", LATENESS), value, minutes, slide)
     return _upserts(spark, job, sums, ("key", "start", "end"))
 
 
@@ -113,3 +114,18 @@ def run_rollup(spark: SparkSession, job: Job, samples: DataFrame, by: tuple[str,
 
 def run_stateful_totals(spark: SparkSession, job: Job, stream: DataFrame, amount: Column) -> DataFrame:
     return join_salts(_upserts(spark, job, stateful_totals(stream, amount), ("key", "salt")))
+
+
+def run_split(spark: SparkSession, job: Job, stream: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Good and bad records of the number parse, each to its own folder."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        try:
+            good_records(batch).write.mode("overwrite").parquet(f"{job.output}/good/batch={number}")
+            dead_letters(batch).write.mode("overwrite").parquet(f"{job.output}/bad/batch={number}")
+        finally:
+            batch.unpersist()
+
+    finish(job.for_each_batch(with_parse_result(stream), write, "append"))
+    return tuple(spark.read.parquet(f"{job.output}/{side}").drop("batch") for side in ("good", "bad"))
