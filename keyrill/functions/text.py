@@ -8,16 +8,17 @@ from pyspark.sql import functions as F
 
 def after_first_dash(text: Column) -> Column:
     """Text after the first `-`; the whole text where there is none."""
-    return text.substr(F.instr(text, "-") + 1, F.length(text))
+    return F.substring(text, F.instr(text, "-") + 1, F.lit(2**31 - 1))
 
 
 def whole_number(text: Column) -> Column:
     """The text as a bigint, or null where it is not exactly an optional sign and digits, or overflows.
 
-    `try_cast` alone would trim blanks, so `" 7"` would pass; the pattern guards against that. `try_cast`
-    also keeps the parse safe when the optimizer evaluates it before a neighbouring filter.
+    `try_cast` alone would trim blanks, so `" 7"` would pass; the pattern guards against that, and leaves an empty text,
+    which is no number either. `try_cast` also keeps the parse safe when the optimizer evaluates it before
+    a neighbouring filter.
     """
-    return F.when(text.rlike(r"^[+-]?[0-9]+\z"), text.try_cast("bigint"))
+    return F.regexp_extract(text, r"^[+-]?[0-9]+\z", 0).try_cast("bigint")
 
 
 def decimal_number(text: Column) -> Column:

@@ -48,12 +48,13 @@ class Rule:
         return kept
 
 
-def instant_samples(samples: DataFrame) -> DataFrame:
-    """The value of every series at every tick: its newest sample within the look-back `(tick - 5 min, tick]`.
+def valid_samples(samples: DataFrame) -> DataFrame:
+    """The samples that are a series' newest within the look-back `(tick - 5 min, tick]` of some tick, with the
+    first and last such tick, `from_us` and `to_us`.
 
     Steps: the newest sample of each series and tick interval, reduced before the shuffle, so that a series sampled often
     costs one row per interval; the stretches of ticks that each of these reaches into; and, inside a stretch, as many
-    copies of a sample as there are ticks until the next one takes over. No sample is paired with another, and no
+    ticks for a sample as there are until the next one takes over. No sample is paired with another, and no
     (series, stretch) holds more than 65 rows.
     """
     span = LOOKBACK_TICKS * TICK_US
@@ -84,13 +85,20 @@ def instant_samples(samples: DataFrame) -> DataFrame:
     last = F.least(
         F.col("last_tick"), F.col("stretch") + (stretch - TICK_US), F.coalesce(next_tick - TICK_US, F.col("last_tick"))
     )
-    ticks = reach.withColumns({"from": first, "to": last}).where(F.col("from") <= F.col("to"))
-    return ticks.select(
-        "metric",
-        F.map_from_entries("series").alias("labels"),
-        F.explode(F.sequence("from", "to", F.lit(TICK_US))).alias("tick"),
-        "value",
-    ).withColumn("tick", F.timestamp_micros("tick"))
+    valid = reach.withColumns({"from_us": first, "to_us": last}).where("from_us <= to_us")
+    return valid.select("metric", F.map_from_entries("series").alias("labels"), "from_us", "to_us", "value")
+
+
+def at_ticks(valid: DataFrame) -> DataFrame:
+    """One row per sample and tick it is valid at. Whatever is computed from labels is cheaper before than after."""
+    others = [c for c in valid.columns if c not in ("from_us", "to_us")]
+    ticks = F.explode(F.sequence("from_us", "to_us", F.lit(TICK_US).cast("bigint"))).alias("tick")
+    return valid.select(*others, ticks).withColumn("tick", F.timestamp_micros("tick"))
+
+
+def instant_samples(samples: DataFrame) -> DataFrame:
+    """The value of every series at every tick."""
+    return at_ticks(valid_samples(samples))
 
 
 def without_label(df: DataFrame, name: str, value: str) -> DataFrame:
@@ -103,8 +111,15 @@ def _aggregate(kind: str) -> Column:
 
 
 def aggregate_by(df: DataFrame, by: Sequence[str], agg: str = "sum") -> DataFrame:
-    """`agg by (labels)` at each tick; the result has only the labels grouped by. Groups without samples are absent."""
-    grouped = df.groupBy("tick", *[label(name).alias(name) for name in by]).agg(_aggregate(agg).alias("value"))
+    """`agg by (labels)` at each tick, over valid samples or an earlier result; the result has only the labels grouped by.
+
+    Groups without samples are absent.
+    """
+    time = ["tick"] if "tick" in df.columns else ["from_us", "to_us"]
+    rows = df.select(*time, *[label(name).alias(name) for name in by], "value")
+    if "tick" not in df.columns:
+        rows = at_ticks(rows)
+    grouped = rows.groupBy("tick", *by).agg(_aggregate(agg).alias("value"))
     return grouped.select("tick", _labels(by), "value")
 
 
@@ -116,9 +131,9 @@ def _labels(by: Sequence[str]) -> Column:
     return F.map_filter(pairs, lambda _, v: v != "").alias("labels")
 
 
-def evaluate_rule(instants: DataFrame, rule: Rule) -> DataFrame:
-    """One rule over the series values at each tick, as samples of the recorded metric."""
-    df = instants.where(rule.keeps())
+def evaluate_rule(valid: DataFrame, rule: Rule) -> DataFrame:
+    """One rule over the valid samples, as samples of the recorded metric."""
+    df = valid.where(rule.keeps())
     if rule.inner_by is not None:
         df = aggregate_by(df, rule.inner_by, rule.inner_agg)
     return record_as(aggregate_by(df, rule.by, rule.agg), rule.record)
@@ -129,8 +144,8 @@ def record_as(df: DataFrame, metric: str) -> DataFrame:
     return df.select(F.lit(metric).alias("metric"), "labels", F.col("tick").alias("ts"), "value")
 
 
-def evaluate_rules(instants: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """All rules in one pass over the series values, as samples of the recorded metrics.
+def evaluate_rules(valid: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """All rules in one pass over the valid samples, as samples of the recorded metrics.
 
     Rules that read the same metric do not read it again: each sample is tagged with the rules it belongs to, and
     grouped once by (rule, tick, labels used). Rules with an inner aggregation go through it in a second grouping.
@@ -139,8 +154,10 @@ def evaluate_rules(instants: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     plain = [rule for rule in rules if rule.inner_by is None]
     nested = [rule for rule in rules if rule.inner_by is not None]
 
+    flat = valid.select("metric", "labels", "from_us", "to_us", "value", *[label(n).alias(n) for n in names])
+
     def label_columns(by: Sequence[str]) -> list[Column]:
-        return [(label(n) if n in by else F.lit("")).alias(n) for n in names]
+        return [(F.col(n) if n in by else F.lit("")).alias(n) for n in names]
 
     def tagged(some: Sequence[Rule], by) -> DataFrame:
         tags = F.array_compact(
@@ -155,7 +172,7 @@ def evaluate_rules(instants: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             )
         )
         metrics = sorted({rule.metric for rule in some})
-        return instants.where(F.col("metric").isin(metrics)).select("tick", "value", F.inline(tags))
+        return at_ticks(flat.where(F.col("metric").isin(metrics)).select("from_us", "to_us", "value", F.inline(tags)))
 
     def pick(some: Sequence[Rule], kind) -> Column:
         chosen = None

@@ -311,7 +311,7 @@ def interval_join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def interval_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = event_stream(job_session(spark), sf_dir)
+    events = event_stream(job_session(spark, idle_batches=False), sf_dir)
     job = Job.fresh(spark, "interval_join")
     return _pairs(streaming.run_join(spark, job, ev.orders(events, "click"), ev.orders(events, "purchase")))
 
@@ -366,7 +366,7 @@ def combined_orders_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def combined_orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = event_stream(job_session(spark), sf_dir)
+    events = event_stream(job_session(spark, idle_batches=False), sf_dir)
     job = Job.fresh(spark, "combined_orders")
     return _combined(
         streaming.run_combined_orders(
@@ -378,8 +378,8 @@ def combined_orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- metric rollups --------------------------------------------------------------------------------------------------
 
 
-def _instants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.instant_samples(ev.samples(table(spark, sf_dir, "events")))
+def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.valid_samples(ev.samples(table(spark, sf_dir, "events")))
 
 
 def _flat(df: DataFrame, *labels: str, time: str = "tick") -> list[Column]:
@@ -389,32 +389,33 @@ def _flat(df: DataFrame, *labels: str, time: str = "tick") -> list[Column]:
 @query
 def instant_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The value of every series at every tick."""
-    df = _instants(spark, sf_dir)
+    df = rollups.at_ticks(_valid(spark, sf_dir))
     return df.select("metric", *_flat(df, "user", "kind", "topic"))
 
 
 @query
 def instant_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _instants(spark, sf_dir).groupBy("metric", "tick").agg(F.sum("value").alias("value"))
+    rows = _valid(spark, sf_dir).select("metric", "from_us", "to_us", "value")
+    df = rollups.at_ticks(rows).groupBy("metric", "tick").agg(F.sum("value").alias("value"))
     return df.select("metric", us("tick", "tick_us"), "value")
 
 
 @query
 def sum_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = rollups.aggregate_by(_instants(spark, sf_dir), ("kind", "topic"))
+    df = rollups.aggregate_by(_valid(spark, sf_dir), ("kind", "topic"))
     return df.select(*_flat(df, "kind", "topic"))
 
 
 @query
 def sum_by_label_neq(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Samples without the label are kept."""
-    df = rollups.aggregate_by(rollups.without_label(_instants(spark, sf_dir), "topic", "t1"), ("kind", "topic"))
+    df = rollups.aggregate_by(rollups.without_label(_valid(spark, sf_dir), "topic", "t1"), ("kind", "topic"))
     return df.select(*_flat(df, "kind", "topic"))
 
 
 @query
 def sum_of_max(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inner = rollups.aggregate_by(_instants(spark, sf_dir), ("kind", "topic"), "max")
+    inner = rollups.aggregate_by(_valid(spark, sf_dir), ("kind", "topic"), "max")
     df = rollups.aggregate_by(inner, ("topic",))
     return df.select(*_flat(df, "topic"))
 
@@ -422,22 +423,22 @@ def sum_of_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def count_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Series above a threshold, counted."""
-    df = rollups.aggregate_by(_instants(spark, sf_dir).where("value > 2000"), ("kind",), "count")
+    df = rollups.aggregate_by(_valid(spark, sf_dir).where("value > 2000"), ("kind",), "count")
     return df.select(*_flat(df, "kind"))
 
 
 @query
 def record_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     rule = rollups.Rule("clicks_by_kind:total", "click", ("kind",), not_equal=("topic", "t1"))
-    df = rollups.evaluate_rule(_instants(spark, sf_dir), rule)
+    df = rollups.evaluate_rule(_valid(spark, sf_dir), rule)
     return df.select("metric", *_flat(df, "kind", time="ts"))
 
 
 @query
 def rule_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All fifteen recording rules in one pass."""
-    instants = rollups.instant_samples(ev.broker_samples(table(spark, sf_dir, "events")))
-    df = rollups.evaluate_rules(instants, recording_rules())
+    valid = rollups.valid_samples(ev.broker_samples(table(spark, sf_dir, "events")))
+    df = rollups.evaluate_rules(valid, recording_rules())
     return df.select("metric", *_flat(df, CLUSTER, BROKER, TOPIC, PARTITION, time="ts"))
 
 

@@ -18,7 +18,7 @@ from keyrill.operators.windows import hopping_sum, session_sum_stream, tumbling_
 from keyrill.plans.pipelines import ORDER_LIMIT, ORDER_MARK, join_orders, order_numbers
 from keyrill.streaming.enrich import start_enrich
 from keyrill.streaming.jobs import Job, finish
-from keyrill.streaming.state import join_salts, stateful_totals
+from keyrill.streaming.state import stateful_totals
 from keyrill.streaming.upserts import UpsertTable
 
 NO_GRACE = "0 seconds"  # fixed value: the order streams wait for no late records
@@ -113,7 +113,7 @@ def run_rollup(spark: SparkSession, job: Job, samples: DataFrame, by: tuple[str,
 
 
 def run_stateful_totals(spark: SparkSession, job: Job, stream: DataFrame, amount: Column) -> DataFrame:
-    return join_salts(_upserts(spark, job, stateful_totals(stream, amount), ("key", "salt")))
+    return _upserts(spark, job, stateful_totals(stream, amount), ("key",))
 
 
 def run_split(spark: SparkSession, job: Job, stream: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -5,45 +5,44 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from keyrill.operators.records import keyed
 
-SALTS = 16
+TOTALS = "key string, total bigint, records bigint"
 
 
 class RunningTotal(StatefulProcessor):
     """Keeps the total and the number of records of a key, and sends both after each micro-batch."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.totals = handle.getValueState("totals", "total bigint, records bigint")
+        self.state = handle.getValueState("totals", "total bigint, records bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        total, records = self.totals.get() if self.totals.exists() else (0, 0)
+        total, records = self.state.get() if self.state.exists() else (0, 0)
         for part in rows:
-            total += int(part["amount"].sum())
-            records += len(part)
-        self.totals.update((total, records))
-        yield pd.DataFrame({"key": [key[0]], "salt": [key[1]], "total": [total], "records": [records]})
+            total += int(part["total"].sum())
+            records += int(part["records"].sum())
+        self.state.update((total, records))
+        yield pd.DataFrame({"key": [key[0]], "total": [total], "records": [records]})
 
     def close(self) -> None:
         pass
 
 
-def stateful_totals(stream: DataFrame, amount, salts: int = SALTS) -> DataFrame:
-    """Totals of a bigint amount per (key, salt). The salt spreads a hot key over several tasks; see `join_salts`."""
-    salt = F.pmod(F.xxhash64("timestamp", "offset"), F.lit(salts)).cast("int")
-    rows = keyed(stream).select("key", salt.alias("salt"), amount.cast("bigint").alias("amount"))
-    return (
-        rows.where(F.col("amount").isNotNull())
-        .groupBy("key", "salt")
-        .transformWithStateInPandas(
-            RunningTotal(), "key string, salt int, total bigint, records bigint", "update", "none"
-        )
-    )
+def partial_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sum each Arrow batch by key, so that a hot key reaches its one stateful task as a row per batch."""
+    for batch in batches:
+        sums = pa.Table.from_batches([batch]).group_by("key").aggregate([("amount", "sum"), ("amount", "count")])
+        columns = {"key": "key", "amount_sum": "total", "amount_count": "records"}
+        renamed = pa.table({new: sums.column(old) for old, new in columns.items()})
+        yield from renamed.combine_chunks().to_batches()
 
 
-def join_salts(totals: DataFrame) -> DataFrame:
-    return totals.groupBy("key").agg(F.sum("total").alias("total"), F.sum("records").alias("records"))
+def stateful_totals(stream: DataFrame, amount: Column) -> DataFrame:
+    """Total and count of a bigint amount per key, one row per key and micro-batch."""
+    rows = keyed(stream).select("key", amount.cast("bigint").alias("amount"))
+    partial = rows.where("amount is not null").mapInArrow(partial_totals, TOTALS)
+    return partial.groupBy("key").transformWithStateInPandas(RunningTotal(), TOTALS, "update", "none")

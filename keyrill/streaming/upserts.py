@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keyrill.operators.tables import newest_rows
+
 
 def newest(changes: DataFrame, keys: Sequence[str], by: str = "batch") -> DataFrame:
-    others = [c for c in changes.columns if c not in (*keys, by)]
-    row = F.max_by(F.struct(*others), F.col(by)).alias("row")
-    return changes.groupBy(*keys).agg(row).select(*keys, "row.*")
+    return newest_rows(changes, keys, (by,)).drop(by)
 
 
 @dataclass(frozen=True)

@@ -50,7 +50,7 @@ def named(record, **by):
 
 
 def test_fixture(fixture_samples):
-    df = rollups.evaluate_rules(rollups.instant_samples(fixture_samples), recording_rules())
+    df = rollups.evaluate_rules(rollups.valid_samples(fixture_samples), recording_rules())
     got = results(df, data.at(1))
     assert got[named("log_size_by_broker", cluster="c1", broker="1")] == 17
     assert got[named("log_size_by_broker", cluster="c1", broker="2")] == 7
@@ -139,20 +139,20 @@ def collected(df, time="tick"):
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_against_a_plain_evaluation(spark, seed):
     rows = random_samples(seed)
-    instants = rollups.instant_samples(spark.createDataFrame(rows, METRIC_SAMPLE))
+    valid = rollups.valid_samples(spark.createDataFrame(rows, METRIC_SAMPLE))
     plain = plain_instants(rows)
-    assert collected(instants) == plain
+    assert collected(rollups.at_ticks(valid)) == plain
     want = {}
     for rule in recording_rules():
         want |= plain_rule(plain, rule)
-    assert collected(rollups.evaluate_rules(instants, recording_rules()), "ts") == want
+    assert collected(rollups.evaluate_rules(valid, recording_rules()), "ts") == want
 
 
 def test_one_rule_equals_the_same_rule_among_all(spark):
-    instants = rollups.instant_samples(spark.createDataFrame(random_samples(9), METRIC_SAMPLE))
-    every = collected(rollups.evaluate_rules(instants, recording_rules()), "ts")
+    valid = rollups.valid_samples(spark.createDataFrame(random_samples(9), METRIC_SAMPLE))
+    every = collected(rollups.evaluate_rules(valid, recording_rules()), "ts")
     for rule in recording_rules()[::4] + recording_rules()[11:12]:
-        alone = collected(rollups.evaluate_rule(instants, rule), "ts")
+        alone = collected(rollups.evaluate_rule(valid, rule), "ts")
         assert alone == {k: v for k, v in every.items() if k[0] == rule.record}
 
 
@@ -169,17 +169,17 @@ def test_busy_series_is_one_row_per_interval(spark):
 
 
 def test_rules_without_labels_and_max(spark):
-    instants = rollups.instant_samples(spark.createDataFrame(random_samples(4), METRIC_SAMPLE))
+    valid = rollups.valid_samples(spark.createDataFrame(random_samples(4), METRIC_SAMPLE))
     rules = [Rule("all", "log_tier_size", ()), Rule("top", "log_tier_size", (TOPIC,), agg="max")]
     plain = plain_instants(random_samples(4))
     want = plain_rule(plain, rules[0]) | plain_rule(plain, rules[1])
-    assert collected(rollups.evaluate_rules(instants, rules), "ts") == want
-    assert collected(rollups.evaluate_rule(instants, rules[0]), "ts") == plain_rule(plain, rules[0])
+    assert collected(rollups.evaluate_rules(valid, rules), "ts") == want
+    assert collected(rollups.evaluate_rule(valid, rules[0]), "ts") == plain_rule(plain, rules[0])
 
 
 def test_recorded_rule_can_be_read_as_samples(fixture_samples):
-    instants = rollups.instant_samples(fixture_samples)
-    recorded = rollups.evaluate_rule(instants, recording_rules()[0])
+    valid = rollups.valid_samples(fixture_samples)
+    recorded = rollups.evaluate_rule(valid, recording_rules()[0])
     both = fixture_samples.unionByName(recorded)
     assert both.where("metric like 'code:%'").count() == recorded.count() > 0
 

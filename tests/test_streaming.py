@@ -12,7 +12,7 @@ from keyrill.plans.pipelines import combined_orders, join_orders, order_numbers
 from keyrill.streaming import pipelines as streaming
 from keyrill.streaming.enrich import start_enrich
 from keyrill.streaming.jobs import Job, finish, job_session, shared_folder, stop, work_folder
-from keyrill.streaming.state import join_salts, stateful_totals
+from keyrill.streaming.state import partial_totals
 from keyrill.streaming.upserts import UpsertTable
 from tests import data
 
@@ -192,7 +192,8 @@ def test_stop_is_timely(spark, tmp_path):
     assert not query.isActive
 
 
-def test_salted_state_sums_to_the_key(spark):
-    parts = spark.createDataFrame([("a", 0, 5, 1), ("a", 3, 7, 2), ("b", 1, 1, 1)], "key string, salt int, total bigint, records bigint")
-    assert data.rows_of(join_salts(parts)) == [("a", 12, 3), ("b", 1, 1)]
-    assert callable(stateful_totals)
+def test_rows_of_a_hot_key_are_summed_before_the_shuffle(spark):
+    rows = spark.range(20_000).selectExpr("if(id % 3 = 0, 'hot', cast(id % 100 as string)) key", "1L amount")
+    sums = rows.coalesce(1).mapInArrow(partial_totals, "key string, total bigint, records bigint")
+    assert sums.where("key = 'hot'").count() <= 3
+    assert sums.groupBy().sum("total", "records").first() == (20_000, 20_000)
