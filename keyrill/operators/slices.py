@@ -30,7 +30,8 @@ class Sliced:
 
     rows: DataFrame
     order: tuple[str, ...]
-    slices: DataFrame | None  # (key, slice) of the keys that were cut; None: no key was, and `rows` has no slice column
+    slices: DataFrame | None = None  # (key, slice) of the keys that were cut; None: no key was, `rows` has no slice
+    is_hot: Column | None = None  # tells the rows of those keys
 
     @property
     def group(self) -> list[str]:
@@ -41,15 +42,14 @@ class Sliced:
         return Window.partitionBy(*self.group).orderBy(*self.order).rowsBetween(Window.unboundedPreceding, 0)
 
     def _replace(self, rows: DataFrame) -> Sliced:
-        return Sliced(rows, self.order, self.slices)
+        return Sliced(rows, self.order, self.slices, self.is_hot)
 
     def _carried(self, rows: DataFrame, of_slice: Column, over_slices: Callable[[str], Column]) -> DataFrame:
         """What the slices before each slice of a cut key carry into it, as (key, slice, _carry).
 
         One row per slice, so at most MAX_SLICES + MAX_HOT_KEYS rows.
         """
-        cut_rows = rows.join(F.broadcast(self.slices), ["key", "slice"], "left_semi")
-        parts = cut_rows.groupBy("key", "slice").agg(of_slice.alias("_part"))
+        parts = rows.where(self.is_hot).groupBy("key", "slice").agg(of_slice.alias("_part"))
         before = Window.partitionBy("key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
         # from the list of slices, not the parts: a slice without a part of its own still gets a carried value
         every = self.slices.join(parts, ["key", "slice"], "left")
@@ -114,19 +114,19 @@ def sliced(
         .collect()
     )
     if not hot:
-        return Sliced(df, order, None)
+        return Sliced(df, order)
 
     hot_rows = sum(r["count"] for r in hot)
     target = max(rows_per_slice, -(-hot_rows // MAX_SLICES))
-    parts = [(r["key"], -(-r["count"] // target)) for r in hot]
-    hot_keys = spark.createDataFrame(parts, "key string, n int")
-    cuts = _cuts(measure, hot_keys, order, SAMPLES_PER_SLICE * sum(n for _, n in parts) / hot_rows)
+    parts = {r["key"]: -(-r["count"] // target) for r in hot}
+    is_hot = F.col("key").isin(list(parts))
+    cuts = _cuts(measure.where(is_hot), parts, order, min(1.0, SAMPLES_PER_SLICE * sum(parts.values()) / hot_rows))
     # a slice number counts the cuts before it, so a key's slices start at the number of cuts of the keys before it
     slices = sorted({(cut["k"], number + step) for number, cut in enumerate(cuts) for step in (0, 1)})
     if not slices:
-        return Sliced(df, order, None)
-    rows = df.withColumn("slice", _slice_number(cuts, order, df))
-    return Sliced(rows, order, spark.createDataFrame(slices, "key string, slice int"))
+        return Sliced(df, order)
+    rows = df.withColumn("slice", F.when(is_hot, _slice_number(cuts, order, df)).otherwise(F.lit(0)))
+    return Sliced(rows, order, spark.createDataFrame(slices, "key string, slice int"), is_hot)
 
 
 def _position(df: DataFrame, order: Sequence[str]) -> list[Column]:
@@ -137,31 +137,32 @@ def _position(df: DataFrame, order: Sequence[str]) -> list[Column]:
     ]
 
 
-def _cuts(df: DataFrame, hot_keys: DataFrame, order: Sequence[str], fraction: float) -> list[dict]:
-    """Positions that cut each hot key into slices of about equal size, read off a sample of its positions.
+def _cuts(hot: DataFrame, parts: dict[str, int], order: Sequence[str], fraction: float) -> list[dict]:
+    """Positions that cut each hot key into its number of parts of about equal size, in order of key and position.
 
-    The sample only places the cuts; any cuts give the same results.
+    They are read off a sample of the positions. The sample only places the cuts; any cuts give the same results.
     """
-    sample = df.join(F.broadcast(hot_keys), "key")
-    if fraction < 1.0:
-        sample = sample.sample(fraction, seed=17)
-    per_key = sample.groupBy("key", "n").agg(F.array_sort(F.collect_list(F.struct(*_position(df, order)))).alias("s"))
-    picked = per_key.where("n > 1").select(
-        F.col("key").alias("k"),
-        F.explode(F.expr("transform(sequence(1, n - 1), i -> s[cast(i * size(s) div n as int)])")).alias("at"),
+    sample = hot.select("key", F.struct(*_position(hot, order)).alias("at")).sample(fraction, seed=17)
+    counts = hot.sparkSession.createDataFrame(list(parts.items()), "key string, n int").where("n > 1")
+    picked = (
+        sample.groupBy("key")
+        .agg(F.array_sort(F.collect_list("at")).alias("s"))
+        .join(F.broadcast(counts), "key")
+        .select(
+            F.col("key").alias("k"),
+            F.explode(F.expr("transform(sequence(1, n - 1), i -> s[cast(i * size(s) div n as int)])")).alias("at"),
+        )
     )
-    rows = picked.select("k", "at.*").distinct().orderBy("k", *[f"o{i}" for i in range(len(order))]).collect()
-    return [row.asDict() for row in rows]
+    # text compares by its UTF-8 bytes in Spark
+    rows = {(row["k"].encode(), tuple(row["at"])) for row in picked.collect()}
+    return [{"k": k.decode(), **{f"o{i}": v for i, v in enumerate(at)}} for k, at in sorted(rows)]
 
 
 def _slice_number(cuts: list[dict], order: Sequence[str], df: DataFrame) -> Column:
-    """How many cuts lie at or before a row's (key, position): a binary search in a literal array.
-
-    All rows of a key that was not cut get the same number.
-    """
+    """How many cuts lie at or before a row's (key, position): a binary search in a literal array."""
     fields = ", ".join(f"o{i}: bigint" for i in range(len(order)))
     array = F.from_json(F.lit(json.dumps(cuts)), f"array<struct<k: string, {fields}>>")
-    strides = F.array(*[F.lit(1 << bit) for bit in reversed(range(max(1, len(cuts).bit_length())))])
+    strides = F.array(*[F.lit(1 << bit) for bit in reversed(range(len(cuts).bit_length()))])
     point = F.struct(F.col("key").alias("k"), *_position(df, order))
 
     def search(at: Column) -> Column:
@@ -171,5 +172,6 @@ def _slice_number(cuts: list[dict], order: Sequence[str], df: DataFrame) -> Colu
             lambda low, stride: F.when(F.get(array, low + stride - 1) <= at, low + stride).otherwise(low),
         )
 
-    # transform over a one-element array builds the point once per row instead of once per comparison
-    return F.transform(F.array(point), search)[0]
+    # transform over a one-element array builds the point once per row instead of once per comparison; coalesce only
+    # tells the optimizer that the number is never null, so that no null test computes it again
+    return F.coalesce(F.transform(F.array(point), search)[0], F.lit(0))

@@ -71,20 +71,13 @@ def users(events: DataFrame) -> DataFrame:
 
 
 def samples(events: DataFrame) -> DataFrame:
-    """Events as samples: the type is the metric; user, kind and sometimes topic are labels."""
-    labels = F.create_map(
-        F.lit("user"),
-        F.col("user_id").cast("string"),
-        F.lit("kind"),
-        (props_k() % 5).cast("string"),
-        F.lit("topic"),
-        F.concat(F.lit("t"), (props_k() % 3).cast("string")),
-    )
-    # events with an even k have no topic label at all
-    present = F.map_filter(labels, lambda name, _: (name != "topic") | (props_k() % 2 == 1))
+    """Events as samples: the type is the metric; user, kind and, for odd k only, topic are labels."""
+    events = events.withColumn("k", props_k())
+    labels = [F.lit("user"), F.col("user_id").cast("string"), F.lit("kind"), (F.col("k") % 5).cast("string")]
+    topic = [F.lit("topic"), F.concat(F.lit("t"), (F.col("k") % 3).cast("string"))]
     return events.select(
         F.col("event_type").alias("metric"),
-        present.alias("labels"),
+        F.when(F.col("k") % 2 == 1, F.create_map(*labels, *topic)).otherwise(F.create_map(*labels)).alias("labels"),
         F.col("ts").cast("timestamp").alias("ts"),
         # whole numbers, so that sums do not depend on the order of addition
         F.floor(F.col("value") * 100).cast("double").alias("value"),
@@ -95,7 +88,8 @@ def broker_samples(events: DataFrame) -> DataFrame:
     """Events as samples of the metrics the recording rules read."""
     metrics = sorted({rule.metric for rule in recording_rules()})
     names = F.array(*[F.lit(m) for m in metrics])
-    topic = F.when(props_k() % 10 == 0, F.lit("__cluster_metadata")).otherwise(F.col("event_type"))
+    events = events.withColumn("k", props_k())
+    topic = F.when(F.col("k") % 10 == 0, F.lit("__cluster_metadata")).otherwise(F.col("event_type"))
     labels = F.create_map(
         F.lit(CLUSTER),
         F.concat(F.lit("c"), (F.col("user_id") % 2).cast("string")),
@@ -104,7 +98,7 @@ def broker_samples(events: DataFrame) -> DataFrame:
         F.lit(TOPIC),
         topic,
         F.lit(PARTITION),
-        (props_k() % 4).cast("string"),
+        (F.col("k") % 4).cast("string"),
     )
     value = F.when(F.col("value") < 10, F.lit(0.0)).otherwise(F.floor("value").cast("double"))
     return events.select(
