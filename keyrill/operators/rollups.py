@@ -160,19 +160,18 @@ def evaluate_rules(valid: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         return [(F.col(n) if n in by else F.lit("")).alias(n) for n in names]
 
     def tagged(some: Sequence[Rule], by) -> DataFrame:
-        tags = F.array_compact(
-            F.array(
-                *[
-                    F.when(
-                        rule.keeps(),
-                        F.struct(F.lit(rule.record).alias("record"), *label_columns(by(rule))),
-                    )
-                    for rule in some
-                ]
-            )
-        )
-        metrics = sorted({rule.metric for rule in some})
-        return at_ticks(flat.where(F.col("metric").isin(metrics)).select("from_us", "to_us", "value", F.inline(tags)))
+        """Each sample once for every rule it belongs to."""
+        tags = None
+        for metric in sorted({rule.metric for rule in some}):
+            structs = [
+                F.when(rule.keeps(), F.struct(F.lit(rule.record).alias("record"), *label_columns(by(rule))))
+                for rule in some
+                if rule.metric == metric
+            ]
+            test = F.col("metric") == metric
+            tags = F.when(test, F.array(*structs)) if tags is None else tags.when(test, F.array(*structs))
+        rows = flat.where(F.col("metric").isin([rule.metric for rule in some]))
+        return at_ticks(rows.select("from_us", "to_us", "value", F.inline(tags)).where("record is not null"))
 
     def pick(some: Sequence[Rule], kind) -> Column:
         chosen = None

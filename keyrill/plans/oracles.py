@@ -221,6 +221,9 @@ SELECT tick_us, kind, CAST(count(*) AS DOUBLE) AS value FROM instants WHERE valu
 SELECT 'clicks_by_kind:total' AS metric, tick_us, kind, sum(value) AS value
 FROM instants WHERE metric = 'click' AND topic <> 't1' GROUP BY ALL""",
     "rule_suite": f"WITH {BROKER_INSTANTS}\n" + "\nUNION ALL\n".join(_rule_sql(rule) for rule in recording_rules()),
+    "rule_suite_stream": f"WITH {BROKER_INSTANTS}\nSELECT * FROM (\n"
+    + "\nUNION ALL\n".join(_rule_sql(rule) for rule in recording_rules())
+    + "\n) WHERE tick_us < (SELECT max(at_us) FROM samples)",
     "promote_labels": """
 SELECT event_id, 'h' || (user_id % 4) AS host_hostname, CAST(user_id % 3 AS VARCHAR) AS kafka_broker_id,
        CASE WHEN event_id % 2 = 0 THEN 'own-' || event_type ELSE event_type END AS type, '' AS process_pid,

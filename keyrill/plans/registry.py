@@ -442,6 +442,14 @@ def rule_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("metric", *_flat(df, CLUSTER, BROKER, TOPIC, PARTITION, time="ts"))
 
 
+@query
+def rule_suite_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules at every tick before the newest sample."""
+    samples = ev.broker_samples(event_stream(job_session(spark), sf_dir))
+    df = streaming.run_rules(spark, Job.fresh(spark, "rules"), samples, recording_rules())
+    return df.select("metric", *_flat(df, CLUSTER, BROKER, TOPIC, PARTITION, time="ts"))
+
+
 @query
 def promote_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     attributes = F.create_map(

@@ -6,18 +6,22 @@ batch DataFrame read from what the job wrote.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyrill.operators.joins import JOIN_MINUTES
 from keyrill.operators.quality import dead_letters, good_records, with_parse_result
-from keyrill.operators.rollups import LATENESS, windowed_rollup
+from keyrill.operators.rollups import LATENESS, Rule, windowed_rollup
 from keyrill.operators.tables import latest_by_key
 from keyrill.operators.totals import total_by_key
 from keyrill.operators.windows import hopping_sum, session_sum_stream, tumbling_sum
 from keyrill.plans.pipelines import ORDER_LIMIT, ORDER_MARK, join_orders, order_numbers
+from keyrill.schemas import METRIC_SAMPLE
 from keyrill.streaming.enrich import start_enrich
 from keyrill.streaming.jobs import Job, finish
+from keyrill.streaming.rules import start_rules
 from keyrill.streaming.state import stateful_totals
 from keyrill.streaming.upserts import UpsertTable
 
@@ -112,6 +116,12 @@ def run_rollup(spark: SparkSession, job: Job, samples: DataFrame, by: tuple[str,
     return _upserts(spark, job, rollup, ("tick", *by))
 
 
+def run_rules(spark: SparkSession, job: Job, samples: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The recorded samples of all rules, up to the last tick before the newest sample."""
+    finish(start_rules(job, samples, rules))
+    return spark.read.schema(METRIC_SAMPLE).parquet(job.output)
+
+
 def run_stateful_totals(spark: SparkSession, job: Job, stream: DataFrame, amount: Column) -> DataFrame:
     return _upserts(spark, job, stateful_totals(stream, amount), ("key",))
 

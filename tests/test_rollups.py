@@ -10,6 +10,8 @@ from keyrill.operators import rollups
 from keyrill.operators.rollups import Rule
 from keyrill.plans.rules import BROKER, CLUSTER, PARTITION, PROMOTED_ATTRIBUTES, TOPIC, recording_rules
 from keyrill.schemas import METRIC_SAMPLE
+from keyrill.streaming.jobs import Job, job_session
+from keyrill.streaming.pipelines import run_rules
 from tests import data
 
 
@@ -189,3 +191,18 @@ def test_promoted_labels(spark):
     df = spark.createDataFrame(rows, "labels map<string,string>, attributes map<string,string>")
     got = rollups.promote_labels(df, "attributes", PROMOTED_ATTRIBUTES).first().labels
     assert got == {"type": "own", "x": "1", "kafka_broker_id": "7"}
+
+
+@pytest.mark.parametrize("batches", [1, 4])
+def test_rules_on_a_stream(spark, tmp_path, batches):
+    """Every tick once, from samples cut by time into micro-batches; the last tick waits for a sample past it."""
+    rows = sorted(random_samples(6), key=lambda r: r[2])
+    samples = spark.createDataFrame(rows, METRIC_SAMPLE)
+    stream = data.streamed(job_session(spark), samples, tmp_path / "in", batches, order="ts")
+    got = run_rules(spark, Job("rules", str(tmp_path / "job")), stream, recording_rules())
+    newest = max(r[2] for r in rows)
+    plain, want = plain_instants(rows), {}
+    for rule in recording_rules():
+        want |= plain_rule(plain, rule)
+    assert got.count() == len(collected(got, "ts"))
+    assert collected(got, "ts") == {k: v for k, v in want.items() if k[2] < newest}
