@@ -51,20 +51,15 @@ class Topic:
         mode = "overwrite" if replace else "ignore"
         laid_out(df, partitions).write.mode(mode).partitionBy("partition").parquet(f"{self.path}/load={load}")
 
-    def write_stream(self, df: DataFrame, checkpoint: str, name: str):
-        """Start writing a stream to the topic; ends once all records now available are written."""
+    def write_stream(self, df: DataFrame, checkpoint: str, name: str, available_now: bool = True):
+        """Start writing a stream to the topic; with `available_now` it ends once the records there are written."""
         if self.servers is not None:
             writer = kafka_sink(df).writeStream.format("kafka").options(**self._sink_options())
         else:
             placed = with_partition(df, PARTITIONS).withColumn("load", F.lit("stream"))
             writer = placed.writeStream.format("parquet").partitionBy("load", "partition").option("path", self.path)
-        return (
-            writer.outputMode("append")
-            .queryName(name)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
+        writer = writer.outputMode("append").queryName(name).option("checkpointLocation", checkpoint)
+        return (writer.trigger(availableNow=True) if available_now else writer).start()
 
     def _sink_options(self) -> dict[str, str]:
         return {"kafka.bootstrap.servers": self.servers, "topic": self.path, **self.options}

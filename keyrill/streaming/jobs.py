@@ -8,6 +8,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQueryListener
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _KEPT = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.autoBroadcastJoinThreshold")
@@ -43,6 +44,8 @@ def job_session(spark: SparkSession, partitions: int | None = None, idle_batches
     session.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(idle_batches).lower())
+    # sessions are merged before the shuffle as well, for the sake of hot keys
+    session.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     return session
 
 
@@ -69,9 +72,7 @@ class Job:
         return f"{self.folder}/output"
 
     def _writer(self, df: DataFrame, mode: str, available_now: bool):
-        writer = (
-            df.writeStream.outputMode(mode).queryName(self.name).option("checkpointLocation", self.checkpoint)
-        )
+        writer = df.writeStream.outputMode(mode).queryName(self.name).option("checkpointLocation", self.checkpoint)
         return writer.trigger(availableNow=True) if available_now else writer
 
     def append(self, df: DataFrame, available_now: bool = True):
@@ -83,6 +84,26 @@ class Job:
         return self._writer(df, mode, available_now).foreachBatch(write).start()
 
 
+class TapLog(StreamingQueryListener):
+    """Adds up what the taps of streaming queries saw; register it with `spark.streams.addListener`."""
+
+    def __init__(self) -> None:
+        self.records: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        for name, seen in event.progress.observedMetrics.items():
+            self.records[name] = self.records.get(name, 0) + seen.records
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def finish(query, timeout: float | None = None) -> None:
     """Wait for the end of a query that stops by itself; a failed query raises `StreamingQueryException`."""
     query.awaitTermination(timeout) if timeout else query.awaitTermination()

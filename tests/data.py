@@ -10,6 +10,7 @@ from keyrill.schemas import ENVELOPE
 
 T0 = datetime(2024, 1, 1)
 
+# The sample records of the four pipelines.
 TEXT = [
     ("order", "orderNumber-1001", 0),
     ("order", "orderNumber-5000", 0),

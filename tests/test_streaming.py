@@ -1,17 +1,20 @@
 """Streams equal batch, resume where they stopped, and may repeat a batch."""
 
+import time
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from keyrill.operators.joins import enrich_asof
+from keyrill.operators.records import tap
 from keyrill.operators.rollups import windowed_rollup
 from keyrill.operators.totals import total_by_key
-from keyrill.operators.windows import tumbling_sum
+from keyrill.operators.windows import session_sum, tumbling_sum
 from keyrill.plans.pipelines import combined_orders, join_orders, order_numbers
 from keyrill.streaming import pipelines as streaming
 from keyrill.streaming.enrich import start_enrich
-from keyrill.streaming.jobs import Job, finish, job_session, shared_folder, stop, work_folder
+from keyrill.streaming.jobs import Job, TapLog, finish, job_session, shared_folder, stop, work_folder
 from keyrill.streaming.state import partial_totals
 from keyrill.streaming.upserts import UpsertTable
 from tests import data
@@ -197,3 +200,28 @@ def test_rows_of_a_hot_key_are_summed_before_the_shuffle(spark):
     sums = rows.coalesce(1).mapInArrow(partial_totals, "key string, total bigint, records bigint")
     assert sums.where("key = 'hot'").count() <= 3
     assert sums.groupBy().sum("total", "records").first() == (20_000, 20_000)
+
+
+def test_taps_of_a_stream(spark, tmp_path):
+    session, log = job_session(spark), TapLog()
+    session.streams.addListener(log)
+    try:
+        stream = tap(data.streamed(session, data.text_records(spark), tmp_path / "in", 3), "seen")
+        finish(Job("tapped", str(tmp_path / "job")).append(tap(order_numbers(stream), "sent")))
+        for _ in range(100):  # listeners are told a little later
+            if log.records == {"seen": 7, "sent": 4}:
+                break
+            time.sleep(0.1)
+    finally:
+        session.streams.removeListener(log)
+    assert log.records == {"seen": 7, "sent": 4}
+
+
+def test_sessions_of_a_stream(spark, tmp_path, orders):
+    """All but the sessions still open at the end."""
+    stream = data.streamed(job_session(spark), orders, tmp_path / "in", 4)
+    result = streaming.run_sessions(spark, Job("sessions", str(tmp_path / "job")), stream, F.col("price"), 20)
+    columns = ("key", "start", "end", "records", "total")
+    closed = session_sum(orders, F.col("price"), 20).where(F.col("end") <= F.lit(data.at((N - 1) * 4 - 10)))
+    assert data.rows_of(result, *columns) == data.rows_of(closed, *columns)
+    assert result.count() > 50
