@@ -119,7 +119,7 @@ def sliced(
     hot_rows = sum(r["count"] for r in hot)
     target = max(rows_per_slice, -(-hot_rows // MAX_SLICES))
     parts = {r["key"]: -(-r["count"] // target) for r in hot}
-    is_hot = F.col("key").isin(list(parts))
+    is_hot = _is_one_of(list(parts))
     cuts = _cuts(measure.where(is_hot), parts, order, min(1.0, SAMPLES_PER_SLICE * sum(parts.values()) / hot_rows))
     # a slice number counts the cuts before it, so a key's slices start at the number of cuts of the keys before it
     slices = sorted({(cut["k"], number + step) for number, cut in enumerate(cuts) for step in (0, 1)})
@@ -129,6 +129,12 @@ def sliced(
     return Sliced(rows, order, spark.createDataFrame(slices, "key string, slice int"), is_hot)
 
 
+def _is_one_of(keys: list[str]) -> Column:
+    """Test of the key as one SQL text; thousands of literal columns would take seconds to build one by one."""
+    texts = ", ".join(f"cast(X'{key.encode().hex()}' as string)" for key in keys)
+    return F.expr(f"key in ({texts})")
+
+
 def _position(df: DataFrame, order: Sequence[str]) -> list[Column]:
     types = dict(df.dtypes)
     return [
