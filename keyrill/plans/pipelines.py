@@ -69,9 +69,10 @@ def combined_orders(
     minutes: int = JOIN_MINUTES,
     wall_clock: bool = False,
     rows_per_slice: int = ROWS_PER_SLICE,
+    salts: int = 1,
 ) -> DataFrame:
     """Joined orders with the name the user had at the time; empty where the user was not known."""
-    joined = join_orders(appliances, electronics, minutes, wall_clock)
+    joined = join_orders(appliances, electronics, minutes, wall_clock, salts)
     inputs = [df.select("key", "timestamp", "offset") for df in (appliances, electronics, users)]
     measure = inputs[0].unionByName(inputs[1]).unionByName(inputs[2])
     named = enrich_asof(joined, users, {"name": ""}, "name", rows_per_slice, measure)

@@ -53,17 +53,23 @@ def run_totals(spark: SparkSession, job: Job, stream: DataFrame, value: str = "p
 
 
 def run_join(
-    spark: SparkSession, job: Job, appliances: DataFrame, electronics: DataFrame, minutes: int = JOIN_MINUTES
+    spark: SparkSession,
+    job: Job,
+    appliances: DataFrame,
+    electronics: DataFrame,
+    minutes: int = JOIN_MINUTES,
+    salts: int = 1,
 ) -> DataFrame:
-    joined = join_streams(appliances, electronics, minutes)
+    joined = join_streams(appliances, electronics, minutes, salts)
     finish(job.append(joined))
     return spark.read.schema(joined.schema).parquet(job.output)
 
 
-def join_streams(appliances: DataFrame, electronics: DataFrame, minutes: int = JOIN_MINUTES) -> DataFrame:
-    return join_orders(
-        appliances.withWatermark("timestamp", NO_GRACE), electronics.withWatermark("timestamp", NO_GRACE), minutes
-    )
+def join_streams(
+    appliances: DataFrame, electronics: DataFrame, minutes: int = JOIN_MINUTES, salts: int = 1
+) -> DataFrame:
+    sides = (df.withWatermark("timestamp", NO_GRACE) for df in (appliances, electronics))
+    return join_orders(*sides, minutes=minutes, salts=salts)
 
 
 def run_enrich(
@@ -85,9 +91,10 @@ def run_combined_orders(
     electronics: DataFrame,
     users: DataFrame,
     minutes: int = JOIN_MINUTES,
+    salts: int = 1,
 ) -> DataFrame:
     """Interval join and enrichment in one query."""
-    joined = join_streams(appliances, electronics, minutes)
+    joined = join_streams(appliances, electronics, minutes, salts)
     named = run_enrich(spark, job, joined, users, {"name": ""}, deleted_when_null="name")
     return named.withColumnRenamed("name", "user_name")
 

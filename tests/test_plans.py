@@ -1,6 +1,7 @@
 """Physical plans: what is read, what is shuffled, what is never there."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from keyrill.operators.tables import latest_by_key
@@ -80,5 +81,36 @@ def test_rules_share_one_pass_over_the_samples(spark, unbroadcast):
     assert text.count("FileScan") + text.count("ReusedExchange") <= 3
 
 
+def test_a_single_busy_cell_is_split(spark):
+    """One user and hour with almost all rows of one side: adaptive execution splits it, in the join and in the pipeline."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        left = spark.range(0, 300_000, 1, 8).select(
+            F.when(F.col("id") % 50 > 0, "hot").otherwise(F.col("id").cast("string")).alias("key"),
+            F.col("id").cast("string").alias("order_id"),
+            F.md5(F.col("id").cast("string")).alias("appliance_id"),
+            F.timestamp_micros(F.col("id") * 1000).alias("timestamp"),
+            F.col("id").alias("offset"),
+        )
+        right = left.where("offset % 50000 = 1").withColumnRenamed("appliance_id", "electronic_id")
+        users = left.where("offset % 30000 = 1").select("key", F.col("order_id").alias("name"), "timestamp", "offset")
+        for df in (join_orders(left, right), combined_orders(left, right, users)):
+            assert df.count() == 6 * 294_000
+            executed = df.groupBy().agg(F.count("appliance_id"))
+            executed.collect()
+            assert "skew=true" in plan(executed)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_fixture_helper_order(spark):
     assert [r[0] for r in data.rows_of(data.text_records(spark), "key")] == ["bogus"] * 2 + ["order"] * 5

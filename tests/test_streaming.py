@@ -62,8 +62,8 @@ def test_resume_and_start_over(spark, tmp_path, orders):
     assert data.rows_of(again, "key", "total") == data.rows_of(total_by_key(orders))
 
 
-@pytest.mark.parametrize("files", [1, 4])
-def test_interval_join(spark, tmp_path, orders, files):
+@pytest.mark.parametrize("files, salts", [(1, 1), (4, 1), (4, 3)])
+def test_interval_join(spark, tmp_path, orders, files, salts):
     session = job_session(spark)
     right = orders.withColumnRenamed("appliance_id", "electronic_id")
     result = streaming.run_join(
@@ -71,6 +71,7 @@ def test_interval_join(spark, tmp_path, orders, files):
         Job("join", str(tmp_path / "job")),
         data.streamed(session, orders, tmp_path / "l", files),
         data.streamed(session, right, tmp_path / "r", files),
+        salts=salts,
     )
     columns = ("key", "appliance_order_id", "electronic_order_id", "timestamp")
     assert data.rows_of(result, *columns) == data.rows_of(join_orders(orders, right), *columns)
