@@ -64,8 +64,8 @@ def valid_samples(samples: DataFrame) -> DataFrame:
         samples.where(F.col("value").isNotNull())
         .select(
             "metric",
-            # maps can be neither compared nor sorted; sorted entries can
-            F.sort_array(F.map_entries("labels")).alias("series"),
+            # maps can be neither compared nor sorted, sorted entries can; empty labels do not make a series
+            F.sort_array(F.map_entries(F.map_filter("labels", lambda _, v: v != ""))).alias("series"),
             ceil_to(at, TICK_US).alias("first_tick"),
             at.alias("at"),
             "value",

@@ -170,6 +170,12 @@ def test_busy_series_is_one_row_per_interval(spark):
     assert [(r.tick.minute, r.value) for r in got] == [(0, 0.0), (1, 5000.0)] + [(m, 9999.0) for m in (2, 3, 4, 5, 6)]
 
 
+def test_empty_labels_do_not_make_a_series(spark):
+    rows = [("m", {"a": "b"}, data.at(0, 1), 1.0), ("m", {"c": "", "a": "b"}, data.at(0, 2), 2.0), ("m", {}, data.at(0, 3), 4.0)]
+    instants = rollups.instant_samples(spark.createDataFrame(rows, METRIC_SAMPLE)).where(F.col("tick") == data.at(1))
+    assert sorted((tuple(r.labels.items()), r.value) for r in instants.collect()) == [((), 4.0), ((("a", "b"),), 2.0)]
+
+
 def test_rules_without_labels_and_max(spark):
     valid = rollups.valid_samples(spark.createDataFrame(random_samples(4), METRIC_SAMPLE))
     rules = [Rule("all", "log_tier_size", ()), Rule("top", "log_tier_size", (TOPIC,), agg="max")]
