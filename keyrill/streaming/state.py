@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from keyrill.operators.records import keyed
 
+# The step travels to the executors with the query, so they need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TOTALS = "key string, total bigint, records bigint"
 
 
