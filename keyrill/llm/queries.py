@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from keyrill.llm import packing, sequence_files, token_counts
+from keyrill.llm import packing, quality, sequence_files, simhash, substrings, token_counts
 from keyrill.llm.common import table
 from keyrill.streaming.jobs import work_folder
 
@@ -18,15 +19,35 @@ def op1_sequence_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence_files.read_documents(manifest)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"), joined=True)
+    return found.select(F.col("document.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("document.text", 256).alias("kept_sha256"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sequence_files, op7_token_counts, op9_best_fit_packing)
+    f.__name__: f for f in (
+        op1_sequence_files,
+        op5_quality_rules,
+        op6_substring_dedup,
+        op7_token_counts,
+        op8_simhash,
+        op9_best_fit_packing,
+    )
 }
 ORACLES: dict[str, str] = {}
