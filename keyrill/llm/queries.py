@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyrill.llm import packing, quality, sequence_files, simhash, substrings, token_counts
+from keyrill.llm import decontamination, packing, quality, quotes, sequence_files, simhash, substrings, token_counts
 from keyrill.llm.common import table
 from keyrill.streaming.jobs import work_folder
 
@@ -19,6 +19,14 @@ def op1_sequence_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence_files.read_documents(manifest)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
+def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.reply_order(table(spark, sf_dir, "conversations"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,6 +51,8 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sequence_files,
+        op2_decontamination,
+        op3_quotation_linking,
         op5_quality_rules,
         op6_substring_dedup,
         op7_token_counts,
