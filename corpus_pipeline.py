@@ -1,4 +1,11 @@
-"""A training corpus from raw documents, stage by stage; each stage reads what its predecessor wrote."""
+"""A training corpus from raw documents, stage by stage; each stage reads what its predecessor wrote.
+
+quality rules    documents that the base or the trees reject go
+near duplicates  the document of the smallest id of each SimHash group stays
+repeats          words of 20-word windows that start earlier are cut from the texts; n_chars follows
+decontamination  documents with a leaked benchmark item go
+packing          the rest as pieces in sequences of at most 1024 ids
+"""
 
 from __future__ import annotations
 
@@ -7,21 +14,44 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from keyrill.llm import packing
+from keyrill.llm import decontamination, packing, quality, simhash, substrings
 from keyrill.llm.common import stored, table
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The packing of all documents; the last stage."""
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.kept_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.one_of_each(docs)
+
+
+def no_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return substrings.without_repeats(docs)
+
+
+def no_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("packing", pack)]
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality rules", good_quality),
+    ("near duplicates", one_of_each),
+    ("repeats", no_repeats),
+    ("decontamination", no_leaks),
+    ("packing", packed),
+]
 
+# tokenizer ids, trees and hashes of fingerprints have no SQL form
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`; all but the last are written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")

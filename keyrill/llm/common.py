@@ -45,6 +45,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(rows: DataFrame, key: str, count: int, most: int = 20_000) -> DataFrame:
+    """One task for each of `count` small rows that stand for much work (up to `most`): by their size alone they would share a few."""
+    return rows.repartition(max(1, min(count, most)), key)
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo `modulus`; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus

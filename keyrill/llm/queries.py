@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyrill.llm import decontamination, packing, quality, quotes, sequence_files, simhash, substrings, token_counts
+from keyrill.llm import (
+    decontamination,
+    language_id,
+    language_model,
+    packing,
+    quality,
+    quotes,
+    sequence_files,
+    simhash,
+    substrings,
+    token_counts,
+)
 from keyrill.llm.common import table
 from keyrill.streaming.jobs import work_folder
 
@@ -27,6 +38,11 @@ def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.reply_order(table(spark, sf_dir, "conversations"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.learn(docs))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,16 +64,22 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sequence_files,
         op2_decontamination,
         op3_quotation_linking,
+        op4_language_id,
         op5_quality_rules,
         op6_substring_dedup,
         op7_token_counts,
         op8_simhash,
         op9_best_fit_packing,
+        op10_attention_scores,
     )
 }
 ORACLES: dict[str, str] = {}

@@ -28,11 +28,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyrill.llm import files
-from keyrill.llm.common import slices, stored, texts
+from keyrill.llm.common import slices, spread, stored, texts
 from keyrill.llm.tokenizing import load, token_ids
 
 FILE_TOKENS = 16_000_000
@@ -189,11 +189,11 @@ def read_documents(manifest: DataFrame) -> DataFrame:
                     columns = [part.column("doc_id"), pa.array(starts + before), pa.array(counts), pa.array(sums)]
                     yield pa.record_batch(columns, names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    spread = manifest.select("file", "before").repartition("file")
-    return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    rows = spread(manifest.select("file", "before"), "file", manifest.count())
+    return rows.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def read_sequences(spark: SparkSession, manifest: DataFrame) -> DataFrame:
+def read_sequences(manifest: DataFrame) -> DataFrame:
     """(file, number, input_ids, attention_mask) of every sequence."""
 
     def read(batches):
@@ -208,4 +208,4 @@ def read_sequences(spark: SparkSession, manifest: DataFrame) -> DataFrame:
                     numbered += rows
 
     schema = "file string, number long, input_ids array<int>, attention_mask array<int>"
-    return manifest.select("file").repartition("file").mapInArrow(read, schema)
+    return spread(manifest.select("file"), "file", manifest.count()).mapInArrow(read, schema)

@@ -27,6 +27,7 @@ from keyrill.llm.common import stored, texts
 from keyrill.llm.components import components
 
 TILE = 2048
+PAIRS_PER_TASK = 200
 _SEED = 42
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _RUN = 1 << 16
@@ -152,9 +153,9 @@ def links(prints: DataFrame, radius: int = 3, tile: int = TILE) -> DataFrame:
     """(u, v) between distinct fingerprints `fp`: a spanning forest of each pair of tiles."""
     tiles = stored(_tiles(prints, tile), "tiles")
     held = tiles.select("tile", "prints")
+    wanted = stored(_tile_pairs(tiles, radius), "tile-pairs")
     pairs = (
-        _tile_pairs(tiles, radius)
-        .join(held.select(F.col("tile").alias("a"), F.col("prints").alias("a_prints")), "a")
+        wanted.join(held.select(F.col("tile").alias("a"), F.col("prints").alias("a_prints")), "a")
         .join(held.select(F.col("tile").alias("b"), F.col("prints").alias("b_prints")), "b")
     )
 
@@ -165,6 +166,8 @@ def links(prints: DataFrame, radius: int = 3, tile: int = TILE) -> DataFrame:
                 if len(u):
                     yield pa.record_batch([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
 
+    # a pair is small and much work: dealt by pairs, not by bytes
+    pairs = pairs.repartition(max(1, min(-(-wanted.count() // PAIRS_PER_TASK), 100_000)), "a", "b")
     return pairs.select("a_prints", "b_prints").mapInArrow(compare, "u long, v long")
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from keyrill.llm import files
-from keyrill.llm.common import stored, string_buffer
+from keyrill.llm.common import spread, stored, string_buffer
 from keyrill.llm.words import Hasher, inside, scan
 from keyrill.streaming.jobs import work_folder
 
@@ -159,7 +159,7 @@ def _unpacked(packed, count: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(packed, np.uint8), count=count).astype(bool)
 
 
-def _sent_probes(manifest: DataFrame, width: int, bits: int) -> DataFrame:
+def _sent_probes(manifest: DataFrame, width: int, bits: int, count: int) -> DataFrame:
     def send(batches):
         for batch in batches:
             for number, path in zip(batch.column("file").to_pylist(), batch.column("path").to_pylist()):
@@ -186,7 +186,7 @@ def _sent_probes(manifest: DataFrame, width: int, bits: int) -> DataFrame:
                 )
 
     schema = "bucket int, file long, hashes binary, many binary, aligned binary"
-    return manifest.select("file", "path").repartition("file").mapInArrow(send, schema)
+    return spread(manifest.select("file", "path"), "file", count).mapInArrow(send, schema)
 
 
 def _answers(table: pa.Table, flags: np.ndarray, counts: list[int]) -> pa.Table:
@@ -279,16 +279,17 @@ def repeated_spans(
     names = {"doc_id": "c1"} | {c: f"c{i}" for i, c in enumerate(others, 2)}
     plain = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text"), *(F.col(f"`{c}`").alias(n) for c, n in names.items()))
     manifest = _file_documents(plain, work_folder(spark, "substrings"), file_bytes)
-    words = manifest.agg(F.sum("words")).first()[0] or 0
+    count, words = manifest.agg(F.count("*"), F.coalesce(F.sum("words"), F.lit(0))).first()
     bits = max(4, math.ceil(math.log2(max(1, words / words_per_bucket))))
 
     answer = "bucket int, file long, size int, bits binary"
-    probes = _sent_probes(manifest, width, bits).groupBy("bucket").applyInArrow(_probe_answers, answer)
+    probes = _sent_probes(manifest, width, bits, count).groupBy("bucket").applyInArrow(_probe_answers, answer)
     probes = stored(_gathered(probes, "answers1"), "substring-probes")
-    asked = manifest.join(probes, "file").select("file", "path", "answers1")
+    asked = spread(manifest.join(probes, "file").select("file", "path", "answers1"), "file", count)
     windows = _sent_windows(asked, width, bits).groupBy("bucket").applyInArrow(_window_answers, answer)
     windows = stored(_gathered(windows, "answers2"), "substring-windows")
     known = manifest.join(probes, "file", "left").join(windows, "file", "left").select("file", "path", "answers1", "answers2")
+    known = spread(known, "file", count)
     result = StructType.fromDDL("text string, n_words long, n_removed long, spans array<struct<start: long, end: long>>")
     for field in plain.schema.fields[1:]:
         result.add(field.name, field.dataType)
