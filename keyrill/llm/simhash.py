@@ -200,9 +200,8 @@ def one_of_each(docs: DataFrame, width: int = 3, radius: int = 3, tile: int = TI
     rows = stored(rows, "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "text")).alias("first")
     groups = rows.join(linked(rows, radius, tile), "fp")
-    # the representative names the group: two groups without ids differ by fingerprint
-    group = F.when(F.col("component_id").isNull(), F.col("root")).alias("nameless")
-    kept = stored(groups.groupBy("component_id", group).agg(first).select("first.*"), "representatives")
+    # by root: equal ids may be in several groups
+    kept = stored(groups.groupBy("root").agg(first).select("first.*"), "representatives")
     kept = kept.select(F.col("doc_id").alias("__kept_id"), F.col("text").alias("__kept_text"))
     matches = docs["__id"].eqNullSafe(kept["__kept_id"]) & (docs["__text"] == kept["__kept_text"])
     once = docs.join(kept, matches, "left_semi")
