@@ -42,7 +42,8 @@ _TOKEN = rf"{_MARK}[^\s{_MARK}]+|[\p{{L}}\p{{N}}]+"
 def tokens(text: Column, values: bool) -> Column:
     """The template tokens of a text: words, and marks of a slot's type, followed by its value if `values`."""
     value = lambda group: f"${group}" if values else ""
-    text = F.regexp_replace(F.coalesce(text, F.lit("")), _NUMBER, f" {_MARK}n{value(0)} ")
+    text = F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " ")
+    text = F.regexp_replace(text, _NUMBER, f" {_MARK}n{value(0)} ")
     text = F.regexp_replace(text, _UNIT, f"$1{_MARK}u{value(2)} ")
     text = F.regexp_replace(text, _NAME, f" {_MARK}m{value(0)} ")
     return F.regexp_extract_all(F.lower(text), F.lit(_TOKEN), F.lit(0))
