@@ -205,6 +205,9 @@ def boost(x: np.ndarray, good: np.ndarray, held_out: np.ndarray, trees=60, depth
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Forest | None:
     """Fit the forest on at most `sample` labelled documents, a fifth of them (by crc32 of the id) set aside for the cut."""
     chosen = labels.where("quality is not null and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("id"), "quality")
+    # the smallest hashes are looked for among twice as many rows as needed, however many tasks there are
+    share = min(1.0, 2 * sample / max(1, chosen.count()))
+    chosen = chosen.where(F.xxhash64("id") < int(2**63 * (2 * share - 1))) if share < 1 else chosen
     chosen = chosen.orderBy(F.xxhash64("id"), "quality").limit(sample)
 
     def count(batches):

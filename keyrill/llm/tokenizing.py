@@ -97,7 +97,7 @@ class Cutter:
 class TokenIds:
     """Ids as little-endian unsigned 32-bit integers. Remembers the ids of at most about `most` short words."""
 
-    def __init__(self, path: str, most: int = 1_200_000) -> None:
+    def __init__(self, path: str, most: int = 800_000) -> None:
         self.tokenizer = load(path)
         self.cutter = Cutter(path)
         self.most = most
