@@ -30,7 +30,7 @@ def interval_join(
     not available. On streams, both sides need a watermark on `timestamp`.
     """
     reach = minutes * MINUTE_US
-    width = 2 * reach
+    width = max(1, 2 * reach)
     at = F.unix_micros("timestamp")
     left = keyed(left).withColumn("_cell", floor_to(at, width))
     first, last = floor_to(at - reach, width), floor_to(at + reach, width)
@@ -46,14 +46,21 @@ def interval_join(
 
 
 def enrich_left(stream: DataFrame, table: DataFrame, fields: dict[str, object]) -> DataFrame:
-    """Add `fields` of the table's row for each record's key, or their given defaults where there is none.
+    """Add `fields` of the table's row for each record's key, else what the record has itself, else the given defaults.
 
     The table has one row per key. No join hint: Spark broadcasts it where its measured size allows, and splits skewed
     stream keys where it does not.
     """
-    table = table.select("key", *fields)
-    joined = keyed(stream).join(table, "key", "left")
-    return joined.withColumns({name: F.coalesce(F.col(name), F.lit(default)) for name, default in fields.items()})
+    found = table.select("key", *[F.col(name).alias(f"_found_{name}") for name in fields])
+    joined = keyed(stream).join(found, "key", "left")
+    return joined.withColumns(
+        {name: _first_of(f"_found_{name}", name if name in stream.columns else None, default) for name, default in fields.items()}
+    ).drop(*[f"_found_{name}" for name in fields])
+
+
+def _first_of(found: str, own: str | None, default: object) -> Column:
+    """The table's value, else the record's own, else the default."""
+    return F.coalesce(F.col(found), *([F.col(own)] if own else []), F.lit(default))
 
 
 def enrich_asof(
@@ -88,6 +95,9 @@ def enrich_asof(
         "key",
         "timestamp",
         "offset",
-        *[F.col(f"record.{name}").alias(name) for name in kept],
-        *[F.coalesce(F.col(f"found.{name}"), F.lit(default)).alias(name) for name, default in fields.items()],
+        *[F.col(f"record.{name}").alias(name) for name in kept if name not in fields],
+        *[
+            _first_of(f"found.{name}", f"record.{name}" if name in kept else None, default).alias(name)
+            for name, default in fields.items()
+        ],
     )

@@ -2,36 +2,31 @@
 
 A running total, a carried-forward value or a session needs the rows of a key in order. One window per key
 does that with a single shuffle, but puts each key into one task. `sliced()` therefore looks for keys with more
-rows than one task should hold, and cuts those (only those) into consecutive slices of about equal size. Each slice
-is then windowed by itself and completed with a value carried over from the slices before it. Without such
+rows than one task should hold, and lays out the rows of those (only those) by ranges of key and position, as a sort would.
+Each range of a key is then windowed by itself and completed with a value carried over from the ranges before it. Without such
 keys the plan is the plain one.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from keyrill.folders import written
+
 ROWS_PER_SLICE = 5_000_000
-# Both limits bound what reaches the driver and the broadcasts. Keys beyond them are not lost: they
-# stay in one slice, and a key that is not among the hottest 10,000 holds less than 1/10,000 of all rows.
-MAX_HOT_KEYS = 10_000
-MAX_SLICES = 16_384
-SAMPLES_PER_SLICE = 20
 
 
 @dataclass(frozen=True)
 class Sliced:
-    """Rows with a `slice` number per key, rising with the order columns."""
+    """Rows with a `slice` number per key, rising with the order columns; -1 for the keys that are not cut."""
 
     rows: DataFrame
     order: tuple[str, ...]
     slices: DataFrame | None = None  # (key, slice) of the keys that were cut; None: no key was, `rows` has no slice
-    is_hot: Column | None = None  # tells the rows of those keys
 
     @property
     def group(self) -> list[str]:
@@ -42,14 +37,11 @@ class Sliced:
         return Window.partitionBy(*self.group).orderBy(*self.order).rowsBetween(Window.unboundedPreceding, 0)
 
     def _replace(self, rows: DataFrame) -> Sliced:
-        return Sliced(rows, self.order, self.slices, self.is_hot)
+        return Sliced(rows, self.order, self.slices)
 
     def _carried(self, rows: DataFrame, of_slice: Column, over_slices: Callable[[str], Column]) -> DataFrame:
-        """What the slices before each slice of a cut key carry into it, as (key, slice, _carry).
-
-        One row per slice, so at most MAX_SLICES + MAX_HOT_KEYS rows.
-        """
-        parts = rows.where(self.is_hot).groupBy("key", "slice").agg(of_slice.alias("_part"))
+        """What the slices before each slice of a cut key carry into it, as (key, slice, _carry): one row per slice."""
+        parts = rows.where("slice >= 0").groupBy("key", "slice").agg(of_slice.alias("_part"))
         before = Window.partitionBy("key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
         # from the list of slices, not the parts: a slice without a part of its own still gets a carried value
         every = self.slices.join(parts, ["key", "slice"], "left")
@@ -61,8 +53,8 @@ class Sliced:
         if self.slices is None:
             return self._replace(rows)
         kind = rows.schema[name].dataType
-        carry = self._carried(self.rows, F.sum(value), F.sum)
-        rows = rows.join(F.broadcast(carry), ["key", "slice"], "left")
+        # both sides are hashed on (key, slice), which the window needs in any case
+        rows = rows.join(self._carried(self.rows, F.sum(value), F.sum), ["key", "slice"], "left")
         total = F.coalesce(F.col(name) + F.col("_carry"), name, "_carry").cast(kind)
         return self._replace(rows.withColumn(name, total).drop("_carry"))
 
@@ -80,8 +72,6 @@ class Sliced:
             F.max_by(value, F.struct(*self.order)),
             lambda part: F.last(part, ignorenulls=True),
         )
-        # No broadcast hint: the values may be wide. Both sides are hashed on (key, slice), which the window
-        # needs in any case.
         rows = self.rows.join(carry, ["key", "slice"], "left").withColumn(name, F.coalesce(inside, F.col("_carry")))
         return self._replace(rows.drop("_carry"))
 
@@ -98,86 +88,20 @@ def sliced(
     """Prepare `df` (with a non-null `key`) for ordered computations, cutting keys of more than `rows_per_slice` rows.
 
     Costs one aggregation over the key column of `measure`, which is `df` unless given: pass the inputs of an expensive
-    `df` instead, with the same key and order columns, so that it is not computed twice. The order columns must be
-    integers or timestamps, and together unique within a key: equal positions cannot be told apart, here as in
-    any ordered window.
+    `df` instead, with the same key column, so that it is not computed twice. Where there are hot keys, their rows are
+    written once to the shared folder in order of key and position, one task a slice. The order columns must together be
+    unique within a key: equal positions cannot be told apart, here as in any ordered window.
     """
     order = tuple(order)
     measure = df if measure is None else measure
-    spark = df.sparkSession
-    hot = (
-        measure.groupBy("key")
-        .count()
-        .where(F.col("count") > rows_per_slice)
-        .orderBy(F.desc("count"))
-        .limit(MAX_HOT_KEYS)
-        .collect()
-    )
-    if not hot:
-        return Sliced(df, order)
-
-    hot_rows = sum(r["count"] for r in hot)
-    target = max(rows_per_slice, -(-hot_rows // MAX_SLICES))
-    parts = {r["key"]: -(-r["count"] // target) for r in hot}
-    is_hot = _is_one_of(list(parts))
-    cuts = _cuts(measure.where(is_hot), parts, order, min(1.0, SAMPLES_PER_SLICE * sum(parts.values()) / hot_rows))
-    # a slice number counts the cuts before it, so a key's slices start at the number of cuts of the keys before it
-    slices = sorted({(cut["k"], number + step) for number, cut in enumerate(cuts) for step in (0, 1)})
-    if not slices:
+    counts = measure.groupBy("key").count().where(F.col("count") > rows_per_slice)
+    hot = written(counts, "hot-keys")
+    parts = hot.agg(F.sum(F.ceil(F.col("count") / rows_per_slice))).first()[0]
+    if not parts:
         return Sliced(df, order)
-    rows = df.withColumn("slice", F.when(is_hot, _slice_number(cuts, order, df)).otherwise(F.lit(0)))
-    return Sliced(rows, order, spark.createDataFrame(slices, "key string, slice int"), is_hot)
-
-
-def _is_one_of(keys: list[str]) -> Column:
-    """Test of the key as one SQL text; thousands of literal columns would take seconds to build one by one."""
-    texts = ", ".join(f"cast(X'{key.encode().hex()}' as string)" for key in keys)
-    return F.expr(f"key in ({texts})")
-
-
-def _position(df: DataFrame, order: Sequence[str]) -> list[Column]:
-    types = dict(df.dtypes)
-    return [
-        (F.unix_micros(name) if types[name] == "timestamp" else F.col(name).cast("bigint")).alias(f"o{i}")
-        for i, name in enumerate(order)
-    ]
-
-
-def _cuts(hot: DataFrame, parts: dict[str, int], order: Sequence[str], fraction: float) -> list[dict]:
-    """Positions that cut each hot key into its number of parts of about equal size, in order of key and position.
-
-    They are read off a sample of the positions. The sample only places the cuts; any cuts give the same results.
-    """
-    sample = hot.select("key", F.struct(*_position(hot, order)).alias("at")).sample(fraction, seed=17)
-    counts = hot.sparkSession.createDataFrame(list(parts.items()), "key string, n int").where("n > 1")
-    picked = (
-        sample.groupBy("key")
-        .agg(F.array_sort(F.collect_list("at")).alias("s"))
-        .join(F.broadcast(counts), "key")
-        .select(
-            F.col("key").alias("k"),
-            F.explode(F.expr("transform(sequence(1, n - 1), i -> s[cast(i * size(s) div n as int)])")).alias("at"),
-        )
-    )
-    # text compares by its UTF-8 bytes in Spark
-    rows = {(row["k"].encode(), tuple(row["at"])) for row in picked.collect()}
-    return [{"k": k.decode(), **{f"o{i}": v for i, v in enumerate(at)}} for k, at in sorted(rows)]
-
-
-def _slice_number(cuts: list[dict], order: Sequence[str], df: DataFrame) -> Column:
-    """How many cuts lie at or before a row's (key, position): a binary search in a literal array."""
-    fields = ", ".join(f"o{i}: bigint" for i in range(len(order)))
-    array = F.from_json(F.lit(json.dumps(cuts)), f"array<struct<k: string, {fields}>>")
-    strides = F.array(*[F.lit(1 << bit) for bit in reversed(range(len(cuts).bit_length()))])
-    point = F.struct(F.col("key").alias("k"), *_position(df, order))
-
-    def search(at: Column) -> Column:
-        return F.aggregate(
-            strides,
-            F.lit(0),
-            lambda low, stride: F.when(F.get(array, low + stride - 1) <= at, low + stride).otherwise(low),
-        )
-
-    # transform over a one-element array builds the point once per row instead of once per comparison; coalesce only
-    # tells the optimizer that the number is never null, so that no null test computes it again
-    return F.coalesce(F.transform(F.array(point), search)[0], F.lit(0))
+    keys = hot.select("key")
+    ranged = df.join(keys, "key", "left_semi").repartitionByRange(int(parts), "key", *order)
+    cut = written(ranged.withColumn("slice", F.spark_partition_id()), "hot-rows")
+    slices = written(cut.groupBy("key", "slice").count().select("key", "slice"), "hot-slices")
+    rest = df.join(keys, "key", "left_anti").withColumn("slice", F.lit(-1))
+    return Sliced(cut.unionByName(rest), order, slices)

@@ -11,6 +11,7 @@ from keyrill.operators.records import keyed
 from keyrill.operators.slices import ROWS_PER_SLICE, sliced
 
 FOLD_BLOCK = 1_000
+DIGITS = 10
 
 
 def total_by_key(df: DataFrame, value: str | Column = "price", name: str = "total") -> DataFrame:
@@ -22,10 +23,17 @@ def total_by_key(df: DataFrame, value: str | Column = "price", name: str = "tota
 def running_total(
     df: DataFrame, value: str | Column = "price", name: str = "total", rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
-    """The total of a key after each of its records, in (timestamp, offset) order."""
+    """The total of a key after each of its records, in (timestamp, offset) order.
+
+    Floating-point values are added as decimals of DIGITS places and given back as doubles, so that a total does not depend on
+    where a key was cut.
+    """
     column = F.col(value) if isinstance(value, str) else value
     rows = keyed(df).where(column.isNotNull())
-    return sliced(rows, rows_per_slice=rows_per_slice).running_sum(column, name).result()
+    inexact = rows.select(column.alias("v")).schema["v"].dataType.typeName() in ("double", "float")
+    column = column.cast(f"decimal(38,{DIGITS})") if inexact else column
+    found = sliced(rows, rows_per_slice=rows_per_slice).running_sum(column, name).result()
+    return found.withColumn(name, F.col(name).cast("double")) if inexact else found
 
 
 def ordered_fold(

@@ -20,6 +20,15 @@ EVENTS = T.StructType(
 )
 
 
+def utc(column: str) -> Column:
+    """A time without zone as the instant it is in UTC, whatever the zone of the session."""
+    days = F.unix_date(F.col(column).cast("date"))
+    # the fields of a time without zone do not depend on the session's; adding days to an instant would
+    seconds = F.expr(f"cast(extract(second from {column}) * 1000000 as bigint)")
+    minutes = days * 1440 + F.hour(column) * 60 + F.minute(column)
+    return F.timestamp_micros(minutes.cast("bigint") * 60_000_000 + seconds)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -39,7 +48,7 @@ def records(events: DataFrame, *more: str | Column) -> DataFrame:
     return events.select(
         F.col("user_id").cast("string").alias("key"),
         F.concat("event_type", F.lit("-"), number).alias("value"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        utc("ts").alias("timestamp"),
         F.col("event_id").alias("offset"),
         *more,
     )
@@ -54,7 +63,7 @@ def orders(events: DataFrame, event_type: str | None = None) -> DataFrame:
         F.col("event_id").cast("string").alias("order_id"),
         F.concat(F.lit("item-"), F.get_json_object("props", "$.k")).alias("appliance_id"),
         F.col("value").cast("decimal(18,2)").alias("price"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        utc("ts").alias("timestamp"),
         F.col("event_id").alias("offset"),
     )
 
@@ -65,7 +74,7 @@ def users(events: DataFrame) -> DataFrame:
     return events.where("event_type = 'signup'").select(
         F.col("user_id").cast("string").alias("key"),
         F.when(F.col("event_id") % 10 != 0, name).alias("name"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        utc("ts").alias("timestamp"),
         F.col("event_id").alias("offset"),
     )
 
@@ -78,7 +87,7 @@ def samples(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("event_type").alias("metric"),
         F.when(F.col("k") % 2 == 1, F.create_map(*labels, *topic)).otherwise(F.create_map(*labels)).alias("labels"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        utc("ts").alias("ts"),
         # whole numbers, so that sums do not depend on the order of addition
         F.floor(F.col("value") * 100).cast("double").alias("value"),
     )
@@ -104,6 +113,6 @@ def broker_samples(events: DataFrame) -> DataFrame:
     return events.select(
         F.get(names, (F.col("event_id") % len(metrics)).cast("int")).alias("metric"),
         labels.alias("labels"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        utc("ts").alias("ts"),
         value.alias("value"),
     )

@@ -257,12 +257,24 @@ FROM parsed WHERE number IS NULL""",
 SELECT key, value, "offset", number FROM parsed WHERE number IS NOT NULL""",
 }
 
+ORACLES |= {
+    "topic_mixed_writers": f"""WITH {RECORDS} SELECT key, value, ts_us, "offset" FROM records""",
+    "running_total_double": f"""WITH {ORDERS}
+SELECT key, "offset",
+       CAST(sum(price * 125) OVER (PARTITION BY key ORDER BY ts_us, "offset" ROWS UNBOUNDED PRECEDING) AS DOUBLE) / 1000 AS total
+FROM orders_in WHERE key IS NOT NULL""",
+    "enrich_existing_field": f"""WITH {ORDERS}
+SELECT o.key, o."offset", coalesce(c.c_name, CASE WHEN o."offset" % 3 = 0 THEN 'own-' || o.order_id END, '') AS user_name
+FROM orders_in o LEFT JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = o.key AND c.c_mktsegment = 'BUILDING'""",
+}
+
 # Other forms of the same query: streaming, hot keys cut, salted.
 _SAME = {
     "order_numbers_stream": "order_numbers",
     "table_latest_stream": "table_latest",
     "total_by_key_stream": "total_by_key",
     "running_total_split": "running_total",
+    "running_total_double_split": "running_total_double",
     "ordered_fold_split": "ordered_fold",
     "interval_join_salted": "interval_join",
     "interval_join_stream": "interval_join",

@@ -30,7 +30,7 @@ from keyrill.plans.rules import BROKER, CLUSTER, PARTITION, PROMOTED_ATTRIBUTES,
 from keyrill.sources.codecs import decode_json, encode_json
 from keyrill.sources.topics import Topic
 from keyrill.streaming import pipelines as streaming
-from keyrill.streaming.jobs import Job, job_session, work_folder
+from keyrill.streaming.jobs import Job, finish, job_session, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -188,6 +188,29 @@ def topic_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topic.read(spark).select("key", "value", us("timestamp", "ts_us"), "partition", "offset")
 
 
+@query
+def topic_mixed_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the events each by a load, two stream writers and another load, with loads and streams repeated."""
+    topic = Topic(f"{work_folder(spark, 'topic')}")
+
+    def quarter(events: DataFrame, number: int) -> DataFrame:
+        return ev.records(events.where(F.col("event_id") % 4 == number))
+
+    def stream(number: int) -> None:
+        job = Job.fresh(spark, f"writer{number}")
+        for _ in range(2):
+            events = event_stream(job_session(spark), sf_dir)
+            finish(topic.write_stream(quarter(events, number), job.checkpoint, job.name))
+
+    events = table(spark, sf_dir, "events")
+    topic.load(quarter(events, 0), "first")
+    stream(1)
+    stream(2)
+    topic.load(quarter(events, 3), "last")
+    topic.load(quarter(events, 0), "first")
+    return topic.read(spark).select("key", "value", us("timestamp", "ts_us"), "offset")
+
+
 # -- tables and totals -----------------------------------------------------------------------------------------------
 
 
@@ -246,6 +269,21 @@ def running_total_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _running(spark, sf_dir, rows_per_slice=SMALL_SLICE)
 
 
+def _running_double(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    orders = ev.orders(table(spark, sf_dir, "events")).withColumn("price", F.col("price").cast("double") / 8)
+    return totals.running_total(orders, **options).select("key", "offset", "total")
+
+
+@query
+def running_total_double(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _running_double(spark, sf_dir)
+
+
+@query
+def running_total_double_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _running_double(spark, sf_dir, rows_per_slice=SMALL_SLICE)
+
+
 MODULUS, BASE = 1_000_003, 31
 
 
@@ -325,6 +363,16 @@ def enrich_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.enrich_left(stream, names, {"user_name": ""}).select("key", "offset", "user_name")
 
 
+@query
+def enrich_existing_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `enrich_left`, for records that have the field already, some of them filled."""
+    stream = ev.orders(table(spark, sf_dir, "events"))
+    stream = stream.withColumn("user_name", F.when(F.col("offset") % 3 == 0, F.concat(F.lit("own-"), "order_id")))
+    customers = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'")
+    names = customers.select(F.col("c_custkey").cast("string").alias("key"), F.col("c_name").alias("user_name"))
+    return joins.enrich_left(stream, names, {"user_name": ""}).select("key", "offset", "user_name")
+
+
 def _asof(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     events = table(spark, sf_dir, "events")
     rows = joins.enrich_asof(ev.orders(events, "click"), ev.users(events), {"name": ""}, "name", **options)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keyrill.folders import exists
 from keyrill.schemas import ENVELOPE
 from keyrill.sources.codecs import decode_text
 
@@ -18,7 +19,9 @@ PARTITIONS = 6  # fixed value: partitions of a topic
 class Topic:
     """A directory topic (`path`) or, with `servers`, a Kafka topic of that name.
 
-    A directory holds `load=<id>/partition=<n>/` folders, one `load` per bulk load or micro-batch.
+    A directory holds `load=<id>/partition=<n>/` folders, one `load` per bulk load or micro-batch of a writer. A load
+    counts once it is complete: a repeated micro-batch, or a load that broke off, is written over. Kafka has no such
+    ids: there a repeated load or micro-batch is appended again.
     Kafka needs the spark-sql-kafka package on the class path.
     """
 
@@ -44,20 +47,38 @@ class Topic:
         return reader.schema(stored).options(**self.options).parquet(self.path).select(*schema.names)
 
     def load(self, df: DataFrame, load: str, partitions: int = PARTITIONS, replace: bool = False) -> None:
-        """Append the records once: a load of the same id is left as it is, or with `replace` written anew."""
+        """Append the records once: a complete load of the same id is left as it is, or with `replace` written anew.
+
+        Records without an offset get one beyond all offsets of the topic, rising in the order they come in.
+        """
         if self.servers is not None:
             kafka_sink(df).write.format("kafka").options(**self._sink_options()).save()
             return
-        mode = "overwrite" if replace else "ignore"
-        laid_out(df, partitions).write.mode(mode).partitionBy("partition").parquet(f"{self.path}/load={load}")
+        folder = f"{self.path}/load={load}"
+        if not replace and exists(df.sparkSession, f"{folder}/_SUCCESS"):
+            return
+        if "offset" not in df.columns:
+            df = self._with_offsets(df, load)
+        laid_out(df, partitions).write.mode("overwrite").partitionBy("partition").parquet(folder)
+
+    def _with_offsets(self, df: DataFrame, load: str) -> DataFrame:
+        spark, last = df.sparkSession, None
+        if exists(spark, self.path):
+            kept = T.StructType([T.StructField("offset", T.LongType()), T.StructField("load", T.StringType())])
+            # a broken load of this id is about to go
+            last = spark.read.schema(kept).parquet(self.path).where(F.col("load") != load).agg(F.max("offset")).first()[0]
+        first = 0 if last is None else last + 1
+        return df.withColumn("offset", F.monotonically_increasing_id() + F.lit(first))
 
     def write_stream(self, df: DataFrame, checkpoint: str, name: str, available_now: bool = True):
-        """Start writing a stream to the topic; with `available_now` it ends once the records there are written."""
+        """Start writing a stream to the topic; with `available_now` it ends once the records there are written.
+
+        A directory gets one load per micro-batch, `<name>-<batch>`, so writers of different names do not disturb each other.
+        """
         if self.servers is not None:
             writer = kafka_sink(df).writeStream.format("kafka").options(**self._sink_options())
         else:
-            placed = with_partition(df, PARTITIONS).withColumn("load", F.lit("stream"))
-            writer = placed.writeStream.format("parquet").partitionBy("load", "partition").option("path", self.path)
+            writer = df.writeStream.foreachBatch(lambda batch, number: self.load(batch, f"{name}-{number}", replace=True))
         writer = writer.outputMode("append").queryName(name).option("checkpointLocation", checkpoint)
         return (writer.trigger(availableNow=True) if available_now else writer).start()
 

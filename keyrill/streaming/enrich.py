@@ -33,8 +33,9 @@ def start_enrich(
 ):
     """Start `enrich_asof` as a streaming job; enriched records go to `job.output`, one folder per micro-batch.
 
-    Within a batch, records see the updates at or before their own time; updates of earlier batches are seen whatever
-    their time, and later batches' never, so results equal the batch operator's when both inputs advance together.
+    Records see the newest update at or before their own time, by the time of the update and not by its batch, as in
+    the batch operator. Of earlier batches only a key's newest update is kept: a record older than that sees it too,
+    unless its own batch has an older one. Updates of later batches are never seen.
     The table lives in the job's folder, and each batch is worked on as a whole by Spark: no per-key callback, so
     a hot key is cut as in batch.
     """
@@ -48,11 +49,12 @@ def start_enrich(
         try:
             records = batch.where("side = 1").select(*record_columns)
             changes = keyed(batch.where("side = 0")).select("key", *kept)
-            changed = latest_by_key(changes, list(fields), deleted_when_null=None)
-            schema = changed.schema
-            known = table.before(spark, number, schema).join(records.select("key"), "key", "left_semi")
-            known = known.withColumn("timestamp", F.lit(ALWAYS).cast("timestamp"))
-            history = changes.unionByName(known.select("key", *kept))
+            touched = batch.select("key").where("key is not null").distinct()
+            known = table.before(spark, number, changes.schema).select("key", *kept).join(touched, "key", "left_semi")
+            late = known.join(changes.select("key"), "key", "left_semi")
+            changed = latest_by_key(changes.unionByName(late), list(fields), deleted_when_null=None).select("key", *kept)
+            always = known.withColumns({"timestamp": F.lit(ALWAYS).cast("timestamp"), "offset": F.lit(0).cast("bigint")})
+            history = changes.unionByName(known).unionByName(always)
             enriched = enrich_asof(records, history, fields, deleted_when_null, rows_per_slice)
             enriched.write.mode("overwrite").parquet(f"{job.output}/batch={number}")
             table.write_numbered(spark, changed, number)

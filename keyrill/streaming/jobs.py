@@ -2,32 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_KEPT = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.autoBroadcastJoinThreshold")
-
+from keyrill.folders import shared_folder, work_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach: the session's checkpoint folder; a temporary one only in local mode."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="keyrill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+__all__ = ["Job", "TapLog", "finish", "job_session", "shared_folder", "stop", "work_folder"]
 
-
-def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder for one run, inside the shared folder."""
-    return f"{shared_folder(spark)}/keyrill/{name}-{uuid.uuid4().hex[:12]}"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_KEPT = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.autoBroadcastJoinThreshold")
 
 
 def job_session(spark: SparkSession, partitions: int | None = None, idle_batches: bool = True) -> SparkSession:

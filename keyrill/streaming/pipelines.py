@@ -31,7 +31,7 @@ NO_GRACE = "0 seconds"  # fixed value: the order streams wait for no late record
 def _upserts(spark: SparkSession, job: Job, changes: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     table = UpsertTable(job.output, keys)
     finish(job.for_each_batch(changes, table.write_changes, "update"))
-    return table.read(spark)
+    return table.read(spark, changes.schema)
 
 
 def run_order_numbers(

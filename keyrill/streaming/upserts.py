@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keyrill.folders import exists
 from keyrill.operators.tables import newest_rows
 
 
@@ -31,9 +32,12 @@ class UpsertTable:
     def write_changes(self, rows: DataFrame, batch: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.path}/changes/batch={batch}")
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """The table after all batches written."""
-        return newest(spark.read.parquet(f"{self.path}/changes"), self.keys)
+    def read(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
+        """The table after all batches written; empty if there was none."""
+        if not exists(spark, f"{self.path}/changes"):
+            return spark.createDataFrame([], schema)
+        stored = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+        return newest(spark.read.schema(stored).parquet(f"{self.path}/changes"), self.keys)
 
     def before(self, spark: SparkSession, batch: int, schema: T.StructType) -> DataFrame:
         """The table as it was before a batch. What is read depends on the batch number alone, never on a listing."""

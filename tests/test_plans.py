@@ -29,11 +29,11 @@ def unbroadcast(spark):
         spark.conf.set(name, value)
 
 
-STREAMING = [name for name in entry.queries() if name.endswith("_stream")]
-EAGER = {"tap_counts", "topic_roundtrip"}
+STREAMING = [name for name in registry.QUERIES if name.endswith("_stream")]
+EAGER = {"tap_counts", "topic_roundtrip", "topic_mixed_writers"}
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in STREAMING and n not in EAGER])
+@pytest.mark.parametrize("name", [n for n in registry.QUERIES if n not in STREAMING and n not in EAGER])
 def test_no_python_and_no_nested_loops(spark, unbroadcast, name):
     text = plan(entry.queries()[name](spark, SF))
     for bad in ("Python", "Pandas", "ArrowEval", "NestedLoop", "CartesianProduct"):
