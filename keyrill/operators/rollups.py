@@ -147,54 +147,41 @@ def record_as(df: DataFrame, metric: str) -> DataFrame:
 def evaluate_rules(valid: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """All rules in one pass over the valid samples, as samples of the recorded metrics.
 
-    Rules that read the same metric do not read it again: each sample is tagged with the rules it belongs to, and
-    grouped once by (rule, tick, labels used). Rules with an inner aggregation go through it in a second grouping.
+    Each sample is tagged with the rules it belongs to and grouped once by (rule, tick, labels used), the inner ones
+    where a rule has an inner aggregation. A second grouping, of what is left, makes the outer one.
     """
     names = sorted({name for rule in rules for name in (*rule.by, *(rule.inner_by or ()))})
-    plain = [rule for rule in rules if rule.inner_by is None]
-    nested = [rule for rule in rules if rule.inner_by is not None]
-
     flat = valid.select("metric", "labels", "from_us", "to_us", "value", *[label(n).alias(n) for n in names])
-
-    def label_columns(by: Sequence[str]) -> list[Column]:
-        return [(F.col(n) if n in by else F.lit("")).alias(n) for n in names]
-
-    def tagged(some: Sequence[Rule], by) -> DataFrame:
-        """Each sample once for every rule it belongs to."""
-        tags = None
-        for metric in sorted({rule.metric for rule in some}):
-            structs = [
-                F.when(rule.keeps(), F.struct(F.lit(rule.record).alias("record"), *label_columns(by(rule))))
-                for rule in some
-                if rule.metric == metric
-            ]
-            test = F.col("metric") == metric
-            tags = F.when(test, F.array(*structs)) if tags is None else tags.when(test, F.array(*structs))
-        rows = flat.where(F.col("metric").isin([rule.metric for rule in some]))
-        return at_ticks(rows.select("from_us", "to_us", "value", F.inline(tags)).where("record is not null"))
-
-    def pick(some: Sequence[Rule], kind) -> Column:
+    tags = None
+    for metric in sorted({rule.metric for rule in rules}):
+        structs = []
+        for rule in rules:
+            if rule.metric == metric:
+                used = rule.inner_by or rule.by
+                labels = [(F.col(n) if n in used else F.lit("")).alias(n) for n in names]
+                structs.append(F.when(rule.keeps(), F.struct(F.lit(rule.record).alias("record"), *labels)))
+        test = F.col("metric") == metric
+        tags = F.when(test, F.array(*structs)) if tags is None else tags.when(test, F.array(*structs))
+    rows = flat.where(F.col("metric").isin([rule.metric for rule in rules]))
+    rows = at_ticks(rows.select("from_us", "to_us", "value", F.inline(tags)).where("record is not null"))
+
+    def pick(kind) -> Column:
         chosen = None
-        for agg in sorted({kind(rule) for rule in some}):
-            records = [rule.record for rule in some if kind(rule) == agg]
+        for agg in sorted({kind(rule) for rule in rules}):
+            test = F.col("record").isin([rule.record for rule in rules if kind(rule) == agg])
             value = _aggregate(agg)
-            test = F.col("record").isin(records)
             chosen = F.when(test, value) if chosen is None else chosen.when(test, value)
         return chosen.alias("value")
 
-    parts = []
-    if plain:
-        parts.append(tagged(plain, lambda r: r.by).groupBy("record", "tick", *names).agg(pick(plain, lambda r: r.agg)))
-    if nested:
-        inner = tagged(nested, lambda r: r.inner_by).groupBy("record", "tick", *names)
-        inner = inner.agg(pick(nested, lambda r: r.inner_agg))
-        outer_labels = []
+    result = rows.groupBy("record", "tick", *names).agg(pick(lambda r: r.inner_agg if r.inner_by else r.agg))
+    if any(rule.inner_by for rule in rules):
+        kept = []
         for n in names:
-            keeping = [rule.record for rule in nested if n in rule.by]
-            outer_labels.append(F.when(F.col("record").isin(keeping), F.col(n)).otherwise(F.lit("")).alias(n))
-        outer = inner.select("record", "tick", *outer_labels, "value").groupBy("record", "tick", *names)
-        parts.append(outer.agg(pick(nested, lambda r: r.agg)))
-    result = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+            dropping = [rule.record for rule in rules if rule.inner_by and n not in rule.by]
+            kept.append(F.when(F.col("record").isin(dropping), F.lit("")).otherwise(F.col(n)).alias(n) if dropping else F.col(n))
+        # a rule without an inner aggregation has one row a group here, which passes through
+        outer = result.select("record", "tick", *kept, "value").groupBy("record", "tick", *names)
+        result = outer.agg(pick(lambda r: r.agg if r.inner_by else "max"))
     return result.select(F.col("record").alias("metric"), _labels(names), F.col("tick").alias("ts"), "value")
 
 

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from keyrill.operators.rollups import Rule
-from keyrill.plans.rules import BROKER, CLUSTER, PARTITION, TOPIC, recording_rules
+from keyrill.plans.rules import BROKER, CLUSTER, PARTITION, TOPIC
 
 RECORDS = """
 records AS (
@@ -86,11 +85,11 @@ instants AS (
   FROM (SELECT *, unnest(generate_series(first_tick, last_tick, 60000000)) AS tick_us FROM ({TICKS}))
   GROUP BY ALL)"""
 
-_METRICS = sorted({rule.metric for rule in recording_rules()})
-
 BROKER_INSTANTS = f"""
 samples AS (
-  SELECT ([{", ".join(f"'{m}'" for m in _METRICS)}])[event_id % {len(_METRICS)} + 1] AS metric,
+  SELECT ['broker_topic_total_fetch_requests_rate_1_min', 'log_size', 'log_tier_size', 'partition_caught_up_replicas_count',
+          'partition_in_sync_replicas_count', 'partition_observer_replicas_count', 'partition_replicas_count',
+          'partition_under_min_isr', 'partition_under_replicated'][event_id % 9 + 1] AS metric,
          'c' || (user_id % 2) AS {CLUSTER}, 'b' || (user_id % 3) AS {BROKER},
          CASE WHEN k % 10 = 0 THEN '__cluster_metadata' ELSE event_type END AS {TOPIC},
          CAST(k % 4 AS VARCHAR) AS {PARTITION}, epoch_us(ts) AS at_us,
@@ -102,21 +101,52 @@ instants AS (
   GROUP BY ALL)"""
 
 
-def _rule_sql(rule: Rule) -> str:
-    where = [f"metric = '{rule.metric}'"]
-    if rule.not_equal:
-        where.append(f"{rule.not_equal[0]} <> '{rule.not_equal[1]}'")
-    if rule.above is not None:
-        where.append(f"value > {rule.above}")
-    source = f"(SELECT * FROM instants WHERE {' AND '.join(where)})"
-    if rule.inner_by:
-        inner = ", ".join(rule.inner_by)
-        source = f"(SELECT tick_us, {inner}, {rule.inner_agg}(value) AS value FROM {source} GROUP BY tick_us, {inner})"
-    labels = ", ".join(f"{n} AS {n}" if n in rule.by else f"'' AS {n}" for n in (CLUSTER, BROKER, TOPIC, PARTITION))
-    return (
-        f"SELECT '{rule.record}' AS metric, tick_us, {labels}, CAST({rule.agg}(value) AS DOUBLE) AS value "
-        f"FROM {source} GROUP BY tick_us, {', '.join(rule.by)}"
-    )
+# The fifteen rules written out, so that they do not depend on the list under test.
+RULES = """
+SELECT 'code:log_size_by_broker:total' AS metric, tick_us, kafka_cluster_id, kafka_broker_id, '' AS topic, '' AS partition, CAST(sum(value) AS DOUBLE) AS value
+FROM instants WHERE metric = 'log_size' AND topic <> '__cluster_metadata' GROUP BY ALL
+UNION ALL
+SELECT 'code:log_size_by_topic:total' AS metric, tick_us, kafka_cluster_id, '' AS kafka_broker_id, topic, '' AS partition, CAST(sum(value) AS DOUBLE) AS value
+FROM instants WHERE metric = 'log_size' AND topic <> '__cluster_metadata' GROUP BY ALL
+UNION ALL
+SELECT 'code:partition_under_min_isr_by_broker:total' AS metric, tick_us, kafka_cluster_id, kafka_broker_id, '' AS topic, '' AS partition, CAST(sum(value) AS DOUBLE) AS value
+FROM instants WHERE metric = 'partition_under_min_isr' GROUP BY ALL
+UNION ALL
+SELECT 'code:log_tier_size_by_broker:total' AS metric, tick_us, kafka_cluster_id, kafka_broker_id, '' AS topic, '' AS partition, CAST(sum(value) AS DOUBLE) AS value
+FROM instants WHERE metric = 'log_tier_size' AND topic <> '__cluster_metadata' GROUP BY ALL
+UNION ALL
+SELECT 'code:partition_replicas_count_by_topic:total' AS metric, tick_us, kafka_cluster_id, '' AS kafka_broker_id, topic, '' AS partition, CAST(sum(value) AS DOUBLE) AS value
+FROM instants WHERE metric = 'partition_replicas_count' GROUP BY ALL
+UNION ALL
+SELECT 'code:partition_in_sync_replicas_count_by_topic:total' AS metric, tick_us, kafka_cluster_id, '' AS kafka_broker_id, topic, '' AS partition, CAST(sum(value) AS DOUBLE) AS value
+FROM instants WHERE metric = 'partition_in_sync_replicas_count' GROUP BY ALL
+UNION ALL
+SELECT 'code:broker_topic_total_fetch_requests_rate_1_min_by_topic:total' AS metric, tick_us, kafka_cluster_id, '' AS kafka_broker_id, topic, '' AS partition, CAST(sum(value) AS DOUBLE) AS value
+FROM instants WHERE metric = 'broker_topic_total_fetch_requests_rate_1_min' GROUP BY ALL
+UNION ALL
+SELECT 'code:broker_topic_total_fetch_requests_rate_1_min_by_broker:total' AS metric, tick_us, kafka_cluster_id, kafka_broker_id, '' AS topic, '' AS partition, CAST(sum(value) AS DOUBLE) AS value
+FROM instants WHERE metric = 'broker_topic_total_fetch_requests_rate_1_min' GROUP BY ALL
+UNION ALL
+SELECT 'code:partition_under_replicated_by_broker:total' AS metric, tick_us, kafka_cluster_id, kafka_broker_id, '' AS topic, '' AS partition, CAST(sum(value) AS DOUBLE) AS value
+FROM instants WHERE metric = 'partition_under_replicated' GROUP BY ALL
+UNION ALL
+SELECT 'code:partition_observer_replicas_count_by_topic:total' AS metric, tick_us, kafka_cluster_id, '' AS kafka_broker_id, topic, '' AS partition, CAST(sum(value) AS DOUBLE) AS value
+FROM instants WHERE metric = 'partition_observer_replicas_count' GROUP BY ALL
+UNION ALL
+SELECT 'code:partition_under_replicated_by_topic:total' AS metric, tick_us, kafka_cluster_id, '' AS kafka_broker_id, topic, '' AS partition, CAST(sum(value) AS DOUBLE) AS value
+FROM instants WHERE metric = 'partition_under_replicated' GROUP BY ALL
+UNION ALL
+SELECT 'code:log_tier_size_by_cluster:total' AS metric, tick_us, kafka_cluster_id, '' AS kafka_broker_id, '' AS topic, '' AS partition, CAST(sum(value) AS DOUBLE) AS value
+FROM (SELECT tick_us, kafka_cluster_id, topic, partition, max(value) AS value FROM instants WHERE metric = 'log_tier_size' GROUP BY ALL) GROUP BY ALL
+UNION ALL
+SELECT 'code:partition_count_by_topic:total' AS metric, tick_us, kafka_cluster_id, '' AS kafka_broker_id, topic, '' AS partition, CAST(count(*) AS DOUBLE) AS value
+FROM instants WHERE metric = 'partition_replicas_count' AND value > 0 GROUP BY ALL
+UNION ALL
+SELECT 'code:partition_caught_up_replicas_count_by_topic:total' AS metric, tick_us, kafka_cluster_id, '' AS kafka_broker_id, topic, '' AS partition, CAST(sum(value) AS DOUBLE) AS value
+FROM instants WHERE metric = 'partition_caught_up_replicas_count' GROUP BY ALL
+UNION ALL
+SELECT 'code:log_tier_size_by_topic:total' AS metric, tick_us, kafka_cluster_id, '' AS kafka_broker_id, topic, '' AS partition, CAST(sum(value) AS DOUBLE) AS value
+FROM (SELECT tick_us, kafka_cluster_id, topic, partition, max(value) AS value FROM instants WHERE metric = 'log_tier_size' GROUP BY ALL) GROUP BY ALL"""
 
 
 SESSIONS = f"""{ORDERS},
@@ -220,10 +250,9 @@ SELECT tick_us, kind, CAST(count(*) AS DOUBLE) AS value FROM instants WHERE valu
     "record_rule": f"""WITH {INSTANTS}
 SELECT 'clicks_by_kind:total' AS metric, tick_us, kind, sum(value) AS value
 FROM instants WHERE metric = 'click' AND topic <> 't1' GROUP BY ALL""",
-    "rule_suite": f"WITH {BROKER_INSTANTS}\n" + "\nUNION ALL\n".join(_rule_sql(rule) for rule in recording_rules()),
-    "rule_suite_stream": f"WITH {BROKER_INSTANTS}\nSELECT * FROM (\n"
-    + "\nUNION ALL\n".join(_rule_sql(rule) for rule in recording_rules())
-    + "\n) WHERE tick_us < (SELECT max(at_us) FROM samples)",
+    "rule_suite": f"WITH {BROKER_INSTANTS}\n{RULES}",
+    "rule_suite_stream": f"""WITH {BROKER_INSTANTS}
+SELECT * FROM ({RULES}) WHERE tick_us < (SELECT max(at_us) FROM samples)""",
     "promote_labels": """
 SELECT event_id, 'h' || (user_id % 4) AS host_hostname, CAST(user_id % 3 AS VARCHAR) AS kafka_broker_id,
        CASE WHEN event_id % 2 = 0 THEN 'own-' || event_type ELSE event_type END AS type, '' AS process_pid,
