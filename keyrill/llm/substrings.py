@@ -35,7 +35,7 @@ from keyrill.llm.words import Hasher, inside, scan
 from keyrill.streaming.jobs import work_folder
 
 WIDTH = 20
-FILE_BYTES = 6_000_000
+FILE_BYTES = 4_000_000
 WORDS_PER_BUCKET = 2_000_000
 
 _hashers: list[Hasher] = []
