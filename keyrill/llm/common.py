@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -33,6 +34,14 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(spark.sparkContext.applicationId)
 
 
+def return_freed_memory() -> None:
+    """Give what this worker has freed back to the system (glibc; elsewhere only Arrow's part); else each worker of an executor keeps it."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+    pa.default_memory_pool().release_unused()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

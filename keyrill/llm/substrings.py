@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from keyrill.llm import files
-from keyrill.llm.common import spread, stored, string_buffer
+from keyrill.llm.common import return_freed_memory, spread, stored, string_buffer
 from keyrill.llm.words import Hasher, inside, scan
 from keyrill.streaming.jobs import work_folder
 
@@ -86,6 +86,7 @@ class _File:
     """The documents of one file and the hashes of their words."""
 
     def __init__(self, path: str, width: int) -> None:
+        return_freed_memory()
         self.table = pa.ipc.open_file(files.contents(path)).read_all().combine_chunks()
         self.width = width
         column = self.table.column("text")
@@ -198,6 +199,7 @@ def _answers(table: pa.Table, flags: np.ndarray, counts: list[int]) -> pa.Table:
 
 def _probe_answers(table: pa.Table) -> pa.Table:
     """A probe hits if its words are at two places at least, one of them an indexed block's."""
+    return_freed_memory()
     hashes = [np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("hashes")]
     counts = [len(x) for x in hashes]
     many, aligned = (np.concatenate([_unpacked(x.as_buffer(), n) for x, n in zip(table.column(c), counts)]) for c in ("many", "aligned"))
@@ -236,6 +238,7 @@ def _sent_windows(asked: DataFrame, width: int, bits: int) -> DataFrame:
 
 def _window_answers(table: pa.Table) -> pa.Table:
     """A window is late in all files but the first that has it."""
+    return_freed_memory()
     parts = [[np.frombuffer(x.as_buffer(), np.uint64) for x in table.column(c)] for c in ("a", "b")]
     counts = [len(x) for x in parts[0]]
     a, b = (np.concatenate(x) for x in parts)
