@@ -12,11 +12,15 @@ from keyrill.llm import (
     decontamination,
     language_id,
     language_model,
+    merkle,
+    overlap_join,
     packing,
     quality,
     quotes,
+    runs,
     sequence_files,
     simhash,
+    sql,
     substrings,
     token_counts,
 )
@@ -68,6 +72,18 @@ def op10_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap_join.overlap_join(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(table(spark, sf_dir, "documents"), planted=True)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proofs(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sequence_files,
@@ -80,6 +96,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_best_fit_packing,
         op10_attention_scores,
+        op11_overlap_join,
+        op12_periodic_runs,
+        op13_merkle_manifest,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(sql.ORACLES)
