@@ -13,7 +13,9 @@ between. Any order gives the same links; this one makes most lists those of a sh
 A list may hold a third of all classes, all of them near copies of each other. Lists are therefore first used to propose one pair for each entry,
 with a leader of its list, and what links that way is put into components. The search proper is then for links between
 different components alone: a list is merged for its entries outside its largest component, in chunks of bounded length. No
-pair within a component is made, none between components is lost.
+pair within a component is made, none between components is lost. A list's entries carry 256 bits, each the parity of the number of the
+set's shingles that fall on it: sets differ in at least as many shingles as their bits do, so an entry that differs in
+more than a link allows is not asked for.
 
 A shingle is told by a 64-bit hash, so two documents could count two different shingles as one with a probability of about a * b / 2^64.
 Null texts and texts without words have empty sets and are their own components. Null ids get the component of their class: the smallest
@@ -44,7 +46,7 @@ SAMPLE = 4_000
 FREQUENT = 0.01
 MOST_FREQUENT = 200_000
 LEADER_ROUNDS = 2
-CHUNK = 1_024
+CHUNK = 512
 BROADCAST_ROWS = 2_000_000
 _COUNTED = np.uint64(4)  # one shingle in so many is counted
 _SEED = 11
@@ -88,6 +90,28 @@ def _own_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def parities(found: np.ndarray) -> np.ndarray:
+    """Four words of 64 bits; the bits of two sets differ in no more places than the sets do in shingles."""
+    counts = np.bincount((found >> np.uint64(8) & np.uint64(255)).astype(np.int64), minlength=256)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view("<i8")
+
+
+def asked_for(asking: pa.StructArray, held: pa.StructArray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the entries `asking` of a list look for which of the entries `held`: of smaller components, if they can link at all."""
+
+    def columns(entries: pa.StructArray) -> tuple[np.ndarray, ...]:
+        n, members, comp = (entries.field(c).to_numpy() for c in ("n", "members", "comp"))
+        return n, members, comp, entries.field("bits").flatten().to_numpy().view(np.uint64).reshape(-1, 4)
+
+    n, members, comp, bits = (x[:, None] for x in columns(asking))
+    of_n, of_members, of_comp, of_bits = (x[None] for x in columns(held))
+    smaller = (of_members < members) | ((of_members == members) & (of_comp < comp))
+    alike = np.minimum(n, of_n) * 100 >= np.maximum(n, of_n) * percent
+    differ = np.bitwise_count(bits ^ of_bits).sum(axis=2, dtype=np.int64)
+    shared = -(-percent * (n + of_n) // (100 + percent))
+    return np.nonzero(smaller & alike & (differ <= n + of_n - 2 * shared))
+
+
 def _needed(n: Column, percent: int) -> Column:
     """How many short lists a set must share with any it links to."""
     return F.least(F.lit(SHARED), F.ceil(n * percent / F.lit(100)))
@@ -115,18 +139,19 @@ def frequent_shingles(rows: DataFrame, width: int = WIDTH, sample: int = SAMPLE)
 
 
 def _posted(rows: DataFrame, frequent: np.ndarray, width: int, percent: int) -> DataFrame:
-    """(doc_id, n, key, counted, more) of each row.
+    """(doc_id, n, key, bits, counted, more) of each row.
 
-    `key` tells its set, `counted` are the shingles to be counted, `more` those that are in its short lists whatever the counts.
+    `key` tells its set, `bits` are its parities, `counted` are the shingles to be counted, `more` those that are in its short lists whatever the counts.
     """
 
     def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                keys, sizes, counted, more = [], [], [], []
+                keys, sizes, bits, counted, more = [], [], [], [], []
                 for found in shingle_sets(part.column("text"), width):
                     sizes.append(len(found))
                     keys.append(xxhash.xxh3_128_digest(found.tobytes()))
+                    bits.append(parities(found))
                     often = np.zeros(len(found), bool)
                     if len(frequent):
                         often = frequent[np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)] == found
@@ -136,11 +161,11 @@ def _posted(rows: DataFrame, frequent: np.ndarray, width: int, percent: int) ->
                     counted.append(found[first].view(np.int64))
                     more.append(np.concatenate([found[~first & ~often], found[often]])[: max(0, missing)].view(np.int64))
                 columns = [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary())]
-                columns += [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, c)]), pa.int32()), pa.array(np.concatenate(c))) for c in (counted, more)]
-                yield pa.record_batch(columns, names=["doc_id", "n", "key", "counted", "more"])
+                columns += [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, c)]), pa.int32()), pa.array(np.concatenate(c))) for c in (bits, counted, more)]
+                yield pa.record_batch(columns, names=["doc_id", "n", "key", "bits", "counted", "more"])
                 return_freed_memory()
 
-    return rows.mapInArrow(posted, "doc_id long, n long, key binary, counted array<long>, more array<long>")
+    return rows.mapInArrow(posted, "doc_id long, n long, key binary, bits array<long>, counted array<long>, more array<long>")
 
 
 def _short_lists(classes: DataFrame, percent: int) -> DataFrame:
@@ -210,41 +235,56 @@ def _led(entries: DataFrame, number: int, percent: int) -> DataFrame:
     return led.select(F.greatest("cls", "leader.cls").alias("u"), F.least("cls", "leader.cls").alias("v")).distinct()
 
 
-def _occurring(entries: DataFrame, percent: int) -> DataFrame:
+def _occurring(entries: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     """(u, v): all pairs of classes in different components that occur together in enough short lists.
 
     The member of the smaller component is looked for, the other looks; of equal ones the smaller number. So the entries of a list's largest
-    component are in no chunk, and a pair meets in the lists of one of its classes alone.
+    component are in no chunk, and a pair meets in the lists of one of its classes alone. `bits` are (cls, bits).
     """
     sizes = entries.select("cls", "comp").distinct().groupBy("comp").agg(F.count("*").alias("members"))
     entries = entries.join(sizes, "comp").withColumn("rank", F.struct("members", "comp"))
     lists = entries.groupBy("h").agg(F.min("rank").alias("low"), F.max("rank").alias("high"))
     lists = lists.where(F.col("low") < F.col("high"))
-    entries = entries.join(lists, "h").drop("members")
+    entries = entries.join(lists, "h").drop("members").join(bits, "cls")
     found = stored(entries, "overlap-lists")
     sought = found.where(F.col("rank") < F.col("high"))
     longest = sought.groupBy("h").count().agg(F.max("count")).first()[0] or 0
     parts = -(-longest // CHUNK)
     part = F.pmod(F.xxhash64("cls"), F.lit(max(1, parts)))
-    chunks = sought.withColumn("part", part).groupBy("h", "part").agg(
-        F.array_sort(F.collect_list(F.struct("cls", "n", F.col("rank.members").alias("members"), "comp"))).alias("list")
-    )
-    queries = found.where(F.col("rank") > F.col("low")).select("h", F.col("cls").alias("u"), F.col("n").alias("size"), F.col("rank.members").alias("of"), F.col("comp").alias("own"))
-    # what a query asks of a list is cut down before it travels: classes of smaller components that could link at all
-    fits = F.filter(
-        "list",
-        lambda e: (F.struct(e["members"], e["comp"]) < F.struct("of", "own")) & _alike(e["n"], F.col("size"), percent),
-    )
-    asked = queries.join(chunks, "h").select("u", "part", "size", fits.alias("list")).where(F.size("list") > 0)
-    asked = asked.select("u", "part", "size", F.transform("list", lambda e: F.struct(e["cls"].alias("cls"), e["n"].alias("n"))).alias("list"))
+    entry = F.struct("cls", "n", F.col("rank.members").alias("members"), "comp", "bits")
+
+    def chunked(rows: DataFrame, name: str) -> DataFrame:
+        return rows.withColumn(f"{name}_part", part).groupBy("h", f"{name}_part").agg(F.collect_list(entry).alias(name))
+
+    # a list by itself, chunk against chunk
+    tiles = chunked(found.where(F.col("rank") > F.col("low")), "asking").join(chunked(sought, "held"), "h")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What each entry of a list finds there: the list in order, cut down to what can link."""
+        for batch in batches:
+            asking, held, parts = (batch.column(c) for c in ("asking", "held", "held_part"))
+            for i in range(batch.num_rows):
+                x, y = asking[i].values, held[i].values
+                y = y.take(pa.array(np.argsort(y.field("cls").to_numpy())))
+                by, of = asked_for(x, y, percent)
+                queries, starts = np.unique(by, return_index=True)
+                if not len(by):
+                    continue
+                offsets = pa.array(np.append(starts, len(by)), pa.int32())
+                lists = [pa.ListArray.from_arrays(offsets, y.field(c).take(pa.array(of))) for c in ("cls", "n")]
+                of_query = [x.field(c).take(pa.array(queries)) for c in ("cls", "n")]
+                part_of = pa.array(np.full(len(queries), parts[i].as_py(), np.int64))
+                yield pa.record_batch([*of_query, part_of, *lists], names=["u", "size", "part", "list", "sizes"])
+
+    asked = tiles.select("asking", "held", "held_part").mapInArrow(ask, "u long, size long, part long, list array<long>, sizes array<long>")
     asked = asked.repartition("u", "part").sortWithinPartitions("u", "part")
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Merge the lists of each query by a heap and count how often a class comes."""
-        rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("u", "part", "size", "list"))))
+        rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("u", "part", "size", "list", "sizes"))))
         u, v = [], []
         for (query, _, size), lists in groupby(rows, key=lambda r: r[:3]):
-            heads = [[(e["cls"], e["n"]) for e in row[3]] for row in lists]
+            heads = [zip(row[3], row[4]) for row in lists]
             for (cls, n), times in groupby(heapq.merge(*heads)):
                 if sum(1 for _ in times) >= min(SHARED, _own_overlap(min(size, n), percent)):
                     u.append(max(query, cls))
@@ -274,7 +314,7 @@ def overlap_links(classes: DataFrame, rows: DataFrame, width: int = WIDTH, perce
         links = stored(found if links is None else links.unionByName(found), "overlap-links")
         links = components(links)
         placed = stored(_in_components(entries, links), "overlap-placed")
-    pairs = stored(_occurring(placed, percent), "overlap-pairs")
+    pairs = stored(_occurring(placed, classes.select("cls", "bits"), percent), "overlap-pairs")
     return links.unionByName(_linked(pairs, sets, percent))
 
 
@@ -284,7 +324,7 @@ def overlap_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     base = stored(_posted(rows, frequent_shingles(rows, width), width, percent), "overlap-base")
     filled = base.where("n > 0")
     classes = filled.groupBy("key").agg(
-        F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("counted").alias("counted"), F.first("more").alias("more")
+        F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("counted").alias("counted"), F.first("more").alias("more")
     )
     classes = stored(classes.withColumn("cls", F.monotonically_increasing_id()), "overlap-classes")
     roots = components(overlap_links(classes, rows, width, percent))
