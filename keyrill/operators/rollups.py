@@ -198,3 +198,12 @@ def windowed_rollup(df: DataFrame, by: Sequence[str], agg: str = "sum") -> DataF
     window = F.window("ts", f"{TICK_US // 1_000_000} seconds")
     grouped = df.groupBy(window.alias("w"), *[label(name).alias(name) for name in by])
     return grouped.agg(_aggregate(agg).alias("value")).select(F.col("w.end").alias("tick"), *by, "value")
+
+
+def windowed_sum_of_max(df: DataFrame, inner_by: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """`sum_of_max` over the samples of each tick interval: two aggregations, the second over the windows of the first."""
+    length = f"{TICK_US // 1_000_000} seconds"
+    greatest = df.groupBy(F.window("ts", length).alias("w"), *[label(name).alias(name) for name in inner_by]).agg(F.max("value").alias("value"))
+    closed = greatest.select(F.window_time("w").alias("at"), *by, "value")
+    sums = closed.groupBy(F.window("at", length).alias("w"), *by).agg(F.sum("value").alias("value"))
+    return sums.select(F.col("w.end").alias("tick"), *by, "value")

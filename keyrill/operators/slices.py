@@ -87,7 +87,7 @@ def sliced(
 ) -> Sliced:
     """Prepare `df` (with a non-null `key`) for ordered computations, cutting keys of more than `rows_per_slice` rows.
 
-    Costs one aggregation over the key column of `measure`, which is `df` unless given: pass the inputs of an expensive
+    Costs one aggregation over the key column of `measure`, of which one number comes back; nothing is written where no key is hot. `measure` is `df` unless given: pass the inputs of an expensive
     `df` instead, with the same key column, so that it is not computed twice. Where there are hot keys, their rows are
     written once to the shared folder in order of key and position, one task a slice. The order columns must together be
     unique within a key: equal positions cannot be told apart, here as in any ordered window.
@@ -95,11 +95,10 @@ def sliced(
     order = tuple(order)
     measure = df if measure is None else measure
     counts = measure.groupBy("key").count().where(F.col("count") > rows_per_slice)
-    hot = written(counts, "hot-keys")
-    parts = hot.agg(F.sum(F.ceil(F.col("count") / rows_per_slice))).first()[0]
+    parts = counts.agg(F.sum(F.ceil(F.col("count") / rows_per_slice))).first()[0]
     if not parts:
         return Sliced(df, order)
-    keys = hot.select("key")
+    keys = written(counts.select("key"), "hot-keys")
     ranged = df.join(keys, "key", "left_semi").repartitionByRange(int(parts), "key", *order)
     cut = written(ranged.withColumn("slice", F.spark_partition_id()), "hot-rows")
     slices = written(cut.groupBy("key", "slice").count().select("key", "slice"), "hot-slices")

@@ -12,6 +12,7 @@ from keyrill.operators.slices import ROWS_PER_SLICE, sliced
 
 FOLD_BLOCK = 1_000
 DIGITS = 10
+EXACT_BELOW = 1e16
 
 
 def total_by_key(df: DataFrame, value: str | Column = "price", name: str = "total") -> DataFrame:
@@ -25,15 +26,21 @@ def running_total(
 ) -> DataFrame:
     """The total of a key after each of its records, in (timestamp, offset) order.
 
-    Floating-point values are added as decimals of DIGITS places and given back as doubles, so that a total does not depend on
-    where a key was cut.
+    A floating-point value is added in two parts: as a decimal of DIGITS places, and what that leaves of it as a double. So totals
+    of values that are such decimals do not depend on where a key was cut, and others are totals of doubles: NaN and
+    infinities stay what they are, tiny and huge values are not lost.
     """
     column = F.col(value) if isinstance(value, str) else value
     rows = keyed(df).where(column.isNotNull())
     inexact = rows.select(column.alias("v")).schema["v"].dataType.typeName() in ("double", "float")
-    column = column.cast(f"decimal(38,{DIGITS})") if inexact else column
-    found = sliced(rows, rows_per_slice=rows_per_slice).running_sum(column, name).result()
-    return found.withColumn(name, F.col(name).cast("double")) if inexact else found
+    if not inexact:
+        return sliced(rows, rows_per_slice=rows_per_slice).running_sum(column, name).result()
+    column = column.cast("double")
+    # beyond this size doubles have no decimal places left
+    exact = F.when(F.abs(column) < EXACT_BELOW, column.cast(f"decimal(38,{DIGITS})")).otherwise(F.lit(0).cast(f"decimal(38,{DIGITS})"))
+    rest = column - exact.cast("double")
+    found = sliced(rows, rows_per_slice=rows_per_slice).running_sum(exact, "_exact").running_sum(rest, "_rest").result()
+    return found.withColumn(name, F.col("_exact").cast("double") + F.col("_rest")).drop("_exact", "_rest")
 
 
 def ordered_fold(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keyrill.folders import work_folder
 from keyrill.plans.rules import BROKER, CLUSTER, PARTITION, TOPIC, recording_rules
 
 EVENTS = T.StructType(
@@ -38,6 +39,25 @@ def event_stream(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return spark.readStream.schema(EVENTS).options(**options).parquet(f"{sf_dir}/events.parque[t]")
 
 
+STAGES, LATE_MINUTES = 5, 60
+
+
+def staged_events(spark: SparkSession, session: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream that brings them in several micro-batches and out of order, up to LATE_MINUTES late.
+
+    Each event arrives some time after it happened, by a hash of its id; the time of arrival is cut into STAGES parts, written one after
+    the other, and each file is a micro-batch.
+    """
+    folder = work_folder(spark, "events")
+    late = F.pmod(F.xxhash64("event_id"), F.lit(LATE_MINUTES * 60))
+    events = table(spark, sf_dir, "events").withColumn("_at", F.unix_micros(utc("ts")) + late * 1_000_000)
+    low, high = events.agg(F.min("_at"), F.max("_at")).first()
+    stage = F.least(F.floor((F.col("_at") - F.lit(low)) * STAGES / F.lit(max(1, (high or 0) - (low or 0)))), F.lit(STAGES - 1))
+    for number in range(STAGES):
+        events.where(stage == number).drop("_at").write.mode("append").parquet(folder)
+    return session.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
 def props_k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 

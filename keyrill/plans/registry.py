@@ -31,10 +31,12 @@ from keyrill.sources.codecs import decode_json, encode_json
 from keyrill.sources.topics import Topic
 from keyrill.streaming import pipelines as streaming
 from keyrill.streaming.jobs import Job, finish, job_session, work_folder
+from keyrill.streaming.ordered import Fold, Silence
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 MARK = "purchase-"
+DELAY = f"{ev.LATE_MINUTES} minutes"
 SMALL_SLICE = 25  # cuts keys of the small test tables, to run the path meant for hot keys
 HOUR, QUARTER, SESSION_GAP = 60, 15, 240  # minutes
 
@@ -190,7 +192,7 @@ def topic_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def topic_mixed_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A quarter of the events each by a load, two stream writers and another load, with loads and streams repeated."""
+    """A quarter of the events each by a load, two stream writers of one name and another load, with loads and streams repeated."""
     topic = Topic(f"{work_folder(spark, 'topic')}")
 
     def quarter(events: DataFrame, number: int) -> DataFrame:
@@ -200,7 +202,7 @@ def topic_mixed_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
         job = Job.fresh(spark, f"writer{number}")
         for _ in range(2):
             events = event_stream(job_session(spark), sf_dir)
-            finish(topic.write_stream(quarter(events, number), job.checkpoint, job.name))
+            finish(topic.write_stream(quarter(events, number), job.checkpoint, "writer"))
 
     events = table(spark, sf_dir, "events")
     topic.load(quarter(events, 0), "first")
@@ -225,6 +227,15 @@ def table_latest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_records(streaming.run_table(spark, Job.fresh(spark, "table_latest"), stream))
 
 
+@query
+def table_filter_changes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filtered table, by replaying the change stream that a job sends for it, deletes included."""
+    stream = upserts(ev.staged_events(spark, job_session(spark), sf_dir))
+    changes = streaming.run_table_changes(spark, Job.fresh(spark, "table_changes"), stream, delay=DELAY)
+    table_now = tables.newest_rows(changes, ("key",), ("at_us", "offset")).where("value is not null")
+    return table_now.select("key", "value", F.col("at_us").alias("ts_us"), "offset")
+
+
 @query
 def table_changelog_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_records(pipelines.large_updates(upserts(table(spark, sf_dir, "events"))))
@@ -254,6 +265,14 @@ def total_by_key_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.select("key", num("total", "total"))
 
 
+@query
+def store_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The totals by key, read from the state of the job that keeps them."""
+    job = Job.fresh(spark, "store")
+    streaming.run_totals(spark, job, ev.orders(ev.staged_events(spark, job_session(spark), sf_dir)))
+    return streaming.read_store(spark, job).select("key", num("sum", "total"))
+
+
 def _running(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     rows = totals.running_total(ev.orders(table(spark, sf_dir, "events")), **options)
     return rows.select("key", "offset", num("price", "price"), num("total", "total"))
@@ -285,6 +304,7 @@ def running_total_double_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MODULUS, BASE = 1_000_003, 31
+SILENCE_HOURS = 24
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
@@ -315,6 +335,37 @@ def ordered_fold_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fingerprint(spark, sf_dir, rows_per_slice=SMALL_SLICE, block=4)
 
 
+@query
+def running_total_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running totals of doubles among which are NaN, infinities, tiny and huge ones; each user's rows of one kind."""
+    orders = ev.orders(table(spark, sf_dir, "events"))
+    kind, user = F.col("offset") % 7, F.col("key").cast("bigint") % 4
+    odd = F.when((user == 0) & (kind == 3), F.lit(float("nan"))).when((user == 1) & (kind == 3), F.lit(float("inf")))
+    odd = odd.when(user == 2, F.lit(2.0**-60)).when((user == 3) & (kind == 3), F.lit(2.0**100))
+    orders = orders.withColumn("price", F.coalesce(odd, F.when(user == 3, F.lit(0.0)).otherwise(F.floor("price").cast("double"))))
+    rows = totals.running_total(orders, rows_per_slice=SMALL_SLICE)
+    return rows.select("key", "offset", F.col("total").cast("string").alias("total_text"), (F.col("total") == F.col("total") + 1).alias("beyond_ones")).select(
+        "key", "offset", F.when(F.col("total_text").isin("NaN", "Infinity"), F.col("total_text")).otherwise("").alias("kind"), F.coalesce("beyond_ones", F.lit(False)).alias("beyond_ones")
+    )
+
+
+@query
+def ordered_fold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same fold on a stream of several micro-batches with rows out of order; up to the watermark."""
+    stream = ev.orders(ev.staged_events(spark, job_session(spark), sf_dir)).withColumn("amount", (F.col("price") * 100).cast("bigint"))
+    modulus, base = MODULUS, BASE
+    step = Fold("amount", (0,), "fingerprint bigint", lambda state, amount: ((state[0] * base + amount) % modulus,))
+    folds = streaming.run_step(spark, Job.fresh(spark, "fold"), stream, step, DELAY)
+    return tables.newest_rows(folds, ("key",), ("at_us", "offset")).select("key", "fingerprint")
+
+
+@query
+def silence_alarms_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An alarm for each user of whom nothing was heard for a day; up to the watermark."""
+    stream = ev.orders(ev.staged_events(spark, job_session(spark), sf_dir))
+    return streaming.run_step(spark, Job.fresh(spark, "silence"), stream, Silence(SILENCE_HOURS * 3_600_000_000), DELAY)
+
+
 @query
 def stateful_total_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = ev.orders(event_stream(job_session(spark), sf_dir))
@@ -391,9 +442,10 @@ def enrich_asof_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def enrich_asof_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = event_stream(job_session(spark), sf_dir)
+    """Over several micro-batches, with records and updates out of order; up to the watermark."""
+    events = ev.staged_events(spark, job_session(spark), sf_dir)
     job = Job.fresh(spark, "enrich_asof")
-    rows = streaming.run_enrich(spark, job, ev.orders(events, "click"), ev.users(events), {"name": ""}, "name")
+    rows = streaming.run_enrich(spark, job, ev.orders(events, "click"), ev.users(events), {"name": ""}, "name", DELAY)
     return rows.select("key", "offset", num("price", "price"), "name")
 
 
@@ -414,7 +466,7 @@ def combined_orders_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def combined_orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = event_stream(job_session(spark, idle_batches=False), sf_dir)
+    events = event_stream(job_session(spark), sf_dir)
     job = Job.fresh(spark, "combined_orders")
     return _combined(
         streaming.run_combined_orders(
@@ -524,6 +576,14 @@ def promote_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("event_id", *[rollups.label(n).alias(n) for n in names], F.size("labels").alias("label_count"))
 
 
+@query
+def sum_of_max_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over tick intervals, in several micro-batches with samples out of order; up to the watermark."""
+    samples = ev.samples(ev.staged_events(spark, job_session(spark), sf_dir))
+    df = streaming.run_sum_of_max(spark, Job.fresh(spark, "sum_of_max"), samples, ("kind", "topic"), ("topic",), DELAY)
+    return df.select(us("tick", "tick_us"), "topic", "value")
+
+
 @query
 def rollup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = ev.samples(event_stream(job_session(spark), sf_dir))

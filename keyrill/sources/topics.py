@@ -20,7 +20,8 @@ class Topic:
     """A directory topic (`path`) or, with `servers`, a Kafka topic of that name.
 
     A directory holds `load=<id>/partition=<n>/` folders, one `load` per bulk load or micro-batch of a writer. A load
-    counts once it is complete: a repeated micro-batch, or a load that broke off, is written over. Kafka has no such
+    counts once it is complete: a load that broke off is written over, a repeated one is left as it is, so that readers of the topic
+    never see its records twice. Two loads at the same time would give out the same offsets: start one after the other. Kafka has no such
     ids: there a repeated load or micro-batch is appended again.
     Kafka needs the spark-sql-kafka package on the class path.
     """
@@ -46,8 +47,8 @@ class Topic:
         stored = T.StructType([*schema.fields, T.StructField("load", T.StringType())])
         return reader.schema(stored).options(**self.options).parquet(self.path).select(*schema.names)
 
-    def load(self, df: DataFrame, load: str, partitions: int = PARTITIONS, replace: bool = False) -> None:
-        """Append the records once: a complete load of the same id is left as it is, or with `replace` written anew.
+    def load(self, df: DataFrame, load: str, partitions: int = PARTITIONS) -> None:
+        """Append the records once: a complete load of the same id is left as it is.
 
         Records without an offset get one beyond all offsets of the topic, rising in the order they come in.
         """
@@ -55,7 +56,7 @@ class Topic:
             kafka_sink(df).write.format("kafka").options(**self._sink_options()).save()
             return
         folder = f"{self.path}/load={load}"
-        if not replace and exists(df.sparkSession, f"{folder}/_SUCCESS"):
+        if exists(df.sparkSession, f"{folder}/_SUCCESS"):
             return
         if "offset" not in df.columns:
             df = self._with_offsets(df, load)
@@ -73,12 +74,13 @@ class Topic:
     def write_stream(self, df: DataFrame, checkpoint: str, name: str, available_now: bool = True):
         """Start writing a stream to the topic; with `available_now` it ends once the records there are written.
 
-        A directory gets one load per micro-batch, `<name>-<batch>`, so writers of different names do not disturb each other.
+        A directory gets one load per micro-batch, named by the query's id in the checkpoint and the batch, so writers of the same
+        name with other checkpoints do not disturb each other.
         """
         if self.servers is not None:
             writer = kafka_sink(df).writeStream.format("kafka").options(**self._sink_options())
         else:
-            writer = df.writeStream.foreachBatch(lambda batch, number: self.load(batch, f"{name}-{number}", replace=True))
+            writer = df.writeStream.foreachBatch(lambda batch, number: self.load(batch, f"{name}-{query_id(batch)}-{number}"))
         writer = writer.outputMode("append").queryName(name).option("checkpointLocation", checkpoint)
         return (writer.trigger(availableNow=True) if available_now else writer).start()
 
@@ -86,6 +88,11 @@ class Topic:
         return {"kafka.bootstrap.servers": self.servers, "topic": self.path, **self.options}
 
 
+def query_id(batch: DataFrame) -> str:
+    """The id of the streaming query a micro-batch belongs to; it lives as long as its checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def partition_of(key: Column, partitions: int = PARTITIONS) -> Column:
     """The partition of a key; records without one go to partition 0."""
     return F.when(key.isNull(), F.lit(0)).otherwise(F.pmod(F.hash(key), F.lit(partitions)))

@@ -4,61 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from keyrill.operators.joins import enrich_asof
 from keyrill.operators.records import keyed
-from keyrill.operators.slices import ROWS_PER_SLICE
-from keyrill.operators.tables import latest_by_key
-from keyrill.streaming.jobs import Job
-from keyrill.streaming.upserts import UpsertTable
+from keyrill.streaming.ordered import AsOf, in_order
 
-ALWAYS = "0001-01-01 00:00:00"  # rows known before a batch are older than any record of it
 
+def enrich_stream(
+    stream: DataFrame, updates: DataFrame, fields: dict[str, object], deleted_when_null: str | None = None
+) -> DataFrame:
+    """`enrich_asof` over streams, both with a watermark on `timestamp`: records see the newest update at or before their own time.
 
-def tag_sides(stream: DataFrame, updates: DataFrame) -> DataFrame:
-    """Records and table updates as one stream, told apart by `side` (updates 0, records 1)."""
-    records = stream.withColumn("side", F.lit(1))
-    changes = updates.withColumn("side", F.lit(0))
-    return records.unionByName(changes, allowMissingColumns=True)
-
-
-def start_enrich(
-    job: Job,
-    stream: DataFrame,
-    updates: DataFrame,
-    fields: dict[str, object],
-    deleted_when_null: str | None = None,
-    available_now: bool = True,
-    rows_per_slice: int = ROWS_PER_SLICE,
-):
-    """Start `enrich_asof` as a streaming job; enriched records go to `job.output`, one folder per micro-batch.
-
-    Records see the newest update at or before their own time, by the time of the update and not by its batch, as in
-    the batch operator. Of earlier batches only a key's newest update is kept: a record older than that sees it too,
-    unless its own batch has an older one. Updates of later batches are never seen.
-    The table lives in the job's folder, and each batch is worked on as a whole by Spark: no per-key callback, so
-    a hot key is cut as in batch.
+    Updates and records of a key wait in state until the watermark has passed them and are taken in order, so an update that comes
+    out of order, or after the record, still counts; between them a key keeps one row of the table. The slower of
+    both inputs sets the pace.
     """
-    record_columns = stream.columns
-    kept = ["timestamp", "offset", *fields]
-    table = UpsertTable(f"{job.folder}/table", ("key",))
-
-    def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
-        try:
-            records = batch.where("side = 1").select(*record_columns)
-            changes = keyed(batch.where("side = 0")).select("key", *kept)
-            touched = batch.select("key").where("key is not null").distinct()
-            known = table.before(spark, number, changes.schema).select("key", *kept).join(touched, "key", "left_semi")
-            late = known.join(changes.select("key"), "key", "left_semi")
-            changed = latest_by_key(changes.unionByName(late), list(fields), deleted_when_null=None).select("key", *kept)
-            always = known.withColumns({"timestamp": F.lit(ALWAYS).cast("timestamp"), "offset": F.lit(0).cast("bigint")})
-            history = changes.unionByName(known).unionByName(always)
-            enriched = enrich_asof(records, history, fields, deleted_when_null, rows_per_slice)
-            enriched.write.mode("overwrite").parquet(f"{job.output}/batch={number}")
-            table.write_numbered(spark, changed, number)
-        finally:
-            batch.unpersist()
-
-    return job.for_each_batch(tag_sides(stream, updates), write, "append", available_now)
+    own = [name for name in stream.columns if name not in ("timestamp", "key")]
+    record = T.StructType([T.StructField("key", T.StringType()), T.StructField("at_us", T.LongType()), *[stream.schema[name] for name in own]])
+    table = T.StructType([updates.schema[name] for name in fields])
+    changes = keyed(updates).select("key", "timestamp", "offset", F.lit(0).alias("side"), *[F.col(name).alias(f"_new_{name}") for name in fields])
+    both = keyed(stream).withColumn("side", F.lit(1)).unionByName(changes, allowMissingColumns=True)
+    found = in_order(both, AsOf(record, table, deleted_when_null))
+    kept = [name for name in own if name not in fields]
+    return found.select(
+        "key",
+        F.timestamp_micros("at_us").alias("timestamp"),
+        *kept,
+        *[
+            F.coalesce(F.col(f"_found_{name}"), *([F.col(name)] if name in own else []), F.lit(default)).alias(name)
+            for name, default in fields.items()
+        ],
+    )

@@ -19,14 +19,14 @@ _KEPT = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.auto
 def job_session(spark: SparkSession, partitions: int | None = None, idle_batches: bool = True) -> SparkSession:
     """A session for one streaming job, with its own settings.
 
-    The number of state partitions is fixed for the life of a checkpoint, so it belongs to the job: by default
-    one per core. State is kept in RocksDB, on local disk instead of the executor heap. A batch without new records only
+    The number of state partitions is fixed for the life of a checkpoint, so it belongs to the job: by default the
+    shuffle partitions the caller's session is set to, whatever the machine. State is kept in RocksDB, on local disk instead of the executor heap. A batch without new records only
     moves the watermark; append-mode windows need it, inner joins can do without `idle_batches`.
     """
     session = spark.newSession()
     for name in _KEPT:
         session.conf.set(name, spark.conf.get(name))
-    session.conf.set("spark.sql.shuffle.partitions", partitions or spark.sparkContext.defaultParallelism)
+    session.conf.set("spark.sql.shuffle.partitions", partitions or spark.conf.get("spark.sql.shuffle.partitions"))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(idle_batches).lower())

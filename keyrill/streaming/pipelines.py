@@ -12,15 +12,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyrill.operators.joins import JOIN_MINUTES
+from keyrill.functions.text import whole_number
 from keyrill.operators.quality import dead_letters, good_records, with_parse_result
-from keyrill.operators.rollups import LATENESS, Rule, windowed_rollup
+from keyrill.operators.records import map_after_dash
+from keyrill.operators.rollups import LATENESS, Rule, windowed_rollup, windowed_sum_of_max
 from keyrill.operators.tables import latest_by_key
 from keyrill.operators.totals import total_by_key
 from keyrill.operators.windows import hopping_sum, session_sum_stream, tumbling_sum
 from keyrill.plans.pipelines import ORDER_LIMIT, ORDER_MARK, join_orders, order_numbers
 from keyrill.schemas import METRIC_SAMPLE
-from keyrill.streaming.enrich import start_enrich
+from keyrill.folders import exists
+from keyrill.streaming.enrich import enrich_stream
 from keyrill.streaming.jobs import Job, finish
+from keyrill.streaming.ordered import FilteredChanges, Step, in_order
 from keyrill.streaming.rules import start_rules
 from keyrill.streaming.state import stateful_totals
 from keyrill.streaming.upserts import UpsertTable
@@ -34,12 +38,17 @@ def _upserts(spark: SparkSession, job: Job, changes: DataFrame, keys: tuple[str,
     return table.read(spark, changes.schema)
 
 
+def _read(spark: SparkSession, schema, path: str) -> DataFrame:
+    """What a job wrote; empty if it never had anything to write."""
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+
+
 def run_order_numbers(
     spark: SparkSession, job: Job, stream: DataFrame, mark: str = ORDER_MARK, limit: int = ORDER_LIMIT
 ) -> DataFrame:
     numbers = order_numbers(stream, mark, limit)
     finish(job.append(numbers))
-    return spark.read.schema(numbers.schema).parquet(job.output)
+    return _read(spark, numbers.schema, job.output)
 
 
 def run_table(spark: SparkSession, job: Job, stream: DataFrame) -> DataFrame:
@@ -62,7 +71,7 @@ def run_join(
 ) -> DataFrame:
     joined = join_streams(appliances, electronics, minutes, salts)
     finish(job.append(joined))
-    return spark.read.schema(joined.schema).parquet(job.output)
+    return _read(spark, joined.schema, job.output)
 
 
 def join_streams(
@@ -79,9 +88,13 @@ def run_enrich(
     updates: DataFrame,
     fields: dict[str, object],
     deleted_when_null: str | None = None,
+    delay: str = NO_GRACE,
 ) -> DataFrame:
-    finish(start_enrich(job, stream, updates, fields, deleted_when_null))
-    return spark.read.parquet(job.output).drop("batch")
+    """`enrich_asof` up to the watermark, which is the slower input's newest time less `delay`."""
+    sides = (df.withWatermark("timestamp", delay) for df in (stream, updates))
+    enriched = enrich_stream(*sides, fields, deleted_when_null)
+    finish(job.append(enriched))
+    return _read(spark, enriched.schema, job.output)
 
 
 def run_combined_orders(
@@ -93,12 +106,38 @@ def run_combined_orders(
     minutes: int = JOIN_MINUTES,
     salts: int = 1,
 ) -> DataFrame:
-    """Interval join and enrichment in one query."""
+    """Interval join and enrichment, one job after the other; the second reads what the first has written as a stream."""
     joined = join_streams(appliances, electronics, minutes, salts)
-    named = run_enrich(spark, job, joined, users, {"name": ""}, deleted_when_null="name")
+    first = Job(f"{job.name}_joined", f"{job.folder}/joined")
+    finish(first.append(joined))
+    session = users.sparkSession
+    again = session.readStream.schema(joined.schema).parquet(first.output)
+    named = run_enrich(spark, job, again, users, {"name": ""}, deleted_when_null="name")
     return named.withColumnRenamed("name", "user_name")
 
 
+def run_step(spark: SparkSession, job: Job, stream: DataFrame, step: Step, delay: str = NO_GRACE) -> DataFrame:
+    """What `step` sends over the rows of each key in order, up to the watermark."""
+    sent = in_order(stream.withWatermark("timestamp", delay), step)
+    finish(job.append(sent))
+    return _read(spark, sent.schema, job.output)
+
+
+def run_table_changes(
+    spark: SparkSession, job: Job, stream: DataFrame, limit: int = ORDER_LIMIT, delay: str = NO_GRACE
+) -> DataFrame:
+    """The change stream of the table of large numbers: newest numbers above the limit, and a null where a key loses its row."""
+    numbers = stream.transform(map_after_dash)
+    passes = F.coalesce(whole_number(F.col("value")) > limit, F.lit(False))
+    return run_step(spark, job, numbers.withColumn("passes", passes), FilteredChanges(), delay)
+
+
+def read_store(spark: SparkSession, job: Job) -> DataFrame:
+    """The named store of a job that aggregates by one key, read from Spark's state as it is after the last batch."""
+    state = spark.read.format("statestore").load(job.checkpoint)
+    return state.select("key.*", "value.*")
+
+
 def run_tumbling(spark: SparkSession, job: Job, stream: DataFrame, value: Column, minutes: int) -> DataFrame:
     """Window sums, updated until the watermark closes a window."""
     sums = tumbling_sum(stream.withWatermark("timestamp", LATENESS), value, minutes)
@@ -114,7 +153,7 @@ def run_sessions(spark: SparkSession, job: Job, stream: DataFrame, value: Column
     """Sessions that the watermark has closed; Spark has no update mode for sessions."""
     sums = session_sum_stream(stream.withWatermark("timestamp", LATENESS), value, gap_minutes)
     finish(job.append(sums))
-    return spark.read.schema(sums.schema).parquet(job.output)
+    return _read(spark, sums.schema, job.output)
 
 
 def run_rollup(spark: SparkSession, job: Job, samples: DataFrame, by: tuple[str, ...], agg: str = "sum") -> DataFrame:
@@ -123,10 +162,19 @@ def run_rollup(spark: SparkSession, job: Job, samples: DataFrame, by: tuple[str,
     return _upserts(spark, job, rollup, ("tick", *by))
 
 
+def run_sum_of_max(
+    spark: SparkSession, job: Job, samples: DataFrame, inner_by: tuple[str, ...], by: tuple[str, ...], delay: str = LATENESS
+) -> DataFrame:
+    """The sum over the greatest samples by finer labels, for each tick interval that the watermark has closed."""
+    sums = windowed_sum_of_max(samples.withWatermark("ts", delay), inner_by, by)
+    finish(job.append(sums))
+    return _read(spark, sums.schema, job.output)
+
+
 def run_rules(spark: SparkSession, job: Job, samples: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """The recorded samples of all rules, up to the last tick before the newest sample."""
     finish(start_rules(job, samples, rules))
-    return spark.read.schema(METRIC_SAMPLE).parquet(job.output)
+    return _read(spark, METRIC_SAMPLE, job.output)
 
 
 def run_stateful_totals(spark: SparkSession, job: Job, stream: DataFrame, amount: Column) -> DataFrame:
@@ -145,4 +193,6 @@ def run_split(spark: SparkSession, job: Job, stream: DataFrame) -> tuple[DataFra
             batch.unpersist()
 
     finish(job.for_each_batch(with_parse_result(stream), write, "append"))
-    return tuple(spark.read.parquet(f"{job.output}/{side}").drop("batch") for side in ("good", "bad"))
+    split = with_parse_result(stream)
+    schemas = {"good": good_records(split).schema, "bad": dead_letters(split).schema}
+    return tuple(_read(spark, schema, f"{job.output}/{side}").select(schema.names) for side, schema in schemas.items())

@@ -21,13 +21,11 @@ def newest(changes: DataFrame, keys: Sequence[str], by: str = "batch") -> DataFr
 class UpsertTable:
     """A table below `path`, with at most one row per key in each batch.
 
-    A batch writes its own folder, `changes/batch=<n>`, and may write it again. Every `full_every` batches the
-    whole table is also written to `full/batch=<n>`, so that reading costs one full copy and the changes since.
+    A batch writes its own folder, `changes/batch=<n>`, and may write it again.
     """
 
     path: str
     keys: tuple[str, ...]
-    full_every: int = 20
 
     def write_changes(self, rows: DataFrame, batch: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.path}/changes/batch={batch}")
@@ -38,28 +36,3 @@ class UpsertTable:
             return spark.createDataFrame([], schema)
         stored = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
         return newest(spark.read.schema(stored).parquet(f"{self.path}/changes"), self.keys)
-
-    def before(self, spark: SparkSession, batch: int, schema: T.StructType) -> DataFrame:
-        """The table as it was before a batch. What is read depends on the batch number alone, never on a listing."""
-        full = (batch - 1) // self.full_every * self.full_every
-        paths = [f"{self.path}/changes/batch={n}" for n in range(max(full, 0), batch)]
-        if full > 0:
-            paths[0] = f"{self.path}/full/batch={full}"
-        if not paths:
-            return spark.createDataFrame([], schema)
-        # one schema with the batch number written into the rows: the folders come from two places
-        stored = T.StructType([*schema.fields, T.StructField("_batch", T.LongType())])
-        return newest(spark.read.schema(stored).parquet(*paths), self.keys, by="_batch")
-
-    def write_numbered(self, spark: SparkSession, rows: DataFrame, batch: int) -> None:
-        """Write changes for `before`; also the full table where it is due."""
-        schema = rows.schema
-        numbered = rows.withColumn("_batch", F.lit(batch).cast("bigint"))
-        self.write_changes(numbered, batch)
-        if batch > 0 and batch % self.full_every == 0:
-            old = self.before(spark, batch, schema).withColumn("_batch", F.lit(batch - 1).cast("bigint"))
-            new = spark.read.schema(numbered.schema).parquet(f"{self.path}/changes/batch={batch}")
-            full = newest(old.unionByName(new), self.keys, by="_batch")
-            full.withColumn("_batch", F.lit(batch).cast("bigint")).write.mode("overwrite").parquet(
-                f"{self.path}/full/batch={batch}"
-            )

@@ -1,7 +1,9 @@
 """The shared folder, topics that lose nothing, times without zone, and other edges."""
 
+import math
 import subprocess
 import sys
+from fractions import Fraction
 from pathlib import Path
 
 import pytest
@@ -14,7 +16,7 @@ from keyrill.operators.totals import running_total
 from keyrill.plans.events import utc
 from keyrill.sources.topics import Topic
 from keyrill.streaming import pipelines as streaming
-from keyrill.streaming.jobs import Job, finish
+from keyrill.streaming.jobs import Job, finish, job_session
 from tests import data
 
 
@@ -101,7 +103,7 @@ def test_late_updates_in_batch_and_stream(spark, tmp_path):
     want = [("u", 1, "A"), ("u", 2, "B")]
     assert data.rows_of(batch, "key", "v", "name") == want
 
-    session, job = spark.newSession(), Job("late", str(tmp_path / "job"))
+    session, job = job_session(spark), Job("late", str(tmp_path / "job"))
     user = spark.createDataFrame([], data.USER).schema
     record = spark.createDataFrame([], schema).schema
     for number, rows in enumerate(updates):
@@ -144,3 +146,39 @@ def test_any_number_of_hot_keys(spark):
     assert cut.rows.where("slice < 0").count() == 0 and cut.slices.select("key").distinct().count() == 3000
     found = running_total(rows, rows_per_slice=5)
     assert found.where(F.col("total") != F.col("offset") % 10 + 1).count() == 0
+
+
+def test_a_topic_takes_writers_of_one_name(spark, tmp_path):
+    """A second writer of the same name with a checkpoint of its own adds its records; a batch written again is not read again."""
+    topic, session = Topic(str(tmp_path / "topic")), spark.newSession()
+    schema = "key string, value string, timestamp timestamp, offset bigint"
+    (tmp_path / "topic").mkdir()
+    for number in range(2):
+        rows = spark.range(number * 1000, number * 1000 + 1000).selectExpr("string(id) key", "string(id) value", "timestamp_seconds(0) timestamp", "id offset")
+        rows.write.parquet(str(tmp_path / f"in{number}"))
+        stream = session.readStream.schema(schema).parquet(str(tmp_path / f"in{number}"))
+        finish(topic.write_stream(stream, str(tmp_path / f"checkpoint{number}"), "w"))
+    assert topic.read(spark).count() == 2000
+
+    def downstream():
+        copy = topic.read(session, streaming=True).writeStream.option("checkpointLocation", str(tmp_path / "reader"))
+        finish(copy.trigger(availableNow=True).format("parquet").option("path", str(tmp_path / "copy")).start())
+        return spark.read.parquet(str(tmp_path / "copy")).count()
+
+    assert downstream() == 2000
+    # a crash between writing a batch and noting it: the batch comes again
+    for note in (tmp_path / "checkpoint1" / "commits").iterdir():
+        note.unlink()
+    stream = session.readStream.schema(schema).parquet(str(tmp_path / "in1"))
+    finish(topic.write_stream(stream, str(tmp_path / "checkpoint1"), "w"))
+    assert topic.read(spark).count() == 2000 and downstream() == 2000
+
+
+@pytest.mark.parametrize("values", [[float("nan"), 1.0, 2.0], [1e30, 1.0, -1e30], [1e-12] * 6, [float("inf"), 1.0, float("-inf"), 2.0], [1e28] * 5, [0.1] * 9, [1 / 3, 1e-300, 5e15, 2e16]])
+def test_totals_of_all_doubles(spark, values):
+    rows = spark.createDataFrame([("k", v, data.at(i), i) for i, v in enumerate(values)], "key string, price double, timestamp timestamp, offset bigint")
+    plain, cut = ([t for _, t in data.rows_of(running_total(rows, rows_per_slice=n), "offset", "total")] for n in (100, 2))
+    finite = all(map(math.isfinite, values))
+    want = [float(sum(map(Fraction, values[: i + 1]))) if finite else sum(values[: i + 1]) for i in range(len(values))]
+    for found in (plain, cut):
+        assert all(x == pytest.approx(y, rel=1e-15, abs=0, nan_ok=True) for x, y in zip(found, want, strict=True))

@@ -13,8 +13,8 @@ from keyrill.operators.totals import total_by_key
 from keyrill.operators.windows import session_sum, tumbling_sum
 from keyrill.plans.pipelines import combined_orders, join_orders, order_numbers
 from keyrill.streaming import pipelines as streaming
-from keyrill.streaming.enrich import start_enrich
 from keyrill.streaming.jobs import Job, TapLog, finish, job_session, shared_folder, stop, work_folder
+from keyrill.streaming.ordered import Silence, Step
 from keyrill.streaming.state import partial_totals
 from keyrill.streaming.upserts import UpsertTable
 from tests import data
@@ -77,11 +77,9 @@ def test_interval_join(spark, tmp_path, orders, files, salts):
     assert data.rows_of(result, *columns) == data.rows_of(join_orders(orders, right), *columns)
 
 
-@pytest.mark.parametrize("rows_per_slice", [5, 1000])
-def test_enrichment_in_batches_that_advance_together(spark, tmp_path, orders, names, rows_per_slice):
-    """Cut by time into four batches on both sides, the stream gives the batch result."""
+def test_enrichment_in_batches_that_advance_together(spark, tmp_path, orders, names):
+    """Cut by time into four batches on both sides, the stream gives the batch result up to the watermark."""
     session = job_session(spark)
-    job = Job("enrich", str(tmp_path / "job"))
 
     def by_time(df, name):
         folder = str(tmp_path / name)
@@ -91,14 +89,32 @@ def test_enrichment_in_batches_that_advance_together(spark, tmp_path, orders, na
             part.coalesce(1).write.mode("append").parquet(folder)
         return session.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
-    query = start_enrich(
-        job, by_time(orders, "o"), by_time(names, "n"), {"name": ""}, "name", rows_per_slice=rows_per_slice
+    got = streaming.run_enrich(spark, Job("enrich", str(tmp_path / "job")), by_time(orders, "o"), by_time(names, "n"), {"name": ""}, "name")
+    last = names.agg(F.max("timestamp")).first()[0]
+    want = enrich_asof(orders, names, {"name": ""}, "name").where(F.col("timestamp") <= F.lit(last))
+    assert 100 < want.count() < N
+    assert data.rows_of(got, "offset", "name", "price", "timestamp") == data.rows_of(want, "offset", "name", "price", "timestamp")
+
+
+def test_older_records_see_older_versions(spark, tmp_path):
+    """Updates and records of one key arrive in any order within the delay."""
+    session = job_session(spark)
+    record = spark.createDataFrame([], "key string, v bigint, timestamp timestamp, offset bigint").schema
+    user = spark.createDataFrame([], data.USER).schema
+    arriving = [
+        ([("u", 3, data.at(30), 3)], [("u", "C", data.at(25), 2)]),
+        ([("u", 1, data.at(10), 1)], [("u", "A", data.at(5), 0)]),
+        ([("u", 2, data.at(20), 2)], [("u", "B", data.at(15), 1)]),
+        ([("w", 9, data.at(200), 9)], [("w", "W", data.at(200), 9)]),
+    ]
+    for records, updates in arriving:
+        spark.createDataFrame(records, record).coalesce(1).write.mode("append").parquet(str(tmp_path / "r"))
+        spark.createDataFrame(updates, user).coalesce(1).write.mode("append").parquet(str(tmp_path / "u"))
+    stream, names = (
+        session.readStream.schema(s).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / f)) for s, f in ((record, "r"), (user, "u"))
     )
-    finish(query)
-    got = spark.read.parquet(job.output)
-    want = enrich_asof(orders, names, {"name": ""}, "name")
-    assert got.select("batch").distinct().count() > 1
-    assert data.rows_of(got, "offset", "name") == data.rows_of(want, "offset", "name")
+    got = streaming.run_enrich(spark, Job("late", str(tmp_path / "job")), stream, names, {"name": ""}, "name", "1 hour")
+    assert data.rows_of(got, "key", "v", "name") == [("u", 1, "A"), ("u", 2, "B"), ("u", 3, "C")]
 
 
 def test_combined_orders_in_one_batch(spark, tmp_path, orders, names):
@@ -111,11 +127,94 @@ def test_combined_orders_in_one_batch(spark, tmp_path, orders, names):
         data.streamed(session, right, tmp_path / "r"),
         data.streamed(session, names, tmp_path / "u"),
     )
-    want = combined_orders(orders, right, names)
+    last = names.agg(F.max("timestamp")).first()[0]
+    want = combined_orders(orders, right, names).where(F.col("timestamp") <= F.lit(last))
     columns = ("key", "appliance_order_id", "electronic_order_id", "user_name", "time")
+    assert want.count() > 100
     assert data.rows_of(result, *columns) == data.rows_of(want, *columns)
 
 
+class _Pairs(Step):
+    """A user's step: every second record with the one before it."""
+
+    state = "before bigint"
+    output = "key string, first bigint, second bigint"
+
+    def start(self):
+        return (None,)
+
+    def step(self, state, row):
+        if state[0] is None:
+            return (row["offset"],), []
+        return (None,), [(row["key"], state[0], row["offset"])]
+
+
+def test_a_users_step_on_shuffled_input(spark, tmp_path, orders):
+    """Records arrive in an order that has nothing to do with time; the job is stopped and resumed between files."""
+    session, folder = job_session(spark), str(tmp_path / "in")
+    job = Job("pairs", str(tmp_path / "job"))
+    for part in range(3):
+        orders.where(F.col("offset") * 7 % 3 == part).coalesce(1).write.mode("append").parquet(folder)
+        stream = session.readStream.schema(orders.schema).parquet(folder)
+        got = streaming.run_step(spark, job, stream, _Pairs(), "1 day")
+    assert got.count() == 0
+    orders.limit(1).withColumn("timestamp", F.lit(data.at(10_000))).write.mode("append").parquet(folder)
+    got = streaming.run_step(spark, job, session.readStream.schema(orders.schema).parquet(folder), _Pairs(), "1 day")
+    want = [(f"u{u}", i, i + 7) for u in range(7) for i in range(u, N - 7, 14)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_alarms_after_silence(spark, tmp_path):
+    schema = "key string, timestamp timestamp, offset bigint"
+    rows = [("a", data.at(0), 0), ("a", data.at(30), 1), ("b", data.at(40), 2), ("a", data.at(120), 3), ("c", data.at(300), 4)]
+    df = spark.createDataFrame(rows, schema)
+    got = streaming.run_step(spark, Job("silence", str(tmp_path / "job")), data.streamed(job_session(spark), df, tmp_path / "in"), Silence(3_600_000_000))
+    alarms = [(r.key, r.last_us, r.alarm_us - r.last_us, r.records) for r in got.collect()]
+    micros = {m: int(df.where(F.col("timestamp") == F.lit(data.at(m))).select(F.unix_micros("timestamp")).first()[0]) for m in (30, 40, 120)}
+    hour = 3_600_000_000
+    assert sorted(alarms) == [("a", micros[30], hour, 2), ("a", micros[120], hour, 1), ("b", micros[40], hour, 1)]
+
+
+def test_changes_of_a_filtered_table_replay_to_it_after_every_batch(spark, tmp_path):
+    """A key whose newest number fails the filter, or that is deleted, is taken back."""
+    session, folder = job_session(spark), str(tmp_path / "in")
+    updates = [("k", "n-2000"), ("k", "n-10"), ("m", "n-5"), ("k", "n-3000"), ("m", "n-4000"), ("m", None), ("k", "n-x")]
+    schema = "key string, value string, timestamp timestamp, offset bigint"
+    job = Job("changes", str(tmp_path / "job"))
+    seen, expected = {}, []
+    for i, (key, value) in enumerate(updates):
+        spark.createDataFrame([(key, value, data.at(i), i)], schema).write.mode("append").parquet(folder)
+        stream = session.readStream.schema(schema).parquet(folder)
+        got = streaming.run_table_changes(spark, job, stream)
+        seen[key] = value
+        now = {k: v[2:] for k, v in seen.items() if v is not None and v[2:].isdigit() and int(v[2:]) > 1000}
+        replayed = {}
+        for r in got.orderBy("offset").collect():
+            replayed[r.key] = r.value
+        expected.append(now)
+        assert {k: v for k, v in replayed.items() if v is not None} == now
+    assert got.count() == 6
+
+
+def test_totals_read_from_the_store(spark, tmp_path, orders):
+    stream = data.streamed(job_session(spark), orders, tmp_path / "in", 4)
+    job = Job("store", str(tmp_path / "job"))
+    streaming.run_totals(spark, job, stream)
+    got = streaming.read_store(spark, job)
+    assert data.rows_of(got.select("key", "sum")) == data.rows_of(total_by_key(orders))
+
+
+def test_split_and_enrichment_of_nothing(spark, tmp_path):
+    session = job_session(spark)
+    (tmp_path / "in").mkdir()
+    texts = session.readStream.schema("key string, value string, timestamp timestamp, offset bigint").parquet(str(tmp_path / "in"))
+    good, bad = streaming.run_split(spark, Job("split", str(tmp_path / "split")), texts)
+    assert (good.count(), bad.count()) == (0, 0) and "reason" in bad.columns and "number" in good.columns
+    names = session.readStream.schema(data.USER).parquet(str(tmp_path / "in"))
+    found = streaming.run_enrich(spark, Job("enrich", str(tmp_path / "enrich")), texts, names, {"name": ""}, "name")
+    assert found.count() == 0 and found.columns == ["key", "timestamp", "value", "offset", "name"]
+
+
 def test_repeated_batch_is_written_over(spark, tmp_path):
     table = UpsertTable(str(tmp_path / "t"), ("key",))
     one = spark.createDataFrame([("a", 1), ("b", 1)], "key string, v int")
@@ -125,22 +224,6 @@ def test_repeated_batch_is_written_over(spark, tmp_path):
     assert data.rows_of(table.read(spark, one.schema)) == [("a", 2), ("b", 1)]
 
 
-def test_full_copies_of_a_table(spark, tmp_path):
-    table = UpsertTable(str(tmp_path / "t"), ("key",), full_every=3)
-    schema = spark.createDataFrame([], "key string, v int").schema
-    state = {}
-    for batch in range(8):
-        assert dict(data.rows_of(table.before(spark, batch, schema))) == state
-        rows = [(f"k{batch % 4}", batch), ("always", batch)]
-        table.write_numbered(spark, spark.createDataFrame(rows, schema), batch)
-        if batch in (3, 5):  # the same batch again
-            table.write_numbered(spark, spark.createDataFrame(rows, schema), batch)
-        state |= dict(rows)
-    # batches older than the last full copy are no longer read
-    paths = table.before(spark, 8, schema).inputFiles()
-    assert any("full/batch=6" in p for p in paths) and not any("changes/batch=5" in p for p in paths)
-
-
 def test_stateful_totals_over_batches(spark, tmp_path, orders):
     stream = data.streamed(job_session(spark), orders, tmp_path / "in", 3)
     result = streaming.run_stateful_totals(spark, Job("state", str(tmp_path / "job")), stream, F.col("price"))
