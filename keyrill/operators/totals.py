@@ -12,7 +12,7 @@ from keyrill.operators.slices import ROWS_PER_SLICE, sliced
 
 FOLD_BLOCK = 1_000
 DIGITS = 10
-EXACT_BELOW = 1e16
+EXACT_UP_TO = 1e16
 
 
 def total_by_key(df: DataFrame, value: str | Column = "price", name: str = "total") -> DataFrame:
@@ -36,8 +36,8 @@ def running_total(
     if not inexact:
         return sliced(rows, rows_per_slice=rows_per_slice).running_sum(column, name).result()
     column = column.cast("double")
-    # beyond this size doubles have no decimal places left
-    exact = F.when(F.abs(column) < EXACT_BELOW, column.cast(f"decimal(38,{DIGITS})")).otherwise(F.lit(0).cast(f"decimal(38,{DIGITS})"))
+    # larger doubles have no decimal places left, smaller ones none but those beyond DIGITS
+    exact = F.when(F.abs(column).between(10.0**-DIGITS, EXACT_UP_TO), column.cast(f"decimal(38,{DIGITS})")).otherwise(F.lit(0).cast(f"decimal(38,{DIGITS})"))
     rest = column - exact.cast("double")
     found = sliced(rows, rows_per_slice=rows_per_slice).running_sum(exact, "_exact").running_sum(rest, "_rest").result()
     return found.withColumn(name, F.col("_exact").cast("double") + F.col("_rest")).drop("_exact", "_rest")

@@ -106,14 +106,16 @@ def test_late_updates_in_batch_and_stream(spark, tmp_path):
     session, job = job_session(spark), Job("late", str(tmp_path / "job"))
     user = spark.createDataFrame([], data.USER).schema
     record = spark.createDataFrame([], schema).schema
-    for number, rows in enumerate(updates):
+    # one micro-batch each; the last record lets the watermark pass
+    arriving = [[("v", 0, data.at(1), 9)], records, [("w", 0, data.at(40), 12)]]
+    for mine, rows in zip(arriving, updates):
         spark.createDataFrame(rows, user).coalesce(1).write.mode("append").parquet(str(tmp_path / "users"))
-        mine = records if number == 1 else []
         spark.createDataFrame(mine, record).coalesce(1).write.mode("append").parquet(str(tmp_path / "records"))
-        stream = session.readStream.schema(record).parquet(str(tmp_path / "records"))
-        names = session.readStream.schema(user).parquet(str(tmp_path / "users"))
-        found = streaming.run_enrich(session, job, stream, names, {"name": ""}, "name")
-    assert data.rows_of(found, "key", "v", "name") == want
+    stream, names = (
+        session.readStream.schema(s).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / f)) for s, f in ((record, "records"), (user, "users"))
+    )
+    found = streaming.run_enrich(session, job, stream, names, {"name": ""}, "name")
+    assert data.rows_of(found, "key", "v", "name") == [*want, ("v", 0, "")]
 
 
 def test_empty_streams_give_empty_tables(spark, tmp_path):
