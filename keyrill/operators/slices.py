@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keyrill.folders import written
 
@@ -55,7 +56,11 @@ class Sliced:
         kind = rows.schema[name].dataType
         # both sides are hashed on (key, slice), which the window needs in any case
         rows = rows.join(self._carried(self.rows, F.sum(value), F.sum), ["key", "slice"], "left")
-        total = F.coalesce(F.col(name) + F.col("_carry"), name, "_carry").cast(kind)
+        parts = [F.col(name), F.col("_carry")]
+        if isinstance(kind, T.DecimalType):
+            # one digit less, or the sum would lose one of its decimal places
+            parts = [part.cast(T.DecimalType(min(kind.precision, 37), kind.scale)) for part in parts]
+        total = F.coalesce(parts[0] + parts[1], name, "_carry").cast(kind)
         return self._replace(rows.withColumn(name, total).drop("_carry"))
 
     def running_last(self, value: Column, name: str, before_current: bool = False) -> Sliced:
