@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyrill.llm.common import slices, stored, texts
+from keyrill.llm.common import return_freed_memory, slices, stored, texts
 from keyrill.llm.tokenizing import token_ids
 
 BLOCK = 200_000
@@ -36,8 +36,9 @@ def document_pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, length: in
         for batch in batches:
             for part in slices(batch):
                 rows = []
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(part.column("text").to_pylist())):
-                    ids += end
+                found, edges = encoder.encode_column(part.column("text"))
+                for doc_id, low, high in zip(part.column("doc_id").to_pylist(), edges[:-1].tolist(), edges[1:].tolist()):
+                    ids = found[low:high].tobytes() + end
                     count = len(ids) // 4
                     stops = [*range(count % length or min(length, count), count + 1, length)]
                     for piece, stop in enumerate(stops):
@@ -45,6 +46,7 @@ def document_pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, length: in
                         rows.append((doc_id, piece, start, stop - start, zlib.crc32(ids[4 * start : 4 * stop])))
                 columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), (pa.int64(), pa.int32(), *[pa.int64()] * 3))]
                 yield pa.record_batch(columns, names=["doc_id", "piece", "start", "length", "ids_crc32"])
+                return_freed_memory()
 
     return texts(docs).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyrill.llm import files
-from keyrill.llm.common import slices, spread, stored, texts
+from keyrill.llm.common import return_freed_memory, slices, spread, stored, texts
 from keyrill.llm.tokenizing import load, token_ids
 
 FILE_TOKENS = 16_000_000
@@ -140,7 +140,7 @@ def write_sequences(docs: DataFrame, folder: str, encoding: Encoding) -> DataFra
 
     def write(batches):
         encoder, task = token_ids(encoding.tokenizer), TaskContext.get().partitionId()
-        end = np.array([] if encoding.end_id is None else [encoding.end_id], "<u4").tobytes()
+        end = np.array([] if encoding.end_id is None else [encoding.end_id], "<u4")
         writer, number = None, 0
 
         def closed():
@@ -149,14 +149,16 @@ def write_sequences(docs: DataFrame, folder: str, encoding: Encoding) -> DataFra
 
         for batch in batches:
             for part in slices(batch):
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(part.column("text").to_pylist())):
+                ids, edges = encoder.encode_column(part.column("text"))
+                for doc_id, low, high in zip(part.column("doc_id").to_pylist(), edges[:-1].tolist(), edges[1:].tolist()):
                     if writer is None:
                         path = f"{folder}/{task:06d}-{number:04d}-{uuid.uuid4().hex[:8]}.arrows"
                         writer = SequenceWriter(path, encoding.length, wide)
-                    writer.add(doc_id, np.frombuffer(ids + end, "<u4"))
+                    writer.add(doc_id, np.concatenate([ids[low:high], end]))
                     if writer.tokens >= encoding.file_tokens:
                         yield closed()
                         writer, number = None, number + 1
+                return_freed_memory()
         if writer is not None:
             yield closed()
 

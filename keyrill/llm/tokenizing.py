@@ -17,10 +17,15 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _BESIDE = re.compile(r"\s\s")
 _CUTS = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _TAILS = (",", ".")
+# all that any library takes for white space, twice: texts with none of it are cut as columns
+_BESIDE_ALL = r"[\s\v\x{1c}-\x{1f}\x{85}\pZ]{2}"
+_ENTRY = 200
 _LONG = 128
 _JOINED = 64
 
@@ -56,6 +61,13 @@ def _suffix(path: str) -> str | None:
         return json.load(file)["model"].get("end_of_word_suffix")
 
 
+def _large(lists: pa.Array) -> pa.LargeListArray:
+    """Lists of large strings whose values are just those of the lists."""
+    lists = lists.cast(pa.large_list(pa.large_string()))
+    offsets = lists.offsets.to_numpy()
+    return pa.LargeListArray.from_arrays(pa.array(offsets - offsets[0] if len(offsets) else [0]), lists.flatten())
+
+
 class Cutter:
     """Cuts texts into the parts that a file's tokens never cross. Parts are named by keys; `part` gives their text."""
 
@@ -74,6 +86,28 @@ class Cutter:
         keys[0] = f"\n\n{keys[0]}"
         return keys
 
+    def columns(self, column: pa.Array) -> pa.LargeListArray:
+        """The keys of each text of a column: as `keys`, without a Python string for each word."""
+        column = column.cast(pa.large_string())
+        if self.kind == "whole":
+            return pa.LargeListArray.from_arrays(pa.array(range(len(column) + 1), pa.int64()), column)
+        if self.kind == "dropped":
+            return _large(pc.split_pattern(pc.replace_substring(column, "\n", " "), " "))
+        beside = pc.match_substring_regex(column, _BESIDE_ALL).to_numpy(zero_copy_only=False)
+        led = pc.binary_join_element_wise(*(pa.scalar(x, pa.large_string()) if isinstance(x, str) else x for x in ("\n\n", pc.replace_substring(column, "\n", " \n"), "")))
+        if not beside.any():
+            return _large(pc.split_pattern(led, " "))
+        split = _large(pc.split_pattern(pc.if_else(pa.array(beside), pa.scalar("", pa.large_string()), led), " "))
+        # the few texts with white space side by side are cut one by one
+        slow = {i: self.keys(text) for i, text in zip(np.flatnonzero(beside).tolist(), column.filter(pa.array(beside)).to_pylist())}
+        offsets, parts, begun = split.offsets.to_numpy(), [], 0
+        counts = np.diff(offsets)
+        for i, keys in slow.items():
+            parts += [split.values.slice(offsets[begun], offsets[i] - offsets[begun]), pa.array(keys, pa.large_string())]
+            counts[i], begun = len(keys), i + 1
+        parts.append(split.values.slice(offsets[begun], offsets[-1] - offsets[begun]))
+        return pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)])), pa.concat_arrays(parts))
+
     def part(self, key: str) -> str:
         """A key stands for itself with a space before it, unless a line feed or (two of them) nothing does."""
         if self.kind != "led":
@@ -95,13 +129,18 @@ class Cutter:
 
 
 class TokenIds:
-    """Ids as little-endian unsigned 32-bit integers. Remembers the ids of at most about `most` short words."""
+    """Ids as little-endian unsigned 32-bit integers. Remembers the ids of short words, in about `most_bytes` of memory.
+
+    What is remembered are the words met since that memory was last half full, and those of the half before it.
+    """
 
-    def __init__(self, path: str, most: int = 500_000) -> None:
+    def __init__(self, path: str, most_bytes: int = 120_000_000) -> None:
         self.tokenizer = load(path)
         self.cutter = Cutter(path)
-        self.most = most
+        self.half = most_bytes // 2
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.held = 0
         self.tails = dict(zip(_TAILS, self._alone(list(_TAILS))))
         # ids that end (white space dropped) or begin (drawn to the next word) a part
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -145,20 +184,45 @@ class TokenIds:
         ids.update(zip(alone, self._alone([self.cutter.part(key) for key in alone])))
         return ids
 
+    def _looked_up(self, keys: list[str]) -> list[bytes]:
+        """The ids of distinct keys, from memory or encoded now."""
+        found = list(map(self.known.get, keys))
+        places = [i for i, ids in enumerate(found) if ids is None]
+        if not places:
+            return found
+        new = [keys[i] for i in places]
+        again = list(map(self.before.get, new))
+        fresh = self._encode([key for key, ids in zip(new, again) if ids is None])
+        again = [fresh[key] if ids is None else ids for key, ids in zip(new, again)]
+        for i, ids in zip(places, again):
+            found[i] = ids
+        self.known.update((key, ids) for key, ids in zip(new, again) if len(key) <= _LONG)
+        self.held += _ENTRY * len(new) + min(sum(map(len, new)), _LONG * len(new))
+        if self.held > self.half:
+            self.known, self.before, self.held = {}, self.known, 0
+        return found
+
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a column without nulls, one after the other, and where each text's begin (and the last ends).
+
+        Texts are cut into words as a column, and only distinct words are looked at one by one.
+        """
+        keys = self.cutter.columns(column)
+        distinct = keys.values.dictionary_encode()
+        codes = distinct.indices.to_numpy(zero_copy_only=False)
+        found = self._looked_up(distinct.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        ids = np.frombuffer(b"".join(found), "<u4")
+        lengths = sizes[codes]
+        ends = np.cumsum(lengths)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[codes] - (ends - lengths), lengths)
+        return ids[at], np.concatenate([[0], ends])[keys.offsets.to_numpy()]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, without special tokens around it."""
-        if len(self.known) > self.most:
-            self.known.clear()
-        cut = [self.cutter.keys(text) for text in texts]
-        ids = self._encode(list(set().union(*cut).difference(self.known)))
-        long = {key: value for key, value in ids.items() if len(key) > _LONG}
-        for key in long:
-            del ids[key]
-        self.known.update(ids)
-        if long:
-            known = self.known
-            return [b"".join([long[k] if k in long else known[k] for k in keys]) for keys in cut]
-        return [b"".join(map(self.known.__getitem__, keys)) for keys in cut]
+        ids, edges = self.encode_column(pa.array(texts, pa.large_string()))
+        return [ids[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
 
 
 _ids: dict[str, TokenIds] = {}
