@@ -7,8 +7,9 @@ documents that hit are then looked at in full: all their windows are compared wi
 document and item that match at the same distance are one passage. It is a leak if it covers `least` tokens (or the whole of a shorter
 item) and its slots are consistent: one value of the item always stands for one value of the document, and the other way round.
 
-Windows of placeholders alone, or more than half of them, prove nothing and are left out. Items of fewer than 2 * size - 1 tokens
-use shorter windows, down to SHORTEST tokens; items too short for that are not searched for. Items with the same template and the
+Windows count whatever they hold, so that an item copied word for word is found wherever it stands; but a passage with
+fewer than one word of its own in OWN_SHARE covered tokens is a leak only if it has the item's values. Items of fewer than 2 * size - 1 tokens
+use shorter windows, down to SHORTEST tokens; items of fewer than 2 * SHORTEST - 1 tokens are no passages and are not searched for. Items with the same template and the
 same pattern of equal slots are one, named by the smallest item_id.
 
 Null texts are empty. Rows are told apart by (doc_id, hash of the text), so a null id is a name like any other, and repeated rows give one
@@ -24,6 +25,7 @@ from keyrill.llm.common import stored
 
 SIZE = 6
 LEAST = 13
+OWN_SHARE = 4  # one covered token in so many must be a word of its own, unless all values are the item's
 SHORTEST = 3
 BROADCAST_ROWS = 1_000_000
 # fixed values: units that may follow a number
@@ -70,14 +72,14 @@ def _items(benchmark: DataFrame, size: int, shortest: int) -> DataFrame:
 
 
 def _item_windows(items: DataFrame) -> DataFrame:
-    """(width, hash, item_id, at, words, values) of each window with enough words of its own."""
+    """(width, hash, item_id, at, words, values, own) of each window; `own` are the places in the item of its words that are no slots."""
     places = F.explode(F.sequence(F.lit(0), F.size("found") - F.col("width")))
     rows = items.select("item_id", "found", "template", "width", F.size("found").alias("item_tokens"), places.alias("at"))
     rows = rows.select(
         "item_id", "item_tokens", "width", "at", F.slice("template", F.col("at") + 1, F.col("width")).alias("words"), F.slice("found", F.col("at") + 1, F.col("width")).alias("values")
     )
-    own = F.size(F.filter("words", lambda t: ~_is_slot(t)))
-    return rows.where(own * 2 >= F.col("width")).withColumn("hash", F.xxhash64("words"))
+    own = F.filter(F.transform("words", lambda t, i: F.when(~_is_slot(t), F.col("at") + i)), lambda p: p.isNotNull())
+    return rows.withColumns({"own": own, "hash": F.xxhash64("words")})
 
 
 def _sent(small: DataFrame, rows: int) -> DataFrame:
@@ -130,12 +132,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, least: int =
     met = seen.withColumn("hash", F.xxhash64("seen_words")).join(windows, ["width", "hash"]).where("seen_words = words")
     slots = F.filter(F.arrays_zip("values", "seen_values"), lambda p: _is_slot(p["values"]))
     passages = met.groupBy("doc_id", "text_hash", "item_id", "item_tokens", "width", (F.col("place") - F.col("at")).alias("distance")).agg(
-        F.collect_set("at").alias("places"), F.array_distinct(F.flatten(F.collect_list(slots))).alias("slots")
+        F.collect_set("at").alias("places"),
+        F.array_distinct(F.flatten(F.collect_list(slots))).alias("slots"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("own")))).alias("own"),
     )
     covered = F.size(F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + F.col("width") - 1)))))
     one_to_one = (F.size(F.array_distinct("slots.values")) == F.size("slots")) & (F.size(F.array_distinct("slots.seen_values")) == F.size("slots"))
     exact = F.forall("slots", lambda p: p["values"] == p["seen_values"])
-    passages = passages.select("doc_id", "text_hash", "item_id", "item_tokens", covered.alias("covered"), F.size("slots").alias("n_slots"), exact.alias("exact"), one_to_one.alias("fits"))
+    passages = passages.select("doc_id", "text_hash", "item_id", "item_tokens", covered.alias("covered"), F.size("slots").alias("n_slots"), exact.alias("exact"), (one_to_one & (exact | (F.col("own") * OWN_SHARE >= covered))).alias("fits"))
     best = passages.where(F.col("fits") & (F.col("covered") >= F.least(F.lit(least), F.col("item_tokens"))))
     best = best.groupBy("doc_id", "text_hash", "item_id", "item_tokens").agg(F.max(F.struct("covered", "exact", "n_slots")).alias("best"))
     return best.select("doc_id", "text_hash", "item_id", F.col("best.covered").alias("matched_tokens"), "item_tokens", F.col("best.n_slots").alias("n_slots"), F.col("best.exact").alias("exact"))
