@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyrill.llm.common import remainder, slices, string_buffer
+from keyrill.llm.common import remainder, return_freed_memory, slices, string_buffer
 from keyrill.llm.words import Hasher, inside, scan
 
 SAMPLE = 20_000
@@ -220,7 +220,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Forest |
     schema = "held_out boolean, good boolean, " + ", ".join(f"{c} long" for c in COUNTS + _OTHERS)
     known = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     # at most `sample` rows of two numbers, so it may be sent to every task
-    rows = known.join(F.broadcast(chosen), "id").select("text", (remainder(F.col("id"), 5) == 0).alias("held_out"), (F.col("quality") > 0).alias("good"))
+    rows = known.join(F.broadcast(chosen.groupBy("id").agg(F.min("quality").alias("quality"))), "id").orderBy(F.xxhash64("id", "text"), "quality").limit(sample)
+    rows = rows.select("text", (remainder(F.col("id"), 5) == 0).alias("held_out"), (F.col("quality") > 0).alias("good"))
     rows = rows.mapInArrow(count, schema).toArrow()
     x = features({c: rows.column(c).to_numpy() for c in COUNTS + _OTHERS})
     good, held_out = (np.array(rows.column(c).to_pylist(), bool) for c in ("good", "held_out"))
@@ -245,6 +246,7 @@ def judged(text: Column, forest: Forest | None) -> Column:
                 kept, score = ~failed & (score >= forest.cut), pa.array(score)
             columns = [*(pa.array(found[c], pa.int64()) for c in COUNTS), pa.array(failed), pa.array(kept), score]
             parts.append(pa.StructArray.from_arrays(columns, names=[*COUNTS, "base_failed", "kept", "score"]))
+            return_freed_memory()
         if not parts:
             flags = [(name, pa.bool_()) for name in ("base_failed", "kept")]
             return pa.nulls(0, pa.struct([*((c, pa.int64()) for c in COUNTS), *flags, ("score", pa.float64())]))

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyrill.llm.common import stored, texts
+from keyrill.llm.common import return_freed_memory, slices, stored, texts
 from keyrill.llm.components import components
 
 TILE = 2048
@@ -55,7 +55,11 @@ def fingerprints(text: Column, width: int = 3) -> Column:
 
     @F.arrow_udf("long")
     def found(column: pa.Array) -> pa.Array:
-        return pa.array(np.array([fingerprint(t or "", width) for t in column.to_pylist()], np.uint64).view(np.int64))
+        prints = []
+        for part in slices(pa.record_batch([column], names=["text"])):
+            prints += [fingerprint(t or "", width) for t in part.column("text").to_pylist()]
+            return_freed_memory()
+        return pa.array(np.array(prints, np.uint64).view(np.int64))
 
     return found(text)
 
