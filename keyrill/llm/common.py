@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -42,6 +43,20 @@ def return_freed_memory() -> None:
     pa.default_memory_pool().release_unused()
 
 
+_held: dict[tuple, object] = {}
+
+
+def held(owner: str, key, make):
+    """What `make` gives, kept in this Python worker for one operator at a time: another's is dropped, as workers outlive stages."""
+    if (owner, key) not in _held:
+        if _held:
+            _held.clear()
+            gc.collect()
+            return_freed_memory()
+        _held[owner, key] = make()
+    return _held[owner, key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

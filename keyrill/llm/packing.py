@@ -24,6 +24,7 @@ from keyrill.llm.common import return_freed_memory, slices, stored, texts
 from keyrill.llm.tokenizing import token_ids
 
 BLOCK = 200_000
+REMEMBERED_BYTES = 72_000_000
 NEARLY_FULL = 0.985
 FAN_IN = 8
 
@@ -32,7 +33,7 @@ def document_pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, length: in
     """(doc_id, piece, start, length, ids_crc32) of every piece."""
 
     def cut(batches):
-        encoder, end = token_ids(tokenizer), np.array([end_id], "<u4").tobytes()
+        encoder, end = token_ids(tokenizer, REMEMBERED_BYTES), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for part in slices(batch):
                 rows = []

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyrill.llm.common import remainder, return_freed_memory, slices, string_buffer
+from keyrill.llm.common import held, remainder, return_freed_memory, slices, string_buffer
 from keyrill.llm.words import Hasher, inside, scan
 
 SAMPLE = 20_000
@@ -39,8 +39,6 @@ _OTHERS = ["n_upper", "n_digits", "n_marks", "n_lines", "n_distinct"]
 FEATURES = ["log_words", "word_length", "symbols", "dup_lines", "repeats", "upper", "digits", "marks", "words_per_line", "distinct"]
 FALLING = ["symbols", "dup_lines", "repeats"]
 
-_hasher: list[Hasher] = []
-
 
 def _per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(flags) + 1, np.int64)
@@ -50,9 +48,7 @@ def _per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def statistics(column: pa.Array) -> dict[str, np.ndarray]:
     """The counts of each text of a column."""
-    if not _hasher:
-        _hasher.append(Hasher(5))
-    hasher = _hasher[0]
+    hasher = held("quality", 5, lambda: Hasher(5))
     data, offsets = string_buffer(column)
     starts, ends, first = scan(data, offsets)
     n_words = np.diff(first)

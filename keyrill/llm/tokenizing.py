@@ -20,12 +20,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from keyrill.llm.common import held
+
 _BESIDE = re.compile(r"\s\s")
 _CUTS = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _TAILS = (",", ".")
 # all that any library takes for white space, twice: texts with none of it are cut as columns
 _BESIDE_ALL = r"[\s\v\x{1c}-\x{1f}\x{85}\pZ]{2}"
 _ENTRY = 200
+MOST_BYTES = 120_000_000
 _LONG = 128
 _JOINED = 64
 
@@ -134,7 +137,7 @@ class TokenIds:
     What is remembered are the words met since that memory was last half full, and those of the half before it.
     """
 
-    def __init__(self, path: str, most_bytes: int = 120_000_000) -> None:
+    def __init__(self, path: str, most_bytes: int = MOST_BYTES) -> None:
         self.tokenizer = load(path)
         self.cutter = Cutter(path)
         self.half = most_bytes // 2
@@ -225,12 +228,6 @@ class TokenIds:
         return [ids[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
 
 
-_ids: dict[str, TokenIds] = {}
-
-
-def token_ids(path: str) -> TokenIds:
+def token_ids(path: str, most_bytes: int = MOST_BYTES) -> TokenIds:
     """One per file and Python worker, so that tasks in the same worker share what it remembers."""
-    if path not in _ids:
-        _ids.clear()
-        _ids[path] = TokenIds(path)
-    return _ids[path]
+    return held("tokens", (path, most_bytes), lambda: TokenIds(path, most_bytes))
