@@ -331,6 +331,8 @@ FROM silent s JOIN before b USING ("offset")""",
 SELECT key, substr(value, instr(value, '-') + 1) AS value, ts_us, "offset" FROM seen
 WHERE rn = 1 AND TRY_CAST(substr(value, instr(value, '-') + 1) AS BIGINT) > 1000""",
     "store_snapshot": ORACLES["total_by_key"],
+    "rule_suite_late_stream": f"""WITH {BROKER_INSTANTS}
+SELECT * FROM ({RULES}) WHERE tick_us // 1000 <= {_until("max(at_us) FROM samples")}""",
     "sum_of_max_stream": f"""WITH {SAMPLES}
 SELECT tick_us, topic, sum(value) AS value
 FROM (SELECT at_us // 60000000 * 60000000 + 60000000 AS tick_us, kind, topic, max(value) AS value FROM samples GROUP BY ALL)

@@ -550,6 +550,14 @@ def rule_suite_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("metric", *_flat(df, CLUSTER, BROKER, TOPIC, PARTITION, time="ts"))
 
 
+@query
+def rule_suite_late_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules over several micro-batches with samples out of order; up to the watermark."""
+    samples = ev.broker_samples(ev.staged_events(spark, job_session(spark), sf_dir))
+    df = streaming.run_rules(spark, Job.fresh(spark, "late_rules"), samples, recording_rules(), DELAY)
+    return df.select("metric", *_flat(df, CLUSTER, BROKER, TOPIC, PARTITION, time="ts"))
+
+
 @query
 def promote_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     attributes = F.create_map(

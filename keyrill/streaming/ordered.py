@@ -194,6 +194,30 @@ class Silence(Step):
         return None, [(key, last, at_us, records)]
 
 
+class AtTicks(Step):
+    """The newest `value` of each key at every tick, as long as it is younger than the look-back."""
+
+    state = "key string, at_us bigint, tick_us bigint, value double"
+    output = "key string, tick_us bigint, value double"
+
+    def __init__(self, tick_us: int, lookback_us: int) -> None:
+        self.tick_us, self.lookback_us = tick_us, lookback_us
+
+    def start(self) -> tuple:
+        return None, None, None, None
+
+    def step(self, state: tuple, row: Row) -> tuple[tuple, list[tuple]]:
+        return (row["key"], row["at_us"], -(-row["at_us"] // self.tick_us) * self.tick_us, row["value"]), []
+
+    def wake_us(self, state: tuple) -> int | None:
+        return state[2]
+
+    def expired(self, state: tuple, at_us: int) -> tuple[tuple | None, list[tuple]]:
+        key, at, tick, value = state
+        later = tick + self.tick_us
+        return (key, at, later, value) if later < at + self.lookback_us else None, [(key, tick, value)]
+
+
 class FilteredChanges(Step):
     """The change stream of a filtered table: a row with its value, or a null where a row that was there no longer passes.
 

@@ -171,9 +171,9 @@ def run_sum_of_max(
     return _read(spark, sums.schema, job.output)
 
 
-def run_rules(spark: SparkSession, job: Job, samples: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """The recorded samples of all rules, up to the last tick before the newest sample."""
-    finish(start_rules(job, samples, rules))
+def run_rules(spark: SparkSession, job: Job, samples: DataFrame, rules: Sequence[Rule], delay: str = NO_GRACE) -> DataFrame:
+    """The recorded samples of all rules, up to the watermark, which is the newest sample's time less `delay`."""
+    finish(start_rules(job, samples, rules, delay))
     return _read(spark, METRIC_SAMPLE, job.output)
 
 

@@ -7,46 +7,41 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyrill.functions.instants import floor_to
-from keyrill.operators.rollups import LOOKBACK_TICKS, TICK_US, Rule, evaluate_rules, valid_samples
-from keyrill.schemas import METRIC_SAMPLE
+from keyrill.operators.rollups import LOOKBACK_TICKS, TICK_US, Rule, evaluate_rules
 from keyrill.streaming.jobs import Job
+from keyrill.streaming.ordered import AtTicks, in_order
 
+_SERIES = "struct<metric: string, series: array<struct<key: string, value: string>>>"
 
-def start_rules(job: Job, samples: DataFrame, rules: Sequence[Rule], available_now: bool = True):
+
+def ticks_of(samples: DataFrame) -> DataFrame:
+    """`instant_samples` over a stream with a watermark on `ts`: the value of every series at every tick that the watermark has passed.
+
+    Each series keeps its newest sample in Spark's state, for one look-back at most, and a timer at its next tick. All values of a tick are
+    sent in one micro-batch. Samples without a time or value count for nothing.
+    """
+    # maps can be neither grouped nor compared; empty labels do not make a series
+    series = F.sort_array(F.map_entries(F.map_filter("labels", lambda _, v: v != "")))
+    rows = samples.where("ts is not null and value is not null").select(
+        F.col("ts").alias("timestamp"),
+        F.to_json(F.struct("metric", series.alias("series"))).alias("key"),
+        F.lit(0).cast("bigint").alias("offset"),
+        "value",
+    )
+    found = in_order(rows, AtTicks(TICK_US, LOOKBACK_TICKS * TICK_US))
+    of = F.from_json("key", _SERIES)
+    return found.select(of["metric"].alias("metric"), F.map_from_entries(of["series"]).alias("labels"), "tick_us", "value")
+
+
+def start_rules(job: Job, samples: DataFrame, rules: Sequence[Rule], delay: str, available_now: bool = True):
     """Start evaluating the rules at every tick; recorded samples go to `job.output`, one folder per micro-batch.
 
-    A tick is evaluated once, in the first batch that holds a sample past it. Samples that come later still count for the
-    ticks not yet evaluated. Between batches the job keeps the samples of one look-back and the last tick evaluated.
+    A tick is evaluated once, when the watermark, the newest time less `delay`, has passed it; samples that come in the meantime count.
     """
-    kept, ticks = f"{job.folder}/kept", f"{job.folder}/ticks"
+    watched = samples.withWatermark("ts", delay).where(F.col("metric").isin(sorted({rule.metric for rule in rules})))
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rows, done = batch.select(*METRIC_SAMPLE.names), None
-        if number > 0:
-            rows = rows.unionByName(spark.read.schema(METRIC_SAMPLE).parquet(f"{kept}/batch={number - 1}"))
-            done = spark.read.schema("tick_us bigint").parquet(f"{ticks}/batch={number - 1}").first()["tick_us"]
-        rows = rows.persist()
-        try:
-            # the last tick before the newest sample: one number
-            newest = floor_to(F.unix_micros(F.max("ts")) - 1, TICK_US).alias("tick_us")
-            last = rows.agg(newest).first()["tick_us"]
-            if last is None or (done is not None and done > last):
-                last = done
-            valid = valid_samples(rows)
-            if done is not None:
-                valid = valid.withColumn("from_us", F.greatest("from_us", F.lit(done + TICK_US)))
-            if last is not None:
-                valid = valid.withColumn("to_us", F.least("to_us", F.lit(last)))
-            recorded = evaluate_rules(valid.where("from_us <= to_us"), rules)
-            recorded.write.mode("overwrite").parquet(f"{job.output}/batch={number}")
-            needed = rows if last is None else rows.where(F.unix_micros("ts") > last - LOOKBACK_TICKS * TICK_US)
-            needed.write.mode("overwrite").parquet(f"{kept}/batch={number}")
-            spark.createDataFrame([(last,)], "tick_us bigint").coalesce(1).write.mode("overwrite").parquet(
-                f"{ticks}/batch={number}"
-            )
-        finally:
-            rows.unpersist()
-
-    return job.for_each_batch(samples, write, "append", available_now)
+        valid = batch.withColumnsRenamed({"tick_us": "from_us"}).withColumn("to_us", F.col("from_us"))
+        evaluate_rules(valid, rules).write.mode("overwrite").parquet(f"{job.output}/batch={number}")
+
+    return job.for_each_batch(ticks_of(watched), write, "append", available_now)

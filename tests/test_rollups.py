@@ -212,3 +212,26 @@ def test_rules_on_a_stream(spark, tmp_path, batches):
         want |= plain_rule(plain, rule)
     assert got.count() == len(collected(got, "ts"))
     assert collected(got, "ts") == {k: v for k, v in want.items() if k[2] < newest}
+
+
+def test_rules_on_a_stream_out_of_order(spark, tmp_path):
+    """Samples up to ten minutes late, in five micro-batches: every tick that the watermark has passed, once; state of one look-back."""
+    rows = [r for r in random_samples(6) if r[3] is not None]
+    newest = max(r[2] for r in rows)
+    arriving = spark.createDataFrame(rows, METRIC_SAMPLE).withColumn("late", F.pmod(F.xxhash64("metric", "ts", "value"), F.lit(600)))
+    arriving = arriving.withColumn("at", F.unix_micros("ts") + F.col("late") * 1_000_000)
+    stream = data.streamed(job_session(spark), arriving, tmp_path / "in", 5, order="at").select(*METRIC_SAMPLE.names)
+    job = Job("rules", str(tmp_path / "job"))
+    got = run_rules(spark, job, stream, recording_rules(), "10 minutes")
+    plain, want = plain_instants(rows), {}
+    for rule in recording_rules():
+        want |= plain_rule(plain, rule)
+    until = newest - timedelta(minutes=10)
+    assert got.count() == len(collected(got, "ts")) > 0
+    assert collected(got, "ts") == {k: v for k, v in want.items() if k[2] <= until}
+
+
+def test_rules_on_a_stream_without_samples(spark, tmp_path):
+    rows = [("log_size", labels("c1", "1", "a", "0"), None, 1.0), ("log_size", None, data.at(seconds=5), None)]
+    stream = data.streamed(job_session(spark), spark.createDataFrame(rows, METRIC_SAMPLE), tmp_path / "in", order="metric")
+    assert run_rules(spark, Job("rules", str(tmp_path / "job")), stream, recording_rules()).count() == 0
