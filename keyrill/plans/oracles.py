@@ -318,6 +318,10 @@ WHERE p.ts_us // 1000 <= {_until("least((SELECT max(ts_us) FROM pairs), (SELECT
 SELECT key, list_reduce(list_prepend(0::BIGINT, list(CAST(price * 100 AS BIGINT) ORDER BY ts_us, "offset")),
                         lambda acc, amount: (acc * 31 + amount) % 1000003) AS fingerprint
 FROM orders_in WHERE ts_us // 1000 <= {_until("max(ts_us) FROM orders_in")} GROUP BY key""",
+    "running_total_stream": f"""WITH {ORDERS}
+SELECT key, "offset", ts_us,
+       CAST(sum(price) OVER (PARTITION BY key ORDER BY ts_us, "offset" ROWS UNBOUNDED PRECEDING) AS VARCHAR) AS value
+FROM orders_in WHERE ts_us // 1000 <= {_until("max(ts_us) FROM orders_in")}""",
     "silence_alarms_stream": f"""WITH {ORDERS}, gaps AS (
   SELECT *, lead(ts_us) OVER (PARTITION BY key ORDER BY ts_us, "offset") AS next_us FROM orders_in),
 silent AS (SELECT * FROM gaps WHERE (next_us IS NULL OR next_us > ts_us + 86400000000) AND (ts_us + 86400000000) // 1000 <= {_until("max(ts_us) FROM orders_in")}),

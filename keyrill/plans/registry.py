@@ -288,6 +288,15 @@ def running_total_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _running(spark, sf_dir, rows_per_slice=SMALL_SLICE)
 
 
+@query
+def running_total_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record's total, as text in a topic, from several micro-batches with records out of order; up to the watermark."""
+    stream = ev.orders(ev.staged_events(spark, job_session(spark), sf_dir))
+    job = Job.fresh(spark, "running_totals")
+    totals = streaming.run_running_totals(spark, job, stream, Topic(job.output), delay=DELAY)
+    return totals.select("key", "offset", us("timestamp", "ts_us"), "value")
+
+
 def _running_double(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     orders = ev.orders(table(spark, sf_dir, "events")).withColumn("price", F.col("price").cast("double") / 8)
     return totals.running_total(orders, **options).select("key", "offset", "total")

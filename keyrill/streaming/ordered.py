@@ -171,6 +171,24 @@ class Fold(Step):
         return state, [(row["key"], row["at_us"], row["offset"], *state)]
 
 
+class RunningTotal(Step):
+    """The total of `value` after each row, with the row's time and offset; rows without a value are passed over."""
+
+    def __init__(self, value: str, kind: str) -> None:
+        self.value, self.state = value, f"total {kind}"
+        self.output = f"key string, at_us bigint, offset bigint, {self.state}"
+
+    def start(self) -> tuple:
+        return (None,)
+
+    def step(self, state: tuple, row: Row) -> tuple[tuple, list[tuple]]:
+        amount = row[self.value]
+        if amount is None:
+            return state, []
+        total = amount if state[0] is None else state[0] + amount
+        return (total,), [(row["key"], row["at_us"], row["offset"], total)]
+
+
 class Silence(Step):
     """An alarm for each key from which nothing came for a time, once per silence."""
 

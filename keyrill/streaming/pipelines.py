@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keyrill.operators.joins import JOIN_MINUTES
 from keyrill.functions.text import whole_number
@@ -20,11 +21,12 @@ from keyrill.operators.tables import latest_by_key
 from keyrill.operators.totals import total_by_key
 from keyrill.operators.windows import hopping_sum, session_sum_stream, tumbling_sum
 from keyrill.plans.pipelines import ORDER_LIMIT, ORDER_MARK, join_orders, order_numbers
-from keyrill.schemas import METRIC_SAMPLE
+from keyrill.schemas import ENVELOPE, METRIC_SAMPLE
+from keyrill.sources.topics import Topic
 from keyrill.folders import exists
 from keyrill.streaming.enrich import enrich_stream
 from keyrill.streaming.jobs import Job, finish
-from keyrill.streaming.ordered import FilteredChanges, Step, in_order
+from keyrill.streaming.ordered import FilteredChanges, RunningTotal, Step, in_order
 from keyrill.streaming.rules import start_rules
 from keyrill.streaming.state import stateful_totals
 from keyrill.streaming.upserts import UpsertTable
@@ -61,6 +63,23 @@ def run_totals(spark: SparkSession, job: Job, stream: DataFrame, value: str = "p
     return _upserts(spark, job, total_by_key(stream, value), ("key",))
 
 
+def run_running_totals(
+    spark: SparkSession, job: Job, stream: DataFrame, sink: Topic, value: str = "price", delay: str = NO_GRACE
+) -> DataFrame:
+    """The total of a key after each of its records, as text in a topic under the record's offset; up to the watermark.
+
+    One row a record and not one a micro-batch, in (timestamp, offset) order. Decimals are added exactly.
+    """
+    kind = stream.schema[value].dataType
+    if isinstance(kind, T.DecimalType):
+        kind = T.DecimalType(38, kind.scale)
+    rows = stream.withColumn(value, F.col(value).cast(kind)).withWatermark("timestamp", delay)
+    totals = in_order(rows, RunningTotal(value, kind.simpleString()))
+    texts = totals.select("key", F.col("total").cast("string").alias("value"), F.timestamp_micros("at_us").alias("timestamp"), "offset")
+    finish(sink.write_stream(texts, job.checkpoint, job.name))
+    return sink.read(spark) if exists(spark, sink.path) else spark.createDataFrame([], ENVELOPE)
+
+
 def run_join(
     spark: SparkSession,
     job: Job,

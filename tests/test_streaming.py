@@ -1,6 +1,7 @@
 """Streams equal batch, resume where they stopped, and may repeat a batch."""
 
 import time
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -12,6 +13,7 @@ from keyrill.operators.rollups import windowed_rollup
 from keyrill.operators.totals import total_by_key
 from keyrill.operators.windows import session_sum, tumbling_sum
 from keyrill.plans.pipelines import combined_orders, join_orders, order_numbers
+from keyrill.sources.topics import Topic
 from keyrill.streaming import pipelines as streaming
 from keyrill.streaming.jobs import Job, TapLog, finish, job_session, shared_folder, stop, work_folder
 from keyrill.streaming.ordered import Silence, Step
@@ -309,3 +311,20 @@ def test_sessions_of_a_stream(spark, tmp_path, orders):
     closed = session_sum(orders, F.col("price"), 20).where(F.col("end") <= F.lit(data.at((N - 1) * 4 - 10)))
     assert data.rows_of(result, *columns) == data.rows_of(closed, *columns)
     assert result.count() > 50
+
+
+def test_running_totals_reach_a_topic_row_by_row(spark, tmp_path):
+    rows = [("a", 3, "1.10", 1), ("a", 1, "2.20", 2), (None, 2, "9.00", 3), ("a", 2, None, 4), ("b", 5, "4.00", 5), ("a", 3, "0.05", 6), ("z", 90, "1.00", 7)]
+    rows = [(key, data.at(minutes=m), price and Decimal(price), n) for key, m, price, n in rows]
+    df = spark.createDataFrame(rows, "key string, timestamp timestamp, price decimal(18,2), offset bigint")
+    stream = data.streamed(job_session(spark), df, tmp_path / "in", 3)
+    sink = Topic(str(tmp_path / "topic"))
+    got = streaming.run_running_totals(spark, Job("totals", str(tmp_path / "job")), stream, sink, delay="10 minutes")
+    want = [("a", "2.20", 2), ("a", "3.30", 1), ("a", "3.35", 6), ("b", "4.00", 5)]
+    assert sorted(map(tuple, got.select("key", "value", "offset").collect())) == sorted(want)
+
+
+def test_running_totals_without_records(spark, tmp_path):
+    df = spark.createDataFrame([], "key string, timestamp timestamp, price double, offset bigint")
+    stream = data.streamed(job_session(spark), df, tmp_path / "in", 1)
+    assert streaming.run_running_totals(spark, Job("none", str(tmp_path / "job")), stream, Topic(str(tmp_path / "topic"))).count() == 0
