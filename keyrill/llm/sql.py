@@ -108,7 +108,74 @@ FROM found f JOIN subroots s ON f.lang IS NOT DISTINCT FROM s.lang, root
 """
 
 
+def _quotation_linking(sentence_words: int = 3) -> str:
+    marks = r"^[ \t]*((?:>[ \t]?)+)"
+
+    def normal(text: str) -> str:
+        return rf"trim(regexp_replace(lower({text}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
+
+    def sources(units: str) -> str:
+        return f"""
+  SELECT q.r, q.c, q.t, q.level, q.run, q.normal, max(o.t) AS source
+  FROM {units} q JOIN {units} o ON o.c = q.c AND o.normal = q.normal AND o.level = 0 AND o.t < q.t
+  WHERE q.level > 0 GROUP BY ALL"""
+
+    return rf"""
+WITH RECURSIVE messages AS (
+  SELECT row_number() OVER () AS r, conv_id AS c, turn::integer AS t, role, coalesce(text, '') AS text FROM conversations),
+split AS (
+  SELECT r, c, t, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM messages),
+lines AS (
+  SELECT r, c, t, i, line, length(regexp_replace(regexp_extract(line, '{marks}', 1), '[^>]', '', 'g')) AS level,
+    regexp_replace(line, '{marks}', '') AS body
+  FROM split),
+announced AS (
+  SELECT *, regexp_matches(body, '^On .*wrote:[ \t]*$') AND coalesce(lead(level) OVER line_order, 0) > level AS announces
+  FROM lines WINDOW line_order AS (PARTITION BY r ORDER BY i)),
+blanks AS (SELECT *, announces OR {normal("body")} = '' AS blank FROM announced),
+begun AS (
+  SELECT *, coalesce(lag(blank) OVER line_order OR lag(level) OVER line_order <> level, true) AS begins
+  FROM blanks WINDOW line_order AS (PARTITION BY r ORDER BY i)),
+runs AS (SELECT *, sum(begins::integer) OVER (PARTITION BY r ORDER BY i) AS run FROM begun),
+passages AS (
+  SELECT r, c, t, level, run, string_agg(body, ' ' ORDER BY i) AS text
+  FROM runs WHERE NOT blank AND c IS NOT NULL AND t IS NOT NULL GROUP BY r, c, t, level, run),
+wholes AS (SELECT r, c, t, level, run, {normal("text")} AS normal FROM passages),
+whole_sources AS ({sources("wholes")}),
+parts AS (
+  SELECT r, c, t, level, run, {normal("part")} AS normal
+  FROM (SELECT p.*, unnest(string_split_regex(p.text, '[.!?]+(\s+|$)')) AS part FROM passages p)
+  WHERE len(string_split({normal("part")}, ' ')) >= {sentence_words}
+    AND (level = 0 OR (r, run) NOT IN (SELECT (r, run) FROM whole_sources))),
+-- a sentence said twice in a passage counts twice
+part_counts AS (SELECT r, run, normal, count(*) AS n FROM parts WHERE level > 0 GROUP BY ALL),
+part_sources AS (
+  SELECT s.*, n FROM ({sources("(SELECT DISTINCT * FROM parts)")}) s JOIN part_counts USING (r, run, normal)),
+linked AS (
+  SELECT c, t, level, source, sum(n) AS n, sum(n * len(string_split(normal, ' '))) AS n_words
+  FROM (SELECT *, 1 AS n FROM whole_sources UNION ALL SELECT * FROM part_sources) GROUP BY ALL),
+outermost AS (SELECT c, t, min(level) AS level, sum(n) AS n_linked FROM linked GROUP BY ALL),
+replies AS (
+  SELECT l.c, l.t, o.n_linked, arg_max(l.source, {{'w': l.n_words, 's': l.source}}) AS reply_turn
+  FROM linked l JOIN outermost o USING (c, t, level) GROUP BY ALL),
+threads AS (
+  SELECT r.c, r.t, r.reply_turn AS thread_turn FROM replies r
+  WHERE NOT EXISTS (SELECT 1 FROM replies above WHERE above.c = r.c AND above.t = r.reply_turn)
+  UNION ALL
+  SELECT r.c, r.t, threads.thread_turn FROM replies r JOIN threads ON threads.c = r.c AND threads.t = r.reply_turn),
+own AS (SELECT r, string_agg(line, chr(10) ORDER BY i) AS text FROM announced WHERE level = 0 AND NOT announces GROUP BY r),
+placed AS (
+  SELECT m.c AS conv_id, m.t AS turn, m.role, p.reply_turn, coalesce(th.thread_turn, m.t) AS thread_turn, coalesce(p.n_linked, 0)::bigint AS n_linked,
+    coalesce(own.text, '') AS text, m.r
+  FROM messages m LEFT JOIN replies p USING (c, t) LEFT JOIN threads th USING (c, t) LEFT JOIN own ON own.r = m.r)
+SELECT conv_id, turn, role, reply_turn, thread_turn, n_linked,
+  CASE WHEN conv_id IS NOT NULL AND turn IS NOT NULL THEN row_number() OVER (PARTITION BY conv_id, turn IS NULL ORDER BY thread_turn, turn, r) END AS position, text
+FROM placed
+"""
+
+
 ORACLES: dict[str, str] = {
+    "op3_quotation_linking": _quotation_linking(),
     "op11_overlap_join": _overlap_join(),
     "op13_merkle_manifest": _merkle_manifest(),
 }

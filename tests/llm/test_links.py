@@ -6,7 +6,9 @@ import subprocess
 import sys
 
 import corpus_pipeline
-from keyrill.llm import decontamination, quotes
+import duckdb
+import pandas as pd
+from keyrill.llm import decontamination, quotes, sql
 from keyrill.llm.common import stored
 from tests.llm.helpers import SF, multiset, prose, table
 
@@ -78,7 +80,7 @@ def test_reply_order(spark):
         (1, 2, "u", "Other topic"),
         (1, 3, "u", "On Monday X wrote:\n>> how are YOU\n> Fine\nGreat!"),
         (1, 4, "a", ">other topic.\nYes"),
-        (1, 5, "u", "> > Hello   there!\nOn what?"),
+        (1, 5, "u", "> > Hello   there!\n> > How\n> > are you?\nOn what?"),
         (1, 6, "u", "> never said\nx > y"),
         (2, 0, "u", None),
         (2, 1, "u", "> How are you?"),
@@ -110,6 +112,42 @@ def test_repeated_turns_and_long_threads(spark):
     assert _order(spark, []) == []
 
 
+def _quoting(seed, turns=25):
+    """A conversation whose messages quote passages and sentences of others, wrapped anew, at several levels."""
+    rng = random.Random(seed)
+    rows, said = [], []
+    for turn in range(turns):
+        lines = []
+        for _ in range(rng.randrange(4)):
+            marks = "> " * rng.choice([1, 1, 2]) if rng.random() < 0.8 else ">>"
+            if said and rng.random() < 0.8:
+                passage = rng.choice(said)
+                passage = rng.choice([passage, passage.upper(), rng.choice(passage.split(". ")), passage.replace(" ", "  ")]).split()
+            else:
+                passage = prose(rng.random(), rng.randrange(1, 9)).split()
+            if rng.random() < 0.3:
+                lines.append(marks.replace(">", "", 1).strip() + "On Monday X wrote:")
+            width = rng.randrange(1, 7)
+            lines += [marks + " ".join(passage[i : i + width]) for i in range(0, len(passage), width)]
+            lines += rng.choice([[], [""], [marks]])
+        for _ in range(rng.randrange(3)):
+            passage = ". ".join(prose(rng.random(), rng.randrange(1, 6), 40) for _ in range(rng.randrange(1, 4)))
+            said.append(rng.choice([passage, "thanks"]))
+            lines += [said[-1], ""] if rng.random() < 0.9 else [said[-1], "On we go"]
+        rows.append((seed % 7, turn + 100 * (seed // 7), rng.choice("ua"), "\n".join(lines) if rng.random() < 0.95 else None))
+    return rows
+
+
+def test_replies_are_those_of_the_sql(spark):
+    rows = [row for seed in range(21) for row in _quoting(seed)] + [(None, 1, "u", "> thanks\nx"), (3, None, "u", "> thanks\nx"), (99, 0, None, "")]
+    found = multiset(tuple(r) for r in _order(spark, rows))
+    db = duckdb.connect()
+    db.register("conversations", pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]).astype({"conv_id": "Int64", "turn": "Int64"}))
+    expected = db.sql(f"SELECT conv_id, turn, role, reply_turn, thread_turn, n_linked, position, text FROM ({sql.ORACLES['op3_quotation_linking']})").fetchall()
+    assert found == multiset(expected)
+    assert sum(r[3] is not None for r in expected) > 100 and any(r[5] > 2 for r in expected)
+
+
 def test_conversations_without_quotes_keep_their_turns(spark):
     import __spark_entry__ as entry
 
