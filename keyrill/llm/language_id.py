@@ -3,12 +3,13 @@
 Fixed-length windows cover the whole text, one overlapping the next by the widest filter less one byte, the last one padded. Bytes are
 embedded; filters of several widths slide over them; each filter's largest response in the window, if positive, goes to a softmax over the
 languages. A document's probabilities are its windows' means, weighted by their bytes. The network is trained in numpy on labelled
-documents: at most LANGUAGES languages (the most frequent), about PER_LANGUAGE documents of each (by hash of the id), and WINDOWS windows
-of each document. For prediction the product of embedding and filters is tabulated for pairs of bytes, so that a filter of four
+documents: PER_LANGUAGE different ones of each language at most, those that come first by a hash of id and text, and WINDOWS windows
+of each. With many languages there are fewer of each, so that all are no more than SAMPLE; beyond SAMPLE languages the most frequent are learned. For prediction the product of embedding and filters is tabulated for pairs of bytes, so that a filter of four
 bytes takes two look-ups; the numbers are those of the network.
 
 Prediction reads the text alone. Null texts and texts without a letter are `und` with score 0, as is everything if no language was
-learned. A null id is not held out and not learned from. Equal ids and repeated rows keep their rows. Other columns are ignored.
+learned. Of languages with equal scores the first by name is predicted. A null id is not held out and not learned from. Equal ids and repeated rows
+keep their rows; a repeated row is learned from once. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,13 +20,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyrill.llm.common import remainder, slices, string_buffer
 
-LANGUAGES = 64
 PER_LANGUAGE = 800
+SAMPLE = 50_000
 WINDOWS = 4
 LENGTH = 256
 WIDTHS = (2, 3, 4)
@@ -158,12 +159,16 @@ def learn(docs: DataFrame, modulus: int = 4, held_out: int = 2) -> Network | Non
     known = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.coalesce("text", F.lit("")).alias("text"), "lang").where(
         F.col("lang").isNotNull() & (remainder(F.col("doc_id"), modulus) != held_out)
     )
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
-    if not counts:
+    known = known.withColumn("place", F.xxhash64("id", "text"))
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("place").alias("different")).orderBy(F.desc("n"), "lang")
+    different = {r["lang"]: r["different"] for r in counts.limit(SAMPLE).collect()}
+    if not different:
         return None
-    rates = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, PER_LANGUAGE / n))])
-    place = F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1_000_003
-    sample = known.where(F.col("lang").isin(list(counts)) & (place < F.element_at(rates, F.col("lang")))).select("lang", place.alias("place"), "text")
+    most = max(1, min(PER_LANGUAGE, SAMPLE // len(different)))
+    # the first by hash are looked for among some thousands only; three times as many, as the hashes are counted roughly
+    bounds = [(lang, int(2**63 * (2 * min(1.0, 3 * most / n) - 1)) - 1) for lang, n in different.items()]
+    bounds = F.broadcast(docs.sparkSession.createDataFrame(bounds, "lang string, bound long"))  # SAMPLE short rows at most
+    sample = known.join(bounds, "lang").where("place <= bound").select("lang", "place", "text")
 
     def cut(batches):
         for batch in batches:
@@ -174,8 +179,9 @@ def learn(docs: DataFrame, modulus: int = 4, held_out: int = 2) -> Network | Non
                 cuts = pa.array([rows[s].tobytes() for s in spread], pa.binary())
                 yield pa.record_batch([part.column("lang"), part.column("place"), cuts], names=["lang", "place", "cuts"])
 
-    found = sample.mapInArrow(cut, "lang string, place double, cuts binary").toArrow().to_pandas()
-    found = found.sort_values(["lang", "place", "cuts"]).groupby("lang").head(2 * PER_LANGUAGE)  # the bound, if hashes were uneven
+    cuts = sample.mapInArrow(cut, "lang string, place long, cuts binary").groupBy("lang", "place").agg(F.min("cuts").alias("cuts"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
+    found = cuts.withColumn("nth", first).where(F.col("nth") <= most).toArrow().to_pandas().sort_values(["lang", "place"])
     languages = tuple(sorted(found["lang"].unique()))
     if not languages:
         return None

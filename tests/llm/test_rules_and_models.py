@@ -1,6 +1,7 @@
 """Quality rules, languages and language-model scores: counts against plain versions, models on held-out rows."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -103,6 +104,26 @@ def test_language_of_awkward_rows(spark, network):
     assert {r["lang_pred"] for r in language_id.predict(table(spark), None).collect()} == {"und"}
 
 
+def test_languages_of_repeated_ids_and_of_many_languages(spark, monkeypatch):
+    schema = "doc_id long, text string, lang string"
+    two = [(4, " ".join(random.Random(i).choices(["the", "and", "ship", "over"] if i % 2 else ["łódź", "żółw", "gęś"], k=12)), "xy"[i % 2]) for i in range(3000)]
+    for ident in (4, 8, 10):
+        frame = spark.createDataFrame([(ident, text, lang) for _, text, lang in two], schema)
+        network = language_id.learn(frame)
+        found = language_id.predict(frame, network).groupBy("lang_pred").count().collect()
+        assert {r["lang_pred"]: r["count"] for r in found} == {"x": 1500, "y": 1500}
+    seen = []
+    monkeypatch.setattr(language_id, "train", lambda windows, numbers, languages: seen.append((len(windows), languages)))
+    language_id.learn(spark.createDataFrame([(5, "the same text", "x")] * 400 + [(6, "another", "x")], schema))
+    many = [(i, f"text {i}", f"l{i % 90:02}") for i in range(900)]
+    language_id.learn(spark.createDataFrame(many, schema))
+    monkeypatch.setattr(language_id, "SAMPLE", 180)
+    language_id.learn(spark.createDataFrame(many, schema))
+    learned = sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(900))
+    assert [n for n, _ in seen] == [sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in (5, 6)), learned, 180]
+    assert all(len(languages) == 90 for _, languages in seen[1:])
+
+
 def test_tables_are_the_network(network):
     data = np.frombuffer(prose(3, 200).encode() * 3, np.uint8)
     offsets = np.array([0, 5, 5, 300, len(data)])
