@@ -367,6 +367,7 @@ _SAME = {
     "ordered_fold_split": "ordered_fold",
     "interval_join_salted": "interval_join",
     "interval_join_stream": "interval_join",
+    "interval_join_salted_stream": "interval_join",
     "enrich_asof_split": "enrich_asof",
     "combined_orders_split": "combined_orders",
     "dead_letters_stream": "dead_letters",

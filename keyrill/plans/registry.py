@@ -414,6 +414,14 @@ def interval_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pairs(streaming.run_join(spark, job, ev.orders(events, "click"), ev.orders(events, "purchase")))
 
 
+@query
+def interval_join_salted_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of a busy (key, cell) are spread over four tasks, which a stream's plan cannot do by itself."""
+    events = event_stream(job_session(spark, idle_batches=False), sf_dir)
+    job = Job.fresh(spark, "interval_join_salted")
+    return _pairs(streaming.run_join(spark, job, ev.orders(events, "click"), ev.orders(events, "purchase"), salts=4))
+
+
 @query
 def enrich_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with the name of their customer, where that customer is in the building segment."""
