@@ -92,20 +92,33 @@ def sliced(
 ) -> Sliced:
     """Prepare `df` (with a non-null `key`) for ordered computations, cutting keys of more than `rows_per_slice` rows.
 
-    Costs one aggregation over the key column of `measure`, of which one number comes back; nothing is written where no key is hot. `measure` is `df` unless given: pass the inputs of an expensive
+    Costs one aggregation over the key column of `measure`, of which two numbers come back; nothing is written where no key is hot. `measure` is `df` unless given: pass the inputs of an expensive
     `df` instead, with the same key column, so that it is not computed twice. Where there are hot keys, their rows are
-    written once to the shared folder in order of key and position, one task a slice. The order columns must together be
+    written once to the shared folder in order of key and position. A task lays out one range of them, whatever the
+    length of a slice: a slice is so many rows of a key by their place in it, which is that in the range and the number of
+    the key's rows in the ranges before. The order columns must together be
     unique within a key: equal positions cannot be told apart, here as in any ordered window.
     """
     order = tuple(order)
     measure = df if measure is None else measure
     counts = measure.groupBy("key").count().where(F.col("count") > rows_per_slice)
-    parts = counts.agg(F.sum(F.ceil(F.col("count") / rows_per_slice))).first()[0]
+    parts, hot = counts.agg(F.sum(F.ceil(F.col("count") / rows_per_slice)), F.sum("count")).first()
     if not parts:
         return Sliced(df, order)
     keys = written(counts.select("key"), "hot-keys")
-    ranged = df.join(keys, "key", "left_semi").repartitionByRange(int(parts), "key", *order)
-    cut = written(ranged.withColumn("slice", F.spark_partition_id()), "hot-rows")
-    slices = written(cut.groupBy("key", "slice").count().select("key", "slice"), "hot-slices")
-    rest = df.join(keys, "key", "left_anti").withColumn("slice", F.lit(-1))
-    return Sliced(cut.unionByName(rest), order, slices)
+    # short slices must not cost a task each: no more ranges than the session's tasks, or than their rows fill
+    ranges = min(int(parts), max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-hot // ROWS_PER_SLICE)))
+    ranged = df.join(keys, "key", "left_semi").repartitionByRange(ranges, "key", *order).sortWithinPartitions("key", *order)
+    # the number of a row: its range in the bits from 33 on, its place in the range below
+    laid = written(ranged.withColumn("_row", F.monotonically_increasing_id()), "hot-rows")
+    laid = laid.withColumn("_range", F.shiftright("_row", 33))
+    first = laid.groupBy("key", "_range").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy("key").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    first = first.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    first = written(first, "hot-ranges")
+    place = F.col("_row") - F.col("_first") + F.col("_before")
+    cut = laid.join(first.drop("_rows"), ["key", "_range"]).withColumn("slice", F.floor(place / rows_per_slice))
+    last = F.floor((F.sum("_rows") - 1) / rows_per_slice)
+    slices = first.groupBy("key").agg(last.alias("_last")).select("key", F.explode(F.sequence(F.lit(0).cast("bigint"), "_last")).alias("slice"))
+    rest = df.join(keys, "key", "left_anti").withColumn("slice", F.lit(-1).cast("bigint"))
+    return Sliced(cut.select(*rest.columns).unionByName(rest), order, slices)

@@ -47,6 +47,15 @@ def test_slices_are_small_and_in_order(skewed):
         assert before.last < after.first
 
 
+def test_short_slices_do_not_cost_a_task_each(skewed, spark):
+    df, _ = skewed
+    cut = sliced(df, rows_per_slice=2)
+    assert cut.slices.count() >= ROWS // 2
+    files = sum("/hot-rows-" in name for name in cut.rows.inputFiles())
+    assert 1 <= files <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert cut.rows.groupBy("key", "slice").count().agg(F.max("count")).first()[0] == 2
+
+
 def test_plain_plan_without_hot_keys(skewed):
     df, _ = skewed
     assert sliced(df).slices is None
