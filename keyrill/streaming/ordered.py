@@ -3,13 +3,18 @@
 Rows wait in list state until the watermark has passed them; a timer at the earliest then hands them over, sorted, to a step
 the user passes in. So the order of arrival does not matter within the watermark's delay, and a step sees each row once. The rows of a key
 that wait together are those of one delay. Rows that come later than the watermark are dropped by Spark.
+
+Each call of Spark's state costs far more than a row does, so keys share their state and timer by hash, as one of BUCKETS groups: a
+micro-batch costs some calls a group and not a key. A group's rows and the states of its keys are packed, to be stored at once.
 """
 
 from __future__ import annotations
 
+import pickle
 import sys
 from abc import ABC, abstractmethod
 from collections.abc import Iterator
+from operator import itemgetter
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
@@ -23,7 +28,11 @@ from keyrill.operators.records import keyed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _DUE = T.StructType([T.StructField("at_ms", T.LongType())])
+_PACKED = T.StructType([T.StructField("packed", T.BinaryType())])
 ORDER = ("at_us", "side", "offset")
+# fixed for the life of a checkpoint, as the number of state partitions is
+BUCKETS = 1024
+ROWS_PER_PACK = 10_000
 
 
 class Step(ABC):
@@ -54,62 +63,73 @@ class Step(ABC):
 
 
 class InOrder(StatefulProcessor):
-    """Hands the rows of a key to a step once the watermark has passed them."""
+    """Hands the rows of each key of a group to a step once the watermark has passed them."""
 
     def __init__(self, step: Step, rows: T.StructType) -> None:
-        self.step, self.schema, self.names = step, rows, rows.names
+        self.step, self.names, self.key = step, rows.names, rows.names.index("key")
         # read here: workers cannot parse schemas
-        self.state_schema, self.out = T.StructType.fromDDL(step.state), T.StructType.fromDDL(step.output).names
+        self.out = T.StructType.fromDDL(step.output).names
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.schema)
-        self.kept = handle.getValueState("kept", self.state_schema)
+        self.waiting = handle.getListState("waiting", _PACKED)
+        self.kept = handle.getListState("kept", _PACKED)
         self.due = handle.getValueState("due", _DUE)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        new = [tuple(row[name] for name in self.names) for row in rows]
-        self.waiting.appendList(new)
-        self._call_at(min(row[0] for row in new) // 1000)
+        pick, new, earliest = None, [], None
+        for row in rows:
+            pick = pick or itemgetter(*(row.__fields__.index(name) for name in self.names))
+            new.append(pick(tuple(row)))
+            earliest = new[-1][0] if earliest is None else min(earliest, new[-1][0])
+            if len(new) == ROWS_PER_PACK:
+                self.waiting.appendList(_packed(new))
+                new = []
+        if new:
+            self.waiting.appendList(_packed(new))
+        self._call_at(earliest // 1000)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         until = timerValues.getCurrentWatermarkInMs()
         self.due.clear()
-        state = tuple(self.kept.get()) if self.kept.exists() else self.step.start()
-        rows = sorted((tuple(row) for row in self.waiting.get()), key=lambda row: row[:3]) if self.waiting.exists() else []
-        done = 0
-        while True:
-            row = rows[done] if done < len(rows) and rows[done][0] // 1000 <= until else None
-            wake = self.step.wake_us(state)
-            if wake is not None and wake // 1000 <= until and (row is None or wake < row[0]):
-                state, sent = self.step.expired(state, wake)
-                state = self.step.start() if state is None else state
-            elif row is not None:
-                state, sent = self.step.step(state, Row(*self.names)(*row))
-                done += 1
+        kept = dict(_unpacked(self.kept))
+        ready, rest = {}, []
+        for row in _unpacked(self.waiting):
+            if row[0] // 1000 <= until:
+                ready.setdefault(row[self.key], []).append(row)
             else:
-                break
-            for values in sent:
-                yield Row(*self.out)(*values)
-        rows = rows[done:]
-        if rows:
-            self.waiting.put(rows)
-        else:
-            self.waiting.clear()
-        if state == self.step.start():
-            self.kept.clear()
-        else:
-            self.kept.update(state)
-        times = [rows[0][0]] if rows else []
-        wake = self.step.wake_us(state)
-        if wake is not None:
-            times.append(wake)
+                rest.append(row)
+        wake_us, make, out = self.step.wake_us, Row(*self.names), Row(*self.out)
+        for name in {**kept, **ready}:
+            state = kept.pop(name, None)
+            state = self.step.start() if state is None else state
+            rows = sorted(ready.pop(name, ()), key=itemgetter(0, 1, 2))
+            done = 0
+            while True:
+                row = rows[done] if done < len(rows) else None
+                wake = wake_us(state)
+                if wake is not None and wake // 1000 <= until and (row is None or wake < row[0]):
+                    state, sent = self.step.expired(state, wake)
+                    state = self.step.start() if state is None else state
+                elif row is not None:
+                    state, sent = self.step.step(state, make(*row))
+                    done += 1
+                else:
+                    break
+                for values in sent:
+                    yield out(*values)
+            if state != self.step.start():
+                kept[name] = state
+        _store(self.waiting, rest)
+        _store(self.kept, list(kept.items()))
+        times = [min(row[0] for row in rest)] if rest else []
+        times += [wake for wake in map(wake_us, kept.values()) if wake is not None]
         if times:
             self._call_at(min(times) // 1000)
 
     def _call_at(self, at_ms: int) -> None:
-        """Have the key's one timer no later than this."""
+        """Have the group's one timer no later than this."""
         if self.due.exists():
             known = self.due.get()[0]
             if known <= at_ms:
@@ -122,6 +142,23 @@ class InOrder(StatefulProcessor):
         pass
 
 
+def _packed(items: list[tuple]) -> list[tuple[bytes]]:
+    return [(pickle.dumps(items[at : at + ROWS_PER_PACK], pickle.HIGHEST_PROTOCOL),) for at in range(0, len(items), ROWS_PER_PACK)]
+
+
+def _unpacked(state) -> Iterator[tuple]:
+    if state.exists():
+        for (packed,) in state.get():
+            yield from pickle.loads(packed)
+
+
+def _store(state, items: list[tuple]) -> None:
+    if items:
+        state.put(_packed(items))
+    else:
+        state.clear()
+
+
 def in_order(stream: DataFrame, step: Step) -> DataFrame:
     """The outputs of `step` over the rows of each key of a stream that has a watermark on `timestamp`.
 
@@ -134,7 +171,8 @@ def in_order(stream: DataFrame, step: Step) -> DataFrame:
     more = [name for name in rows.columns if name not in (*ORDER, "timestamp")]
     rows = rows.select("timestamp", F.col("at_us"), F.col("side").cast("int").alias("side"), F.col("offset").cast("bigint").alias("offset"), *more)
     schema = T.StructType([rows.schema[name] for name in (*ORDER, *more)])
-    return rows.groupBy("key").transformWithState(InOrder(step, schema), step.output, "append", "eventTime")
+    groups = rows.withColumn("_bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS))).groupBy("_bucket")
+    return groups.transformWithState(InOrder(step, schema), step.output, "append", "eventTime")
 
 
 class AsOf(Step):

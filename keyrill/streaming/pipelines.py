@@ -73,7 +73,7 @@ def run_running_totals(
     kind = stream.schema[value].dataType
     if isinstance(kind, T.DecimalType):
         kind = T.DecimalType(38, kind.scale)
-    rows = stream.withColumn(value, F.col(value).cast(kind)).withWatermark("timestamp", delay)
+    rows = stream.select("key", "timestamp", "offset", F.col(value).cast(kind).alias(value)).withWatermark("timestamp", delay)
     totals = in_order(rows, RunningTotal(value, kind.simpleString()))
     texts = totals.select("key", F.col("total").cast("string").alias("value"), F.timestamp_micros("at_us").alias("timestamp"), "offset")
     finish(sink.write_stream(texts, job.checkpoint, job.name))
