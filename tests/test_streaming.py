@@ -5,7 +5,9 @@ from decimal import Decimal
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keyrill.operators.joins import enrich_asof
 from keyrill.operators.records import tap
@@ -16,7 +18,7 @@ from keyrill.plans.pipelines import combined_orders, join_orders, order_numbers
 from keyrill.sources.topics import Topic
 from keyrill.streaming import pipelines as streaming
 from keyrill.streaming.jobs import Job, TapLog, finish, job_session, shared_folder, stop, work_folder
-from keyrill.streaming.ordered import Silence, Step
+from keyrill.streaming.ordered import Fold, InOrder, Silence, Step
 from keyrill.streaming.state import partial_totals
 from keyrill.streaming.upserts import UpsertTable
 from tests import data
@@ -328,3 +330,71 @@ def test_running_totals_without_records(spark, tmp_path):
     df = spark.createDataFrame([], "key string, timestamp timestamp, price double, offset bigint")
     stream = data.streamed(job_session(spark), df, tmp_path / "in", 1)
     assert streaming.run_running_totals(spark, Job("none", str(tmp_path / "job")), stream, Topic(str(tmp_path / "topic"))).count() == 0
+
+
+class _Held:
+    """A state of Spark's that counts its calls."""
+
+    def __init__(self, calls: list) -> None:
+        self.calls, self.items = calls, []
+
+    def _note(self, items=None):
+        self.calls.append(1)
+        if items is not None:
+            self.items = items
+
+    def exists(self):
+        self._note()
+        return bool(self.items)
+
+    def get(self):
+        self._note()
+        return iter(self.items) if isinstance(self.items, list) else self.items
+
+    def put(self, items):
+        self._note(list(items))
+
+    def update(self, item):
+        self._note(item)
+
+    def appendList(self, items):
+        self._note([*self.items, *items])
+
+    def clear(self):
+        self._note([])
+
+
+class _Handle:
+    def __init__(self) -> None:
+        self.calls = []
+
+    def getListState(self, name, schema):
+        return _Held(self.calls)
+
+    getValueState = getListState
+
+    def registerTimer(self, at_ms):
+        self.calls.append(1)
+
+    deleteTimer = registerTimer
+
+
+class _Watermark:
+    def getCurrentWatermarkInMs(self):
+        return 1_000
+
+
+def test_calls_of_the_state_do_not_grow_with_the_keys(spark):
+    """All keys of a group are handled in one call; each key has its own state and order."""
+    names = ("at_us", "side", "offset", "key", "amount")
+    schema = T.StructType([T.StructField(n, T.StringType() if n == "key" else T.LongType()) for n in names])
+    step = Fold("amount", (0,), "total bigint", lambda state, amount: (state[0] * 10 + amount,))
+    processor, handle = InOrder(step, schema), _Handle()
+    processor.init(handle)
+    row = Row(*names)
+    rows = [row(at * 1_000, 0, k, f"k{k}", at) for at in (3, 1, 2, 5_000) for k in range(100)]
+    list(processor.handleInputRows((0,), iter(rows), _Watermark()))
+    sent = list(processor.handleExpiredTimer((0,), _Watermark(), None))
+    assert {(r.key, r.total) for r in sent if r.at_us == 3_000} == {(f"k{k}", 123) for k in range(100)}
+    assert len(sent) == 300  # what the watermark has not passed waits
+    assert len(handle.calls) < 25
