@@ -19,6 +19,10 @@ from pyspark.sql import types as T
 from keyrill.folders import written
 
 ROWS_PER_SLICE = 5_000_000
+# fewer rows than this are not worth a task of their own, unless there would be fewer than RANGES
+ROWS_PER_RANGE, RANGES = 100_000, 8
+# so many hot keys are sent to every executor (some 50 MB); a join by key would gather a hot key in one task
+SENT_KEYS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -40,28 +44,37 @@ class Sliced:
     def _replace(self, rows: DataFrame) -> Sliced:
         return Sliced(rows, self.order, self.slices)
 
-    def _carried(self, rows: DataFrame, of_slice: Column, over_slices: Callable[[str], Column]) -> DataFrame:
-        """What the slices before each slice of a cut key carry into it, as (key, slice, _carry): one row per slice."""
-        parts = rows.where("slice >= 0").groupBy("key", "slice").agg(of_slice.alias("_part"))
+    def _carried(self, rows: DataFrame, of_slice: dict[str, Column], over_slices: Callable[[str], Column]) -> DataFrame:
+        """What the slices before each slice of a cut key carry into it, as (key, slice, _carry_NAME for each name): one row per slice.
+
+        `rows` must be all rows: a slice with nothing of its own still gets a carried value.
+        """
+        parts = rows.where("slice >= 0").groupBy("key", "slice").agg(*[part.alias(f"_part_{name}") for name, part in of_slice.items()])
         before = Window.partitionBy("key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-        # from the list of slices, not the parts: a slice without a part of its own still gets a carried value
-        every = self.slices.join(parts, ["key", "slice"], "left")
-        return every.select("key", "slice", over_slices("_part").over(before).alias("_carry"))
+        return parts.select("key", "slice", *[over_slices(f"_part_{name}").over(before).alias(f"_carry_{name}") for name in of_slice])
 
     def running_sum(self, value: Column, name: str) -> Sliced:
         """Add the sum of `value` over the key's rows so far."""
-        rows = self.rows.withColumn(name, F.sum(value).over(self.window()))
+        return self.running_sums({name: value})
+
+    def running_sums(self, values: dict[str, Column]) -> Sliced:
+        """Add, under each name, the sum of its value over the key's rows so far."""
+        window = self.window()
+        rows = self.rows.withColumns({name: F.sum(value).over(window) for name, value in values.items()})
         if self.slices is None:
             return self._replace(rows)
-        kind = rows.schema[name].dataType
+        kinds = {name: rows.schema[name].dataType for name in values}
         # both sides are hashed on (key, slice), which the window needs in any case
-        rows = rows.join(self._carried(self.rows, F.sum(value), F.sum), ["key", "slice"], "left")
-        parts = [F.col(name), F.col("_carry")]
-        if isinstance(kind, T.DecimalType):
-            # one digit less, or the sum would lose one of its decimal places
-            parts = [part.cast(T.DecimalType(min(kind.precision, 37), kind.scale)) for part in parts]
-        total = F.coalesce(parts[0] + parts[1], name, "_carry").cast(kind)
-        return self._replace(rows.withColumn(name, total).drop("_carry"))
+        carry = self._carried(self.rows, {name: F.sum(value) for name, value in values.items()}, F.sum)
+        rows = rows.join(carry, ["key", "slice"], "left")
+        totals = {}
+        for name, kind in kinds.items():
+            parts = [F.col(name), F.col(f"_carry_{name}")]
+            if isinstance(kind, T.DecimalType):
+                # one digit less, or the sum would lose one of its decimal places
+                parts = [part.cast(T.DecimalType(min(kind.precision, 37), kind.scale)) for part in parts]
+            totals[name] = F.coalesce(parts[0] + parts[1], name, f"_carry_{name}").cast(kind)
+        return self._replace(rows.withColumns(totals).drop(*[f"_carry_{name}" for name in values]))
 
     def running_last(self, value: Column, name: str, before_current: bool = False) -> Sliced:
         """Add the last non-null `value` among the key's rows so far, the current one included unless
@@ -72,13 +85,10 @@ class Sliced:
         inside = F.last(value, ignorenulls=True).over(window)
         if self.slices is None:
             return self._replace(self.rows.withColumn(name, inside))
-        carry = self._carried(
-            self.rows.where(value.isNotNull()),
-            F.max_by(value, F.struct(*self.order)),
-            lambda part: F.last(part, ignorenulls=True),
-        )
-        rows = self.rows.join(carry, ["key", "slice"], "left").withColumn(name, F.coalesce(inside, F.col("_carry")))
-        return self._replace(rows.drop("_carry"))
+        newest = F.max_by(value, F.when(value.isNotNull(), F.struct(*self.order)))
+        carry = self._carried(self.rows, {name: newest}, lambda part: F.last(part, ignorenulls=True))
+        rows = self.rows.join(carry, ["key", "slice"], "left").withColumn(name, F.coalesce(inside, F.col(f"_carry_{name}")))
+        return self._replace(rows.drop(f"_carry_{name}"))
 
     def result(self) -> DataFrame:
         return self.rows if self.slices is None else self.rows.drop("slice")
@@ -102,12 +112,17 @@ def sliced(
     order = tuple(order)
     measure = df if measure is None else measure
     counts = measure.groupBy("key").count().where(F.col("count") > rows_per_slice)
-    parts, hot = counts.agg(F.sum(F.ceil(F.col("count") / rows_per_slice)), F.sum("count")).first()
+    number, parts, hot = counts.agg(F.count(F.lit(1)), F.sum(F.ceil(F.col("count") / rows_per_slice)), F.sum("count")).first()
     if not parts:
         return Sliced(df, order)
-    keys = written(counts.select("key"), "hot-keys")
+
+    def small(by_key: DataFrame) -> DataFrame:
+        return F.broadcast(by_key) if number <= SENT_KEYS else by_key
+
+    keys = small(written(counts.select("key"), "hot-keys"))
     # short slices must not cost a task each: no more ranges than the session's tasks, or than their rows fill
-    ranges = min(int(parts), max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-hot // ROWS_PER_SLICE)))
+    tasks = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), max(RANGES, -(-hot // ROWS_PER_RANGE)))
+    ranges = min(int(parts), max(tasks, -(-hot // ROWS_PER_SLICE)))
     ranged = df.join(keys, "key", "left_semi").repartitionByRange(ranges, "key", *order).sortWithinPartitions("key", *order)
     # the number of a row: its range in the bits from 33 on, its place in the range below
     laid = written(ranged.withColumn("_row", F.monotonically_increasing_id()), "hot-rows")
@@ -117,7 +132,7 @@ def sliced(
     first = first.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
     first = written(first, "hot-ranges")
     place = F.col("_row") - F.col("_first") + F.col("_before")
-    cut = laid.join(first.drop("_rows"), ["key", "_range"]).withColumn("slice", F.floor(place / rows_per_slice))
+    cut = laid.join(small(first.drop("_rows")), ["key", "_range"]).withColumn("slice", F.floor(place / rows_per_slice))
     last = F.floor((F.sum("_rows") - 1) / rows_per_slice)
     slices = first.groupBy("key").agg(last.alias("_last")).select("key", F.explode(F.sequence(F.lit(0).cast("bigint"), "_last")).alias("slice"))
     rest = df.join(keys, "key", "left_anti").withColumn("slice", F.lit(-1).cast("bigint"))

@@ -39,7 +39,7 @@ def running_total(
     # larger doubles have no decimal places left, smaller ones none but those beyond DIGITS
     exact = F.when(F.abs(column).between(10.0**-DIGITS, EXACT_UP_TO), column.cast(f"decimal(38,{DIGITS})")).otherwise(F.lit(0).cast(f"decimal(38,{DIGITS})"))
     rest = column - exact.cast("double")
-    found = sliced(rows, rows_per_slice=rows_per_slice).running_sum(exact, "_exact").running_sum(rest, "_rest").result()
+    found = sliced(rows, rows_per_slice=rows_per_slice).running_sums({"_exact": exact, "_rest": rest}).result()
     return found.withColumn(name, F.col("_exact").cast("double") + F.col("_rest")).drop("_exact", "_rest")
 
 

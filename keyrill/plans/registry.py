@@ -273,8 +273,13 @@ def store_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streaming.read_store(spark, job).select("key", num("sum", "total"))
 
 
+def _prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders with what running totals read only: rows of hot keys are written, with all their columns."""
+    return ev.orders(table(spark, sf_dir, "events")).select("key", "price", "timestamp", "offset")
+
+
 def _running(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    rows = totals.running_total(ev.orders(table(spark, sf_dir, "events")), **options)
+    rows = totals.running_total(_prices(spark, sf_dir), **options)
     return rows.select("key", "offset", num("price", "price"), num("total", "total"))
 
 
@@ -298,7 +303,7 @@ def running_total_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _running_double(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    orders = ev.orders(table(spark, sf_dir, "events")).withColumn("price", F.col("price").cast("double") / 8)
+    orders = _prices(spark, sf_dir).withColumn("price", F.col("price").cast("double") / 8)
     return totals.running_total(orders, **options).select("key", "offset", "total")
 
 
@@ -347,7 +352,7 @@ def ordered_fold_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def running_total_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running totals of doubles among which are NaN, infinities, tiny and huge ones; each user's rows of one kind."""
-    orders = ev.orders(table(spark, sf_dir, "events"))
+    orders = _prices(spark, sf_dir)
     kind, user = F.col("offset") % 7, F.col("key").cast("bigint") % 4
     odd = F.when((user == 0) & (kind == 3), F.lit(float("nan"))).when((user == 1) & (kind == 3), F.lit(float("inf")))
     odd = odd.when(user == 2, F.lit(2.0**-60)).when((user == 3) & (kind == 3), F.lit(2.0**100))

@@ -9,6 +9,7 @@ from keyrill.operators.joins import enrich_asof
 from keyrill.operators.slices import sliced
 from keyrill.operators.totals import ordered_fold, running_total
 from keyrill.operators.windows import session_sum, session_sum_stream
+from keyrill.plans import registry
 from tests import data
 
 ROWS = 3_000
@@ -56,6 +57,45 @@ def test_short_slices_do_not_cost_a_task_each(skewed, spark):
     assert cut.rows.groupBy("key", "slice").count().agg(F.max("count")).first()[0] == 2
 
 
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_of_hot_keys_are_not_gathered_by_key(skewed, spark):
+    """A join hashed by key would put all rows of a hot key into one task."""
+    df, _ = skewed
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sliced(df, rows_per_slice=100).rows._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_few_rows_do_not_cost_many_tasks(skewed, spark):
+    df, _ = skewed
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        files = sum("/hot-rows-" in name for name in sliced(df, rows_per_slice=10).rows.inputFiles())
+        assert 1 < files <= 8
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_both_sums_of_doubles_are_carried_at_once(skewed):
+    df, _ = skewed
+    assert _plan(running_total(df.withColumn("v", F.col("v") / 8), "v", rows_per_slice=100)).count("LeftOuter") == 1
+
+
+def test_running_totals_write_no_columns_they_do_not_use(spark, tmp_path):
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("running_total_split", "running_total_double_split", "running_total_extremes"):
+        rows = [f for f in registry.QUERIES[name](spark, str(tmp_path)).inputFiles() if "/hot-rows-" in f]
+        assert rows and "order_id" not in spark.read.parquet(*rows).columns
+
+
 def test_plain_plan_without_hot_keys(skewed):
     df, _ = skewed
     assert sliced(df).slices is None
