@@ -90,6 +90,12 @@ class Sliced:
         rows = self.rows.join(carry, ["key", "slice"], "left").withColumn(name, F.coalesce(inside, F.col(f"_carry_{name}")))
         return self._replace(rows.drop(f"_carry_{name}"))
 
+    def carry_start(self, parts: DataFrame, name: str) -> DataFrame:
+        """`parts`, some rows of each slice by (key, slice, `name`), with the greatest `name` of the slices before where it is null."""
+        carry = self._carried(parts, {name: F.max(name)}, lambda part: F.last(part, ignorenulls=True))
+        parts = parts.join(carry, ["key", "slice"], "left").withColumn(name, F.coalesce(name, f"_carry_{name}"))
+        return parts.drop(f"_carry_{name}")
+
     def result(self) -> DataFrame:
         return self.rows if self.slices is None else self.rows.drop("slice")
 

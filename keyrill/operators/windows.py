@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keyrill.folders import written
 from keyrill.functions.instants import payload_time
 from keyrill.operators.records import keyed
 from keyrill.operators.slices import ROWS_PER_SLICE, sliced
@@ -45,21 +46,30 @@ def session_sum(
     """Count and sum per key and session; a pause of more than the gap starts a new one.
 
     The same sessions as `session_window`, whose streaming form is `session_sum_stream`; here a hot key is cut, and a
-    session is summed before the shuffle that gathers it.
+    session is summed in each slice before the shuffle that gathers it.
     """
     gap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(gap_minutes))
     rows = keyed(df).select("key", "timestamp", "offset", value.alias("_value"))
     cut = sliced(rows, rows_per_slice=rows_per_slice)
     cut = cut.running_last(F.col("timestamp"), "_previous", before_current=True)
     opens = F.col("_previous").isNull() | (F.col("timestamp") > F.col("_previous") + gap)
-    cut = cut.running_last(F.when(opens, F.col("timestamp")), "start")
+    start = F.last(F.when(opens, F.col("timestamp")), ignorenulls=True).over(cut.window())
+    parts = (
+        cut.rows.withColumn("start", start)
+        .groupBy(*cut.group, "start")
+        .agg(F.max("timestamp").alias("_newest"), F.count(F.lit(1)).alias("records"), F.sum("_value").alias(name))
+    )
+    if cut.slices is None:
+        return parts.select("key", "start", (F.col("_newest") + gap).alias("end"), "records", name)
+    kind = parts.schema[name].dataType
+    # sums of a slice; those of rows before the slice's first start belong to the session that came into it
+    parts = cut.carry_start(written(parts, "session-parts"), "start")
     return (
-        cut.result()
-        .groupBy("key", "start")
+        parts.groupBy("key", "start")
         .agg(
-            (F.max("timestamp") + gap).alias("end"),
-            F.count(F.lit(1)).alias("records"),
-            F.sum("_value").alias(name),
+            (F.max("_newest") + gap).alias("end"),
+            F.sum("records").alias("records"),
+            F.sum(name).cast(kind).alias(name),
         )
     )
 

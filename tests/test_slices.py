@@ -96,6 +96,14 @@ def test_running_totals_write_no_columns_they_do_not_use(spark, tmp_path):
         assert rows and "order_id" not in spark.read.parquet(*rows).columns
 
 
+def test_sessions_of_slices_are_summed_once(skewed):
+    df, rows = skewed
+    sums = session_sum(df, F.col("v").cast("decimal(18,2)"), 10, rows_per_slice=100)
+    assert any("/session-parts-" in name for name in sums.inputFiles())
+    assert sums.schema["total"].dataType == session_sum(df, F.col("v").cast("decimal(18,2)"), 10).schema["total"].dataType
+    assert sums.agg(F.sum("records")).first()[0] == len(rows)
+
+
 def test_plain_plan_without_hot_keys(skewed):
     df, _ = skewed
     assert sliced(df).slices is None
