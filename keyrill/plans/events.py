@@ -46,16 +46,27 @@ def staged_events(spark: SparkSession, session: SparkSession, sf_dir: str) -> Da
     """The events as a stream that brings them in several micro-batches and out of order, up to LATE_MINUTES late.
 
     Each event arrives some time after it happened, by a hash of its id; the time of arrival is cut into STAGES parts, written one after
-    the other, and each file is a micro-batch.
+    the other, and each part is a micro-batch, whatever the size of the table: all have as many files as the table has input
+    partitions. Were a part cut into several micro-batches, the watermark would pass events of the later ones.
     """
     folder = work_folder(spark, "events")
     late = F.pmod(F.xxhash64("event_id"), F.lit(LATE_MINUTES * 60))
     events = table(spark, sf_dir, "events").withColumn("_at", F.unix_micros(utc("ts")) + late * 1_000_000)
     low, high = events.agg(F.min("_at"), F.max("_at")).first()
     stage = F.least(F.floor((F.col("_at") - F.lit(low)) * STAGES / F.lit(max(1, (high or 0) - (low or 0)))), F.lit(STAGES - 1))
+    files = max(1, events.rdd.getNumPartitions())
+    nothing = spark.createDataFrame([], EVENTS).coalesce(1)
+
+    def write(rows: DataFrame) -> int:
+        rows.write.mode("append").option("maxRecordsPerFile", 0).parquet(folder)
+        return len(spark.read.schema(EVENTS).parquet(folder).inputFiles())
+
     for number in range(STAGES):
-        events.where(stage == number).drop("_at").write.mode("append").parquet(folder)
-    return session.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(folder)
+        rows = events.where(stage == number).drop("_at")
+        found = write(rows.repartition(files) if files > 1 else rows)
+        while found < files * (number + 1):  # partitions without rows have no file
+            found = write(nothing)
+    return session.readStream.schema(EVENTS).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def props_k() -> Column:

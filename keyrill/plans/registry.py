@@ -367,6 +367,7 @@ def running_total_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ordered_fold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same fold on a stream of several micro-batches with rows out of order; up to the watermark."""
     stream = ev.orders(ev.staged_events(spark, job_session(spark), sf_dir)).withColumn("amount", (F.col("price") * 100).cast("bigint"))
+    stream = stream.select("key", "amount", "timestamp", "offset")  # what is not used would wait in the state
     modulus, base = MODULUS, BASE
     step = Fold("amount", (0,), "fingerprint bigint", lambda state, amount: ((state[0] * base + amount) % modulus,))
     folds = streaming.run_step(spark, Job.fresh(spark, "fold"), stream, step, DELAY)
@@ -376,7 +377,7 @@ def ordered_fold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def silence_alarms_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An alarm for each user of whom nothing was heard for a day; up to the watermark."""
-    stream = ev.orders(ev.staged_events(spark, job_session(spark), sf_dir))
+    stream = ev.orders(ev.staged_events(spark, job_session(spark), sf_dir)).select("key", "timestamp", "offset")
     return streaming.run_step(spark, Job.fresh(spark, "silence"), stream, Silence(SILENCE_HOURS * 3_600_000_000), DELAY)
 
 
@@ -467,7 +468,8 @@ def enrich_asof_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Over several micro-batches, with records and updates out of order; up to the watermark."""
     events = ev.staged_events(spark, job_session(spark), sf_dir)
     job = Job.fresh(spark, "enrich_asof")
-    rows = streaming.run_enrich(spark, job, ev.orders(events, "click"), ev.users(events), {"name": ""}, "name", DELAY)
+    clicks = ev.orders(events, "click").select("key", "price", "timestamp", "offset")
+    rows = streaming.run_enrich(spark, job, clicks, ev.users(events), {"name": ""}, "name", DELAY)
     return rows.select("key", "offset", num("price", "price"), "name")
 
 

@@ -1,5 +1,6 @@
 """Streams equal batch, resume where they stopped, and may repeat a batch."""
 
+import datetime
 import time
 from decimal import Decimal
 
@@ -14,6 +15,7 @@ from keyrill.operators.records import tap
 from keyrill.operators.rollups import windowed_rollup
 from keyrill.operators.totals import total_by_key
 from keyrill.operators.windows import session_sum, tumbling_sum
+from keyrill.plans import events as ev
 from keyrill.plans.pipelines import combined_orders, join_orders, order_numbers
 from keyrill.sources.topics import Topic
 from keyrill.streaming import pipelines as streaming
@@ -398,3 +400,26 @@ def test_calls_of_the_state_do_not_grow_with_the_keys(spark):
     assert {(r.key, r.total) for r in sent if r.at_us == 3_000} == {(f"k{k}", 123) for k in range(100)}
     assert len(sent) == 300  # what the watermark has not passed waits
     assert len(handle.calls) < 25
+
+
+@pytest.mark.parametrize("files", [1, 4])
+def test_staged_events_of_many_files_are_as_many_batches(spark, tmp_path, files):
+    """Each file has events of all times: cut by files, a part's later batches would come after its watermark."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(files).write.parquet(str(tmp_path / "events.parquet"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")  # each file is a partition of its own
+    try:
+        stream = ev.staged_events(spark, job_session(spark), str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    seen = []
+
+    def write(batch, number):
+        rows = batch.select(F.min("ts"), F.max("ts"), F.count("*")).first()
+        seen.append(tuple(rows))
+
+    finish(Job("staged", str(tmp_path / "job")).for_each_batch(stream, write, "append"))
+    assert len(seen) == ev.STAGES
+    assert sum(rows for _, _, rows in seen) == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+    for (_, newest, _), (oldest, _, _) in zip(seen, seen[1:]):
+        assert oldest >= newest - datetime.timedelta(minutes=ev.LATE_MINUTES)
