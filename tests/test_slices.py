@@ -90,7 +90,11 @@ def test_both_sums_of_doubles_are_carried_at_once(skewed):
 
 
 def test_running_totals_write_no_columns_they_do_not_use(spark, tmp_path):
-    spark.read.parquet("/root/testdata/sf0.001/events.parquet").write.parquet(str(tmp_path / "events.parquet"))
+    events = spark.range(200).selectExpr(
+        "id event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, id * 7) ts", "id % 4 user_id", "'click' event_type",
+        "double(id) value", "'{\"k\": 1}' props",
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
     for name in ("running_total_split", "running_total_double_split", "running_total_extremes"):
         rows = [f for f in registry.QUERIES[name](spark, str(tmp_path)).inputFiles() if "/hot-rows-" in f]
         assert rows and "order_id" not in spark.read.parquet(*rows).columns

@@ -406,7 +406,11 @@ def test_calls_of_the_state_do_not_grow_with_the_keys(spark):
 def test_staged_events_of_many_files_are_as_many_batches(spark, tmp_path, files):
     """Each file has events of all times: cut by files, a part's later batches would come after its watermark."""
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(files).write.parquet(str(tmp_path / "events.parquet"))
+    events = spark.range(1000).selectExpr(
+        "id event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, id * 7) ts", "id % 9 user_id", "'click' event_type",
+        "double(id) value", "'{\"k\": 1}' props",
+    )
+    events.repartition(files).write.parquet(str(tmp_path / "events.parquet"))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")  # each file is a partition of its own
     try:
         stream = ev.staged_events(spark, job_session(spark), str(tmp_path))
@@ -420,6 +424,6 @@ def test_staged_events_of_many_files_are_as_many_batches(spark, tmp_path, files)
 
     finish(Job("staged", str(tmp_path / "job")).for_each_batch(stream, write, "append"))
     assert len(seen) == ev.STAGES
-    assert sum(rows for _, _, rows in seen) == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+    assert sum(rows for _, _, rows in seen) == 1000
     for (_, newest, _), (oldest, _, _) in zip(seen, seen[1:]):
         assert oldest >= newest - datetime.timedelta(minutes=ev.LATE_MINUTES)
