@@ -7,7 +7,9 @@ the window. Long sequences are scored in windows that overlap, each symbol once.
 from __future__ import annotations
 
 import hashlib
-from dataclasses import dataclass
+import math
+from dataclasses import dataclass, fields
+from functools import cached_property
 
 import numpy as np
 
@@ -15,6 +17,7 @@ WINDOW = 32
 STEP = 24
 _WIDTH = 16
 _BLOCKED = np.float32(-1e9)
+_SAFE = 60
 
 
 @dataclass(frozen=True)
@@ -46,15 +49,44 @@ class Attention:
         mixed = weights @ v
         return h, q, k, v, weights, mixed, h + mixed @ self.outward
 
+    @cached_property
+    def _tables(self):
+        """For each symbol at each place: its hidden vector, query, key, and what it gives to a place that attends to it, with a 1; and
+        whether exponentials of weights and of logits can neither overflow nor vanish."""
+        d = self.places.shape[1]
+        h = (self.embedding[:, None] + self.places).reshape(-1, d)
+        q, k, v = np.split(h @ self.inward, 3, axis=1)
+        q, v = q * np.float32(d**-0.5), v @ self.outward
+        longest = [float(np.linalg.norm(a, axis=1).max()) for a in (h, q, k, v, self.head.T)]
+        safe = longest[1] * longest[2] < _SAFE, (longest[0] + longest[3]) * longest[4] < _SAFE
+        return np.concatenate([h, q, k, v, np.ones((len(h), 1), np.float32)], axis=1), np.exp(self.offset), safe
+
     def log_probabilities(self, x: np.ndarray, wanted: np.ndarray, skip: int) -> np.ndarray:
         """Natural log of the probability of `wanted` at each position of windows x from `skip` on."""
-        logits = self._hidden(x)[-1][:, skip:] @ self.head + self.offset
-        logits -= logits.max(axis=2, keepdims=True)
-        found = np.take_along_axis(logits, wanted[:, skip:, None].astype(np.intp), axis=2)[..., 0]
+        table, share, (safe_weights, safe_logits) = self._tables
+        d, n = self.places.shape[1], x.shape[1]
+        row = table[x * len(self.places) + np.arange(n)]
+        weights = row[:, skip:, d : 2 * d] @ row[..., 2 * d : 3 * d].transpose(0, 2, 1)
+        if not safe_weights:
+            weights += np.triu(np.full((n, n), _BLOCKED), 1)[skip:]
+            weights -= weights.max(axis=2, keepdims=True)
+        np.exp(weights, out=weights)
+        weights *= np.tri(n, dtype=np.float32)[skip:]
+        given = weights @ row[..., 3 * d :]
+        out = row[:, skip:, :d] + given[..., :d] / given[..., d:]
+        logits = out.reshape(-1, d) @ self.head
+        if not safe_logits:
+            logits += self.offset
+            logits -= logits.max(axis=1, keepdims=True)
+            share, offset = np.ones_like(share), np.zeros_like(share)
+        else:
+            offset = self.offset
+        wanted = wanted[:, skip:].reshape(-1)
+        found = logits[np.arange(len(wanted)), wanted] + offset[wanted]
         np.exp(logits, out=logits)
-        return found - np.log(logits.sum(axis=2))
+        return (found - np.log(logits @ share)).reshape(len(x), -1)
 
-    def score(self, sequence: np.ndarray, first: np.ndarray, run: int = 512) -> np.ndarray:
+    def score(self, sequence: np.ndarray, first: np.ndarray, run: int = 96) -> np.ndarray:
         """The log probability of every symbol of the sequences that begin at `first` (whose last entry is the end of all)."""
         sizes = np.diff(first)
         given = np.empty(len(sequence), np.int64)
@@ -78,47 +110,130 @@ class Attention:
         return out
 
 
-def train(sequence: np.ndarray, first: np.ndarray, symbols: int, offset: np.ndarray, steps: int = 900, batch: int = 48, rate: float = 0.006) -> Attention:
-    """Fit to windows at random places of the sequences by Adam; `offset` starts as the log frequencies of the symbols."""
+def begun(symbols: int, offset: np.ndarray) -> Attention:
+    """An untrained model; `offset` are the log frequencies of the symbols."""
     rng = np.random.default_rng(10)
     d = _WIDTH
     shapes = [(symbols + 1, d), (WINDOW, d), (d, 3 * d), (d, d), (d, symbols)]
     parameters = [rng.normal(0, s, shape) for s, shape in zip((0.3, 0.1, 0.25, 0.1, 0.1), shapes)] + [offset]
-    parameters = [p.astype(np.float32) for p in parameters]
-    if len(sequence) < 2:
-        return Attention(symbols, *parameters)
-    given = np.concatenate([[symbols], sequence[:-1]]).astype(np.int64)
-    given[first[:-1][np.diff(first) > 0]] = symbols
-    owner_end = np.repeat(first[1:], np.diff(first))
-    # a window begins where a sequence does or at any place in it
-    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in parameters]
-    for step in range(1, steps + 1):
-        begins = rng.integers(0, len(sequence), batch)
-        begins[: batch // 4] = rng.choice(first[:-1][np.diff(first) > 0], batch // 4)
-        places = begins[:, None] + np.arange(WINDOW)
-        inside = places < owner_end[begins][:, None]
-        places = np.minimum(places, len(sequence) - 1)
-        x, y = given[places], sequence[places].astype(np.intp)
-        model = Attention(symbols, *parameters)
-        h, q, k, v, weights, mixed, out = model._hidden(x)
-        wrong = out @ model.head + model.offset
-        wrong = np.exp(wrong - wrong.max(axis=2, keepdims=True))
-        wrong /= wrong.sum(axis=2, keepdims=True)
-        np.put_along_axis(wrong, y[..., None], np.take_along_axis(wrong, y[..., None], 2) - 1, 2)
-        wrong *= (inside / max(1, inside.sum()))[..., None].astype(np.float32)
-        flat = lambda a: a.reshape(-1, a.shape[-1])
-        back = wrong @ model.head.T
+    return Attention(symbols, *(p.astype(np.float32) for p in parameters))
+
+
+def windows_of(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where windows begin that cover each place of the sequences once, and where their sequences end."""
+    counts = -(-np.diff(first) // WINDOW)
+    nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.repeat(first[:-1], counts) + nth * WINDOW, np.repeat(first[1:], counts)
+
+
+class _Gradients:
+    """Of the mean loss of predicting y, where `inside`, from windows x of a model; arrays are made once and used again."""
+
+    def __init__(self, model: Attention) -> None:
+        self.model, self.arrays = model, {}
+
+    def _array(self, name: str, *shape: int) -> np.ndarray:
+        kept = self.arrays.get(name)
+        if kept is None or kept.shape != shape:
+            kept = self.arrays[name] = np.empty(shape, np.float32)
+        return kept
+
+    def _exp(self, a: np.ndarray, longest: np.ndarray, other: np.ndarray, offset: np.ndarray) -> None:
+        """In place, of products of rows of two matrices; where these are long, less the greatest of a row of a + offset."""
+        if np.einsum("ij,ij->i", longest, longest).max() * np.einsum("ij,ij->i", other, other).max() > _SAFE**2:
+            a -= (a + offset).max(axis=-1, keepdims=True)
+            np.minimum(a, _SAFE, out=a)  # of blocked places
+        np.exp(a, out=a)
+
+    def __call__(self, x: np.ndarray, y: np.ndarray, inside: np.ndarray) -> list[np.ndarray]:
+        model, (n, w), d, a = self.model, x.shape, self.model.places.shape[1], self._array
+        h = np.take(model.embedding, x, axis=0, out=a("h", n, w, d), mode="clip")
+        h += model.places[:w]
+        h = h.reshape(-1, d)
+        projected = np.matmul(h, model.inward, out=a("projected", n * w, 3 * d))
+        projected[:, :d] *= np.float32(d**-0.5)
+        q, k, v = (projected.reshape(n, w, 3 * d)[..., i : i + d] for i in (0, d, 2 * d))
+        weights = np.matmul(q, k.transpose(0, 2, 1), out=a("weights", n, w, w))
+        self._exp(weights, projected[:, :d], projected[:, d : 2 * d], np.triu(np.full((w, w), _BLOCKED), 1))
+        weights *= np.tri(w, dtype=np.float32)
+        weights *= 1 / (weights.reshape(-1, w) @ np.ones(w, np.float32)).reshape(n, w, 1)
+        mixed = np.matmul(weights, v, out=a("mixed", n, w, d)).reshape(-1, d)
+        out = np.matmul(mixed, model.outward, out=a("out", n * w, d))
+        out += h
+        wrong = np.matmul(out, model.head, out=a("wrong", n * w, model.symbols))
+        share = np.exp(model.offset)
+        self._exp(wrong, out, model.head.T, model.offset)
+        part = (inside / np.float32(max(1, inside.sum()))).reshape(-1).astype(np.float32)
+        part_of = part / (wrong @ share + np.float32(1e-30))
+        # a symbol's share of the sum is its exponential times that of its offset, which is left to the small products
+        wrong *= part_of[:, None]
+        y = y.reshape(-1)
+        wrong.reshape(-1)[np.arange(n * w) * model.symbols + y] -= part / share[y]
+        back = np.matmul(wrong, (model.head * share).T, out=a("back", n * w, d))
         d_mixed = back @ model.outward.T
-        d_weights = d_mixed @ v.transpose(0, 2, 1)
-        d_scores = weights * (d_weights - (d_weights * weights).sum(axis=2, keepdims=True)) * np.float32(d**-0.5)
-        d_projected = np.concatenate([d_scores @ k, d_scores.transpose(0, 2, 1) @ q, weights.transpose(0, 2, 1) @ d_mixed], axis=2)
-        d_h = back + d_projected @ model.inward.T
-        d_embedding = np.zeros_like(model.embedding)
-        np.add.at(d_embedding, x.reshape(-1), flat(d_h))
-        gradients = [d_embedding, d_h.sum(axis=0), flat(h).T @ flat(d_projected), flat(mixed).T @ flat(back), flat(out).T @ flat(wrong), wrong.sum(axis=(0, 1))]
-        pace = rate * min(1, 2 * (1 - step / (steps + 1)))
-        for p, g, (m, s) in zip(parameters, gradients, moments):
-            m += 0.1 * (g - m)
-            s += 0.005 * (g * g - s)
-            p -= pace * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.995**step)) + 1e-8)
-    return Attention(symbols, *parameters)
+        d_scores = np.matmul(d_mixed.reshape(n, w, d), v.transpose(0, 2, 1), out=a("d_scores", n, w, w))
+        d_scores -= np.einsum("ij,ij->i", d_mixed, mixed).reshape(n, w, 1)
+        d_scores *= weights
+        d_projected = a("d_projected", n, w, 3 * d)
+        np.matmul(d_scores, k, out=d_projected[..., :d])
+        np.matmul(d_scores.transpose(0, 2, 1), q, out=d_projected[..., d : 2 * d])
+        np.matmul(weights.transpose(0, 2, 1), d_mixed.reshape(n, w, d), out=d_projected[..., 2 * d :])
+        d_projected[..., :d] *= np.float32(d**-0.5)
+        d_projected = d_projected.reshape(-1, 3 * d)
+        d_h = np.matmul(d_projected, model.inward.T, out=a("d_h", n * w, d))
+        d_h += back
+        places = np.zeros_like(model.places)
+        places[:w] = d_h.reshape(n, w, d).sum(axis=0)
+        order = np.argsort(x, axis=None, kind="stable")
+        in_order = x.reshape(-1)[order]
+        begins = np.flatnonzero(np.diff(in_order, prepend=in_order[0] + 1))
+        embedding = np.zeros_like(model.embedding)
+        embedding[in_order[begins]] = np.add.reduceat(d_h[order], begins, axis=0)
+        return [embedding, places, h.T @ d_projected, mixed.T @ back, (wrong.T @ out).T * share, (np.ones(n * w, np.float32) @ wrong) * share]
+
+
+def fitted(model: Attention, sequence: np.ndarray, first: np.ndarray, steps: int = 1, batch: int = 48, rate: float = 0.006, seed: int = 10) -> Attention:
+    """The model after all windows of the sequences, in random order, by Adam: once, or as often as gives `steps` steps."""
+    begins, ends = windows_of(first)
+    if not len(begins):
+        return model
+    rng = np.random.default_rng(seed)
+    kind = np.min_scalar_type(model.symbols)
+    sequence = sequence.astype(kind)
+    given = np.concatenate([np.array([model.symbols], kind), sequence[:-1]])
+    given[first[:-1][np.diff(first) > 0]] = model.symbols
+    places = np.minimum(begins[:, None] + np.arange(WINDOW), len(sequence) - 1)
+    x, y, sizes = given[places], sequence[places], ends - begins
+    # the parameters are parts of one array, so that a step is a few operations on it
+    flat = packed(model)
+    model = unpacked(model, flat)
+    gradients, mean, square = _Gradients(model), np.zeros_like(flat), np.zeros_like(flat)
+    a_pass = -(-len(begins) // batch)
+    total, step = a_pass * -(-max(1, steps) // a_pass), 0
+    while step < total:
+        order = rng.permutation(len(begins))
+        for at in range(0, len(order), batch):
+            chosen = order[at : at + batch]
+            step += 1
+            pace = rate * min(1, 2 * (1 - step / (total + 1)))
+            g = np.concatenate([p.reshape(-1) for p in gradients(x[chosen], y[chosen], np.arange(WINDOW) < sizes[chosen, None])], dtype=np.float32, casting="same_kind")
+            mean += np.float32(0.1) * (g - mean)
+            square += np.float32(0.005) * (g * g - square)
+            flat -= np.float32(pace / (1 - 0.9**step)) * mean / (np.sqrt(square / np.float32(1 - 0.995**step)) + np.float32(1e-8))
+    return model
+
+
+def packed(model: Attention) -> np.ndarray:
+    return np.concatenate([getattr(model, f.name).reshape(-1) for f in fields(model)[1:]])
+
+
+def unpacked(like: Attention, flat: np.ndarray) -> Attention:
+    """The model whose parameters are the parts of `flat`, with the shapes of another's."""
+    shapes = [getattr(like, f.name).shape for f in fields(like)[1:]]
+    parts = np.split(flat, np.cumsum([math.prod(shape) for shape in shapes])[:-1])
+    return Attention(like.symbols, *(part.reshape(shape) for part, shape in zip(parts, shapes)))
+
+
+def train(sequence: np.ndarray, first: np.ndarray, symbols: int, offset: np.ndarray, steps: int = 900, batch: int = 48, rate: float = 0.006) -> Attention:
+    """A model fitted to these sequences alone."""
+    return fitted(begun(symbols, offset), sequence, first, steps, batch, rate)

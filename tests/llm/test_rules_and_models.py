@@ -11,6 +11,7 @@ import public_tokenizers
 import pytest
 
 from keyrill.llm import attention, language_id, language_model, quality
+from keyrill.llm.tokenizing import token_ids
 from tests.llm.helpers import SF, awkward_rows, multiset, prose, table, words
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -201,6 +202,66 @@ def test_scores_with_nothing_to_learn_from(spark):
     assert language_model.score_texts(table(spark, []), TOKENIZER).count() == 0
 
 
+CYCLES = ("one two three four five six ", "red green blue white black brown ")
+
+
+def _score_of_cycles(spark, learned, **sizes):
+    """log10 probabilities a word of held-out texts that go through either cycle."""
+    held_out = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    free = [i for i in range(1000, 3000) if zlib.crc32(str(i).encode()) % 7 != 2]
+    rows = [*zip(free, learned), *zip(held_out, (c * 20 for c in CYCLES))]
+    found = language_model.score_texts(table(spark, rows), TOKENIZER, **sizes).where("held_out").orderBy("doc_id").collect()
+    return [r["score"] / r["n_tokens"] for r in found]
+
+
+def test_model_learns_from_every_place_of_a_long_text(spark):
+    # a piece of the text would show one of the cycles only
+    assert min(_score_of_cycles(spark, ["".join(c * 3000 for c in CYCLES)])) > -0.6
+
+
+def test_model_learns_in_rounds_of_files(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "RUN_TOKENS", 10_000)
+    assert min(_score_of_cycles(spark, [CYCLES[i % 2] * 150 for i in range(60)], file_bytes=6000)) > -0.6
+
+
+def test_ids_of_words_that_share_a_slot(monkeypatch):
+    monkeypatch.setattr(language_model, "_SLOT_BITS", 3)
+    word_ids, rng = language_model.WordIds(TOKENIZER), np.random.default_rng(4)
+    vocabulary = ["a", "the", "token", "straße", "supercalifragilisticexpialidocious" * 4, "été", "b", "words", "\u00a0", "#1"]
+    for _ in range(6):
+        words = sorted({vocabulary[i] for i in rng.integers(0, len(vocabulary), 6)})
+        hashes = np.array([zlib.crc32(w.encode()) << 32 for w in words], np.uint64)
+        order = np.argsort(hashes)
+        words = [words[i] for i in order]
+        ids, first = word_ids(hashes[order], lambda places: [words[i] for i in places])
+        expected = token_ids(TOKENIZER).encode(words)
+        assert [ids[a:b].astype("<u4").tobytes() for a, b in zip(first, first[1:])] == expected
+
+
+@pytest.mark.parametrize("size", [1, 30])
+def test_attention_gradients(size):
+    rng = np.random.default_rng(6)
+    model = attention.begun(5, np.log(np.full(5, 0.2)))
+    model = attention.unpacked(model, attention.packed(model) * size)
+    x, y = rng.integers(0, 6, (3, 7)), rng.integers(0, 5, (3, 7))
+    h, *_, out = model._hidden(x)
+    logits = (out @ model.head + model.offset).astype(np.float64)
+    logits -= logits.max(axis=2, keepdims=True)
+    expected = np.take_along_axis(logits, y[..., None], 2)[..., 0] - np.log(np.exp(logits).sum(axis=2))
+    assert np.allclose(model.log_probabilities(x, y, 0), expected, atol=1e-3, rtol=1e-3)  # large weights overflow nothing
+    inside, flat = rng.random((3, 7)) < 0.7, attention.packed(model)
+    found = np.concatenate([np.ravel(g) for g in attention._Gradients(model)(x, y, inside)])
+    assert np.isfinite(found).all()
+    if size == 1:
+        for place in rng.integers(0, len(flat), 60):
+            loss = []
+            for step in (-1e-2, 1e-2):
+                moved = flat.copy()
+                moved[place] += step
+                loss.append(-attention.unpacked(model, moved).log_probabilities(x, y, 0)[inside].mean())
+            assert abs((loss[1] - loss[0]) / 2e-2 - found[place]) < 1e-3
+
+
 def test_model_is_better_than_its_base_on_held_out_texts(spark):
     import __spark_entry__ as entry
 
