@@ -20,6 +20,19 @@ _BLOCKED = np.float32(-1e9)
 _SAFE = 60
 
 
+class _Arrays:
+    """Arrays that are made once and used again: fresh ones of this size would have their memory mapped anew each time."""
+
+    def __init__(self) -> None:
+        self.kept: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, *shape: int) -> np.ndarray:
+        size, kept = math.prod(shape), self.kept.get(name)
+        if kept is None or kept.size < size:
+            kept = self.kept[name] = np.empty(size, np.float32)
+        return kept[:size].reshape(shape)
+
+
 @dataclass(frozen=True)
 class Attention:
     """Predicts each symbol from those before it; symbol number `symbols` stands before a sequence."""
@@ -61,30 +74,30 @@ class Attention:
         safe = longest[1] * longest[2] < _SAFE, (longest[0] + longest[3]) * longest[4] < _SAFE
         return np.concatenate([h, q, k, v, np.ones((len(h), 1), np.float32)], axis=1), np.exp(self.offset), safe
 
-    def log_probabilities(self, x: np.ndarray, wanted: np.ndarray, skip: int) -> np.ndarray:
+    def log_probabilities(self, x: np.ndarray, wanted: np.ndarray, skip: int, arrays: _Arrays | None = None) -> np.ndarray:
         """Natural log of the probability of `wanted` at each position of windows x from `skip` on."""
         table, share, (safe_weights, safe_logits) = self._tables
-        d, n = self.places.shape[1], x.shape[1]
-        row = table[x * len(self.places) + np.arange(n)]
-        weights = row[:, skip:, d : 2 * d] @ row[..., 2 * d : 3 * d].transpose(0, 2, 1)
+        (m, n), d, a = x.shape, self.places.shape[1], arrays or _Arrays()
+        row = np.take(table, x * len(self.places) + np.arange(n), axis=0, out=a("row", m, n, table.shape[1]), mode="clip")
+        weights = np.matmul(row[:, skip:, d : 2 * d], row[..., 2 * d : 3 * d].transpose(0, 2, 1), out=a("weights", m, n - skip, n))
         if not safe_weights:
             weights += np.triu(np.full((n, n), _BLOCKED), 1)[skip:]
             weights -= weights.max(axis=2, keepdims=True)
         np.exp(weights, out=weights)
         weights *= np.tri(n, dtype=np.float32)[skip:]
-        given = weights @ row[..., 3 * d :]
-        out = row[:, skip:, :d] + given[..., :d] / given[..., d:]
-        logits = out.reshape(-1, d) @ self.head
+        given = np.matmul(weights, row[..., 3 * d :], out=a("given", m, n - skip, d + 1))
+        out = np.divide(given[..., :d], given[..., d:], out=a("out", m, n - skip, d))
+        out += row[:, skip:, :d]
+        logits = np.matmul(out.reshape(-1, d), self.head, out=a("logits", m * (n - skip), self.symbols))
+        offset = self.offset
         if not safe_logits:
-            logits += self.offset
+            logits += offset
             logits -= logits.max(axis=1, keepdims=True)
-            share, offset = np.ones_like(share), np.zeros_like(share)
-        else:
-            offset = self.offset
+            share, offset = np.ones_like(share), np.zeros_like(offset)
         wanted = wanted[:, skip:].reshape(-1)
-        found = logits[np.arange(len(wanted)), wanted] + offset[wanted]
+        found = logits.reshape(-1)[np.arange(len(wanted)) * self.symbols + wanted] + offset[wanted]
         np.exp(logits, out=logits)
-        return (found - np.log(logits @ share)).reshape(len(x), -1)
+        return (found - np.log(logits @ share)).reshape(m, -1)
 
     def score(self, sequence: np.ndarray, first: np.ndarray, run: int = 96) -> np.ndarray:
         """The log probability of every symbol of the sequences that begin at `first` (whose last entry is the end of all)."""
@@ -92,7 +105,7 @@ class Attention:
         given = np.empty(len(sequence), np.int64)
         given[1:] = sequence[:-1]
         given[first[:-1][sizes > 0]] = self.symbols
-        out = np.zeros(len(sequence), np.float32)
+        out, arrays = np.zeros(len(sequence), np.float32), _Arrays()
         for later in (False, True):
             # the first window of a sequence scores all its positions, a later one only those that no other does
             counts = -(-np.maximum(sizes - WINDOW, 0) // STEP) if later else (sizes > 0).astype(np.int64)
@@ -104,7 +117,7 @@ class Attention:
                 places = begins[at : at + run, None] + np.arange(WINDOW)
                 inside = places < ends[at : at + run, None]
                 places = np.minimum(places, len(sequence) - 1)
-                found = self.log_probabilities(given[places], sequence[places], skip)
+                found = self.log_probabilities(given[places], sequence[places], skip, arrays)
                 inside = inside[:, skip:]
                 out[places[:, skip:][inside]] = found[inside]
         return out
@@ -127,16 +140,10 @@ def windows_of(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Gradients:
-    """Of the mean loss of predicting y, where `inside`, from windows x of a model; arrays are made once and used again."""
+    """Of the mean loss of predicting y, where `inside`, from windows x of a model."""
 
     def __init__(self, model: Attention) -> None:
-        self.model, self.arrays = model, {}
-
-    def _array(self, name: str, *shape: int) -> np.ndarray:
-        kept = self.arrays.get(name)
-        if kept is None or kept.shape != shape:
-            kept = self.arrays[name] = np.empty(shape, np.float32)
-        return kept
+        self.model, self.arrays = model, _Arrays()
 
     def _exp(self, a: np.ndarray, longest: np.ndarray, other: np.ndarray, offset: np.ndarray) -> None:
         """In place, of products of rows of two matrices; where these are long, less the greatest of a row of a + offset."""
@@ -146,7 +153,7 @@ class _Gradients:
         np.exp(a, out=a)
 
     def __call__(self, x: np.ndarray, y: np.ndarray, inside: np.ndarray) -> list[np.ndarray]:
-        model, (n, w), d, a = self.model, x.shape, self.model.places.shape[1], self._array
+        model, (n, w), d, a = self.model, x.shape, self.model.places.shape[1], self.arrays
         h = np.take(model.embedding, x, axis=0, out=a("h", n, w, d), mode="clip")
         h += model.places[:w]
         h = h.reshape(-1, d)
