@@ -9,7 +9,7 @@ from __future__ import annotations
 import hashlib
 import math
 from dataclasses import dataclass, fields
-from functools import cached_property
+from functools import cache, cached_property
 
 import numpy as np
 
@@ -18,6 +18,20 @@ STEP = 24
 _WIDTH = 16
 _BLOCKED = np.float32(-1e9)
 _SAFE = 60
+_ROWS = 256
+# powers of two cost half of what powers of e do; factors of what is raised are multiplied by this
+_BITS = np.float32(1 / math.log(2))
+
+
+@cache
+def _allowed(width: int) -> np.ndarray:
+    """1 where a place may attend to another, else 0."""
+    return np.tri(width, dtype=np.float32)
+
+
+@cache
+def _blocked(width: int) -> np.ndarray:
+    return np.triu(np.full((width, width), _BLOCKED), 1)
 
 
 class _Arrays:
@@ -64,7 +78,7 @@ class Attention:
 
     @cached_property
     def _tables(self):
-        """For each symbol at each place: its hidden vector, query, key, and what it gives to a place that attends to it, with a 1; and
+        """For each symbol at each place: its hidden vector and query; its key, and what it gives to a place that attends to it, with a 1; and
         whether exponentials of weights and of logits can neither overflow nor vanish."""
         d = self.places.shape[1]
         h = (self.embedding[:, None] + self.places).reshape(-1, d)
@@ -72,31 +86,36 @@ class Attention:
         q, v = q * np.float32(d**-0.5), v @ self.outward
         longest = [float(np.linalg.norm(a, axis=1).max()) for a in (h, q, k, v, self.head.T)]
         safe = longest[1] * longest[2] < _SAFE, (longest[0] + longest[3]) * longest[4] < _SAFE
-        return np.concatenate([h, q, k, v, np.ones((len(h), 1), np.float32)], axis=1), np.exp(self.offset), safe
+        asking, asked = np.concatenate([h, q * _BITS], axis=1), np.concatenate([k, v, np.ones((len(h), 1), np.float32)], axis=1)
+        return asking, asked, self.head * _BITS, np.exp(self.offset), safe
 
     def log_probabilities(self, x: np.ndarray, wanted: np.ndarray, skip: int, arrays: _Arrays | None = None) -> np.ndarray:
         """Natural log of the probability of `wanted` at each position of windows x from `skip` on."""
-        table, share, (safe_weights, safe_logits) = self._tables
+        asking, asked, head, share, (safe_weights, safe_logits) = self._tables
         (m, n), d, a = x.shape, self.places.shape[1], arrays or _Arrays()
-        row = np.take(table, x * len(self.places) + np.arange(n), axis=0, out=a("row", m, n, table.shape[1]), mode="clip")
-        weights = np.matmul(row[:, skip:, d : 2 * d], row[..., 2 * d : 3 * d].transpose(0, 2, 1), out=a("weights", m, n - skip, n))
+        at = x * len(self.places) + np.arange(n)
+        asking = np.take(asking, at[:, skip:], axis=0, out=a("asking", m, n - skip, 2 * d), mode="clip")
+        asked = np.take(asked, at, axis=0, out=a("asked", m, n, 2 * d + 1), mode="clip")
+        keys = a("keys", m, d, n)
+        keys[...] = asked[..., :d].transpose(0, 2, 1)
+        weights = np.matmul(asking[..., d:], keys, out=a("weights", m, n - skip, n))
         if not safe_weights:
-            weights += np.triu(np.full((n, n), _BLOCKED), 1)[skip:]
+            weights += _blocked(n)[skip:]
             weights -= weights.max(axis=2, keepdims=True)
-        np.exp(weights, out=weights)
-        weights *= np.tri(n, dtype=np.float32)[skip:]
-        given = np.matmul(weights, row[..., 3 * d :], out=a("given", m, n - skip, d + 1))
+        np.exp2(weights, out=weights)
+        weights *= _allowed(n)[skip:]
+        given = np.matmul(weights, asked[..., d:], out=a("given", m, n - skip, d + 1))
         out = np.divide(given[..., :d], given[..., d:], out=a("out", m, n - skip, d))
-        out += row[:, skip:, :d]
-        logits = np.matmul(out.reshape(-1, d), self.head, out=a("logits", m * (n - skip), self.symbols))
+        out += asking[..., :d]
+        logits = np.matmul(out.reshape(-1, d), head, out=a("logits", m * (n - skip), self.symbols))
         offset = self.offset
         if not safe_logits:
-            logits += offset
+            logits += offset * _BITS
             logits -= logits.max(axis=1, keepdims=True)
             share, offset = np.ones_like(share), np.zeros_like(offset)
         wanted = wanted[:, skip:].reshape(-1)
-        found = logits.reshape(-1)[np.arange(len(wanted)) * self.symbols + wanted] + offset[wanted]
-        np.exp(logits, out=logits)
+        found = logits.reshape(-1)[np.arange(len(wanted)) * self.symbols + wanted] / _BITS + offset[wanted]
+        np.exp2(logits, out=logits)
         return (found - np.log(logits @ share)).reshape(m, -1)
 
     def score(self, sequence: np.ndarray, first: np.ndarray, run: int = 96) -> np.ndarray:
@@ -139,64 +158,81 @@ def windows_of(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(first[:-1], counts) + nth * WINDOW, np.repeat(first[1:], counts)
 
 
+def _summed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a.T @ b of two long narrow matrices, by blocks of rows, which BLAS does three times as fast."""
+    whole = len(a) // _ROWS * _ROWS
+    total = np.matmul(a[:whole].reshape(-1, _ROWS, a.shape[1]).transpose(0, 2, 1), b[:whole].reshape(-1, _ROWS, b.shape[1])).sum(axis=0)
+    return total + a[whole:].T @ b[whole:] if whole < len(a) else total
+
+
 class _Gradients:
     """Of the mean loss of predicting y, where `inside`, from windows x of a model."""
 
     def __init__(self, model: Attention) -> None:
         self.model, self.arrays = model, _Arrays()
 
-    def _exp(self, a: np.ndarray, longest: np.ndarray, other: np.ndarray, offset: np.ndarray) -> None:
-        """In place, of products of rows of two matrices; where these are long, less the greatest of a row of a + offset."""
-        if np.einsum("ij,ij->i", longest, longest).max() * np.einsum("ij,ij->i", other, other).max() > _SAFE**2:
+    def _exp(self, a: np.ndarray, offset: np.ndarray) -> None:
+        """Two to the power of a, in place; where the entries are large, less the greatest of a row of a + offset."""
+        if a.max() > _SAFE or a.min() < -_SAFE:
             a -= (a + offset).max(axis=-1, keepdims=True)
             np.minimum(a, _SAFE, out=a)  # of blocked places
-        np.exp(a, out=a)
+        np.exp2(a, out=a)
 
     def __call__(self, x: np.ndarray, y: np.ndarray, inside: np.ndarray) -> list[np.ndarray]:
         model, (n, w), d, a = self.model, x.shape, self.model.places.shape[1], self.arrays
+        inward = model.inward.copy()
+        inward[:, :d] *= np.float32(d**-0.5) * _BITS
         h = np.take(model.embedding, x, axis=0, out=a("h", n, w, d), mode="clip")
         h += model.places[:w]
         h = h.reshape(-1, d)
-        projected = np.matmul(h, model.inward, out=a("projected", n * w, 3 * d))
-        projected[:, :d] *= np.float32(d**-0.5)
-        q, k, v = (projected.reshape(n, w, 3 * d)[..., i : i + d] for i in (0, d, 2 * d))
-        weights = np.matmul(q, k.transpose(0, 2, 1), out=a("weights", n, w, w))
-        self._exp(weights, projected[:, :d], projected[:, d : 2 * d], np.triu(np.full((w, w), _BLOCKED), 1))
-        weights *= np.tri(w, dtype=np.float32)
-        weights *= 1 / (weights.reshape(-1, w) @ np.ones(w, np.float32)).reshape(n, w, 1)
+        projected = np.matmul(h, inward, out=a("projected", n * w, 3 * d)).reshape(n, w, 3 * d)
+        # of keys and values transposed copies, which BLAS multiplies twice as fast
+        across = a("across", n, 2 * d, w)
+        across[:, :d] = projected[..., d : 2 * d].transpose(0, 2, 1)
+        np.divide(projected[..., 2 * d :].transpose(0, 2, 1), _BITS, out=across[:, d:])
+        q, k, v = (projected[..., i : i + d] for i in (0, d, 2 * d))
+        weights = np.matmul(q, across[:, :d], out=a("weights", n, w, w))
+        self._exp(weights, _blocked(w))
+        weights *= _allowed(w)
+        # weights stay as they are, not divided by the sums of their rows; what they are multiplied with is
+        part = 1 / (weights.reshape(-1, w) @ np.ones(w, np.float32))[:, None]
         mixed = np.matmul(weights, v, out=a("mixed", n, w, d)).reshape(-1, d)
+        mixed *= part
         out = np.matmul(mixed, model.outward, out=a("out", n * w, d))
         out += h
-        wrong = np.matmul(out, model.head, out=a("wrong", n * w, model.symbols))
+        wrong = np.matmul(out, model.head * _BITS, out=a("wrong", n * w, model.symbols))
         share = np.exp(model.offset)
-        self._exp(wrong, out, model.head.T, model.offset)
-        part = (inside / np.float32(max(1, inside.sum()))).reshape(-1).astype(np.float32)
-        part_of = part / (wrong @ share + np.float32(1e-30))
-        # a symbol's share of the sum is its exponential times that of its offset, which is left to the small products
-        wrong *= part_of[:, None]
-        y = y.reshape(-1)
-        wrong.reshape(-1)[np.arange(n * w) * model.symbols + y] -= part / share[y]
+        self._exp(wrong, model.offset * _BITS)
+        # a symbol's share of the sum is its exponential times that of its offset; this and what a row counts are left to the small products
+        sums, y = wrong @ share + np.float32(1e-30), y.reshape(-1)
+        wrong.reshape(-1)[np.arange(n * w) * model.symbols + y] -= sums / share[y]
+        counts = (inside / np.float32(max(1, inside.sum()))).reshape(-1).astype(np.float32) / sums
         back = np.matmul(wrong, (model.head * share).T, out=a("back", n * w, d))
+        back *= counts[:, None]
+        out *= counts[:, None]
         d_mixed = back @ model.outward.T
-        d_scores = np.matmul(d_mixed.reshape(n, w, d), v.transpose(0, 2, 1), out=a("d_scores", n, w, w))
-        d_scores -= np.einsum("ij,ij->i", d_mixed, mixed).reshape(n, w, 1)
+        outward = _summed(mixed, back)
+        d_mixed *= part
+        d_scores = np.matmul(d_mixed.reshape(n, w, d), across[:, d:], out=a("d_scores", n, w, w))
+        mixed *= d_mixed
+        d_scores -= (mixed @ np.full(d, 1 / _BITS)).reshape(n, w, 1)
         d_scores *= weights
         d_projected = a("d_projected", n, w, 3 * d)
         np.matmul(d_scores, k, out=d_projected[..., :d])
         np.matmul(d_scores.transpose(0, 2, 1), q, out=d_projected[..., d : 2 * d])
         np.matmul(weights.transpose(0, 2, 1), d_mixed.reshape(n, w, d), out=d_projected[..., 2 * d :])
-        d_projected[..., :d] *= np.float32(d**-0.5)
         d_projected = d_projected.reshape(-1, 3 * d)
-        d_h = np.matmul(d_projected, model.inward.T, out=a("d_h", n * w, d))
+        d_h = np.matmul(d_projected, inward.T, out=a("d_h", n * w, d))
         d_h += back
         places = np.zeros_like(model.places)
         places[:w] = d_h.reshape(n, w, d).sum(axis=0)
-        order = np.argsort(x, axis=None, kind="stable")
-        in_order = x.reshape(-1)[order]
-        begins = np.flatnonzero(np.diff(in_order, prepend=in_order[0] + 1))
+        order, sizes = np.argsort(x, axis=None, kind="stable"), np.bincount(x.reshape(-1), minlength=len(model.embedding))
+        seen = np.flatnonzero(sizes)
         embedding = np.zeros_like(model.embedding)
-        embedding[in_order[begins]] = np.add.reduceat(d_h[order], begins, axis=0)
-        return [embedding, places, h.T @ d_projected, mixed.T @ back, (wrong.T @ out).T * share, (np.ones(n * w, np.float32) @ wrong) * share]
+        embedding[seen] = np.add.reduceat(np.take(d_h, order, axis=0, out=a("in_order", n * w, d), mode="clip"), (np.cumsum(sizes) - sizes)[seen], axis=0)
+        d_inward = _summed(h, d_projected)
+        d_inward[:, :d] *= np.float32(d**-0.5) * _BITS
+        return [embedding, places, d_inward, outward, _summed(out, wrong) * share, (counts @ wrong) * share]
 
 
 def fitted(model: Attention, sequence: np.ndarray, first: np.ndarray, steps: int = 1, batch: int = 48, rate: float = 0.006, seed: int = 10) -> Attention:

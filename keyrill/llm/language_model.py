@@ -75,7 +75,7 @@ class WordIds:
         slots = (hashes >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
         known = (self.hashes[slots] == hashes) & (self.sizes[slots] != _EMPTY)
         old, new = np.flatnonzero(known), np.flatnonzero(~known)
-        fresh, fresh_first = self.encoder.encode_column(pa.array(words(new), pa.large_string()))
+        fresh, fresh_first = self.encoder.encode_words(words(new))
         sizes = np.empty(len(hashes), np.int64)
         sizes[old], sizes[new] = self.sizes[slots[old]], np.diff(fresh_first)
         first = np.concatenate([[0], np.cumsum(sizes)])
@@ -93,6 +93,16 @@ class WordIds:
         return ids, first
 
 
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As np.unique with the first place of each and the number of each, but only the distinct ones are sorted."""
+    found = pa.array(hashes).dictionary_encode()
+    values, codes = found.dictionary.to_numpy(), found.indices.to_numpy()
+    places, order = np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1)), np.argsort(values)
+    rank = np.empty(len(values), np.int64)
+    rank[order] = np.arange(len(values))
+    return values[order], places[order], rank[codes]
+
+
 def _encoded(batch: pa.RecordBatch, tokenizer: str) -> dict[str, np.ndarray]:
     """The words of a batch of texts: distinct ones, their ids, and the order they come in."""
     word_ids = held("word ids", tokenizer, lambda: WordIds(tokenizer))
@@ -100,11 +110,14 @@ def _encoded(batch: pa.RecordBatch, tokenizer: str) -> dict[str, np.ndarray]:
     data = _LOWER[data]
     starts, ends, first = scan(data, offsets)
     hashes = word_ids.hasher.words(data, starts, ends)
-    distinct, one, order = np.unique(hashes, return_index=True, return_inverse=True)
-    blob = data.tobytes()
+    distinct, one, order = _distinct(hashes)
 
     def words(places: np.ndarray) -> list[str]:
-        return [blob[s:e].decode() for s, e in zip(starts[one[places]].tolist(), ends[one[places]].tolist())]
+        begins, sizes = starts[one[places]], ends[one[places]] - starts[one[places]] + 1
+        stops = np.cumsum(sizes)
+        joined = np.take(data, np.repeat(begins - (stops - sizes), sizes) + np.arange(stops[-1] if len(stops) else 0), mode="clip")
+        joined[stops - 1] = ord(" ")
+        return joined.tobytes().decode().split(" ")[:-1]
 
     ids, id_first = word_ids(distinct, words)
     learns = np.array(batch.column("learned").to_pylist(), bool)

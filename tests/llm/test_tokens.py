@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from keyrill.llm import packing, sequence_files, token_counts, tokenizing
+from keyrill.llm import language_model, packing, sequence_files, token_counts, tokenizing
 from keyrill.streaming.jobs import work_folder
 from tests.llm.helpers import SF, awkward_rows, crc, multiset, table
 
@@ -145,3 +145,32 @@ def test_registered_queries(spark):
     packed = entry.queries()["op9_best_fit_packing"](spark, SF).collect()
     total = sum(len(x) for _, x in _expected(BYTES, rows))
     assert len({r["sequence_id"] for r in packed}) <= -(-total // 1024) + 2
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_words_as_the_library_gives_them(path):
+    rng = random.Random(5)
+    letters = "abcxyzéñßüžłÉÀİıſƀɏɐ×÷ªµº.,!?;:#$%&*'<>|-_0123中文́ ​ǅ"
+    found = ["".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(3000)]
+    found += ["".join(rng.choices("abcdeéñüßÉ", k=rng.randint(1, 9))) + rng.choice(["", ".", ",", "***", ".$$$", "!!", "'s", "<|endoftext|>"]) for _ in range(3000)]
+    found += ["<|endoftext|>", "it's", "é" * 300, "a" * 5000]
+    rng.shuffle(found)
+    ids, first = tokenizing.TokenIds(path).encode_words(found)
+    expected = tokenizing.load(path).encode_batch(found, add_special_tokens=False)
+    assert [ids[a:b].tolist() for a, b in zip(first, first[1:])] == [e.ids for e in expected]
+    assert [a.tolist() for a in tokenizing.TokenIds(path).encode_words([])] == [[], [0]]
+
+
+def test_plain_words_are_encoded_in_rows(monkeypatch):
+    one_by_one = []
+    monkeypatch.setattr(tokenizing.TokenIds, "_looked_up", lambda self, keys, plain=tokenizing.TokenIds._looked_up: one_by_one.extend(keys) or plain(self, keys))
+    plain = [f"{a}{b}é{mark}" for a in "abcdefgh" for b in "ijklmnopÉ" for mark in ("", ".", ",***")]
+    language_model.WordIds(WORDS)(np.arange(len(plain) + 1, dtype=np.uint64) << np.uint64(50), lambda places: [[*plain, "it's"][i] for i in places])
+    assert one_by_one == ["it's"]
+
+
+def test_distinct_hashes():
+    rng = np.random.default_rng(3)
+    for hashes in (rng.integers(0, 1 << 63, 50, dtype=np.uint64)[rng.integers(0, 50, 400)], np.zeros(0, np.uint64)):
+        expected = np.unique(hashes, return_index=True, return_inverse=True)
+        assert all(np.array_equal(a, b) for a, b in zip(language_model._distinct(hashes), expected))
