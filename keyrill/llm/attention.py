@@ -39,12 +39,17 @@ class _Arrays:
 
     def __init__(self) -> None:
         self.kept: dict[str, np.ndarray] = {}
+        self.last: dict[str, np.ndarray] = {}
 
     def __call__(self, name: str, *shape: int) -> np.ndarray:
+        last = self.last.get(name)
+        if last is not None and last.shape == shape:
+            return last
         size, kept = math.prod(shape), self.kept.get(name)
         if kept is None or kept.size < size:
             kept = self.kept[name] = np.empty(size, np.float32)
-        return kept[:size].reshape(shape)
+        self.last[name] = kept[:size].reshape(shape)
+        return self.last[name]
 
 
 @dataclass(frozen=True)
